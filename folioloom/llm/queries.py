@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import lookalike
+from folioloom.llm import boilerplate, lookalike
 from folioloom.session import read_table
 
 
@@ -26,5 +26,19 @@ def p1_classes(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.lookalike_classes(lookalike.lookalike_keys(_chapter_texts(spark, d)))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes}
+def _site_documents(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "chapters").select("site", "id", "title", F.col("html_content").alias("text"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and title parts that a site repeats, by chapter."""
+    return boilerplate.found_lines(_site_documents(spark, d)).select("id", F.col("line_no").cast("int").alias("line_no")).distinct()
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Chapters without the lines that their site repeats."""
+    return boilerplate.without_boilerplate(_site_documents(spark, d))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean}
 SQL: dict[str, str] = {}

@@ -53,6 +53,7 @@ _WIKI_QUOTES = re.compile(r"'{5}(?=\S)(.+?)'{5}|'{3}(?=\S)(.+?)'{3}|'{2}(?=\S)(.
 _STARS = re.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])([^*\n]*?[^\s*])\1(?![\w*])")
 _BARS = re.compile(r"(?<![\w_])(_{1,3})(?=[^\s_])([^_\n]*?[^\s_])\1(?![\w_])")
 _TICKS = re.compile(r"(`+)([^`\n]+)\1|~~(?=\S)([^~\n]+)~~")
+_BREAK = re.compile(r"<(?:br|hr|/?p|/?div|/?td|/?tr)\b[^<>]*>", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -79,7 +80,7 @@ def decode(text: str) -> str:
 def clean_inline(text: str) -> str:
     """A piece of text without inline markup of any of the four kinds."""
     if "<" in text:
-        text = _TAG.sub("", text)
+        text = _TAG.sub("", _BREAK.sub(" ", text))
     if "[" in text:
         text = _LINKS.sub(r"\1", text)
         text = _WIKI_LINK.sub(r"\1", text)
@@ -137,7 +138,7 @@ def split_blocks(text: str) -> tuple[list[Block], list[str]]:
 
     def html_block(m: re.Match) -> str:
         kind, body = (HEADING, m["ht"]) if m["h"] else (LIST_ITEM, m["li"])
-        take(kind, clean_inline(_TAG.sub(" ", body) if "</p" in body or "<br" in body else body), m.string.count("\n", 0, m.start()))
+        take(kind, clean_inline(body), m.string.count("\n", 0, m.start()))
         return _hollow(m)
 
     lower = plain.lower() if "<" in plain else ""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import boilerplate, lookalike
+from folioloom.llm import boilerplate, lookalike, markup_blocks, reading_level
 from folioloom.session import read_table
 
 
@@ -40,5 +40,25 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.without_boilerplate(_site_documents(spark, d))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """CEFR level of every chapter with enough prose: the model's level, settled by the exact score."""
+    return reading_level.reading_levels(_site_documents(spark, d)).select("id", "cefr_level").distinct()
+
+
+def p4_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Scores, levels, features and the model's level of every chapter with enough prose."""
+    return reading_level.reading_levels(_site_documents(spark, d))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Headings, list items, code and formulas of chapters, without markup."""
+    return markup_blocks.blocks(_chapter_texts(spark, d)).select("id", "block_kind", "block_text").distinct()
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Chapters as clean text that keeps its structure."""
+    return markup_blocks.clean(_chapter_texts(spark, d))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean}
 SQL: dict[str, str] = {}

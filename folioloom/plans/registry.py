@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from folioloom.plans import data_queries
+
+QUERIES: dict = {**data_queries.QUERIES}
 SQL: dict[str, str] = {}
-FLAGSHIP = ""
+FLAGSHIP = "p7_found"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import boilerplate, lookalike, markup_blocks, reading_level
+from folioloom.llm import boilerplate, lookalike, markup_blocks, reading_level, subjects, tokenizer
 from folioloom.session import read_table
 
 
@@ -60,5 +60,22 @@ def p5_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup_blocks.clean(_chapter_texts(spark, d))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every document."""
+    return tokenizer.encode_documents(read_table(spark, d, "documents"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Subject areas of every document."""
+    found = subjects.subject_areas(read_table(spark, d, "documents"), read_table(spark, d, "subject_labels"))
+    return found.select("doc_id", "area").distinct()
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Make-up of the corpus by subject area."""
+    found = subjects.subject_areas(read_table(spark, d, "documents"), read_table(spark, d, "subject_labels"))
+    return subjects.composition(found, read_table(spark, d, "subject_areas"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import boilerplate, lookalike, markup_blocks, reading_level, subjects, tokenizer
+from folioloom.llm import boilerplate, lookalike, markup_blocks, name_links, reading_level, subjects, tokenizer
 from folioloom.session import read_table
 
 
@@ -77,5 +77,17 @@ def p10_composition(spark: SparkSession, d: str) -> DataFrame:
     return subjects.composition(found, read_table(spark, d, "subject_areas"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Records of three tables whose author means a listed one."""
+    books, gutendex, sources = (read_table(spark, d, t) for t in ("books", "gutendex_authors", "zh_sources"))
+    no_year = F.lit(None).cast("int")
+    records = (
+        books.select(F.lit("books").alias("record_table"), F.col("id").cast("string").alias("record_key"), F.col("author").alias("name"), no_year.alias("birth_year"), no_year.alias("death_year"))
+        .unionByName(gutendex.select(F.lit("gutendex_authors").alias("record_table"), F.col("record_id").cast("string").alias("record_key"), "name", "birth_year", "death_year"))
+        .unionByName(sources.select(F.lit("zh_sources").alias("record_table"), F.col("id").cast("string").alias("record_key"), F.col("author").alias("name"), no_year.alias("birth_year"), no_year.alias("death_year")))
+    )
+    return name_links.link_names(records, read_table(spark, d, "authors"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioloom.llm import boilerplate, lookalike, markup_blocks, name_links, reading_level, subjects, tokenizer
+from folioloom.llm import boilerplate, lookalike, markup_blocks, mixing, name_links, reading_level, splitting, subjects, tokenizer
 from folioloom.session import read_table
 
 
@@ -89,5 +89,26 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return name_links.link_names(records, read_table(spark, d, "authors"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p6_found": p6_found, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Oversized bodies and the lines with which their sections begin."""
+    return splitting.oversized_headings(read_table(spark, d, "raw_bodies"))
+
+
+def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies as ordered pieces under their limit, with overlap."""
+    return splitting.split_bodies(read_table(spark, d, "raw_bodies"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Documents chosen to give every source its share of all tokens."""
+    return mixing.mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares that the mix reaches."""
+    targets = read_table(spark, d, "mix_targets")
+    return mixing.reached_shares(mixing.mix(read_table(spark, d, "documents"), targets), targets)
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

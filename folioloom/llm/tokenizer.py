@@ -219,8 +219,8 @@ def _once(documents: DataFrame) -> DataFrame:
     return documents.join(recurring, again, "left_anti").unionByName(documents.join(recurring, again, "left_semi").dropDuplicates(["doc_id"]))
 
 
-def encode_documents(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY, text: str = "text") -> DataFrame:
-    """(doc_id, ids) of every document."""
+def encode_tagged(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY) -> DataFrame:
+    """(doc_id, tag, ids) of rows (doc_id, tag, text), as they come."""
     path = f"{tokenizers}/{name}.tiktoken"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,12 +228,18 @@ def encode_documents(documents: DataFrame, tokenizers: str = TOKENIZERS, name: s
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 part = batch.slice(start, BATCH_ROWS)
-                flat, offsets = encoder.encode(part.column(1).to_pylist())
+                flat, offsets = encoder.encode(part.column(2).to_pylist())
                 ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids], ["doc_id", "tag", "ids"])
+
+    return documents.select("doc_id", "tag", "text").mapInArrow(run, "doc_id long, tag string, ids array<int>")
 
+
+def encode_documents(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY, text: str = "text") -> DataFrame:
+    """(doc_id, ids) of every document."""
     chosen = _once(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
-    return chosen.mapInArrow(run, "doc_id long, ids array<int>")
+    tagged = chosen.select("doc_id", F.lit("").alias("tag"), "text")
+    return encode_tagged(tagged, tokenizers, name).select("doc_id", "ids")
 
 
 def count_tokens(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY) -> DataFrame:

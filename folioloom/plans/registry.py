@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from folioloom.plans import data_queries
+from folioloom.plans import catalog_queries, data_queries, text_queries  # noqa: F401  (text_queries registers with catalog_queries)
 
-QUERIES: dict = {**data_queries.QUERIES}
-SQL: dict[str, str] = {}
-FLAGSHIP = "p7_found"
+QUERIES: dict = {**catalog_queries.QUERIES, **data_queries.QUERIES}
+SQL: dict[str, str] = {**catalog_queries.SQL}
+FLAGSHIP = "agg_word_totals"

@@ -251,7 +251,7 @@ _CATEGORY = "CASE WHEN contains(x, 'fiction') AND NOT contains(x, 'non-fiction')
        WHERE category IS NOT NULL GROUP BY category"""
 )
 def agg_subjects(s, d):
-    parsed = F.from_json("subjects", "array<string>")
+    parsed = F.from_json("subjects", "array<string>", {"allowSingleQuotes": "false"})
     each = T(s, d, "books").select(F.explode(parsed).alias("subject"))
     return each.select(M.subject_category(F.col("subject")).alias("category")).where("category is not null").groupBy("category").agg(F.count("*").alias("n"))
 
@@ -589,7 +589,9 @@ def sync_projection(s, d):
     return T(s, d, "chapters").select("id", url.alias("url"), F.left("title", F.lit(255)).alias("title"))
 
 
-@query("SELECT id, CASE WHEN json_valid(subjects) AND json_type(subjects) = 'ARRAY' THEN array_to_string(from_json(subjects, '["VARCHAR"]'), '|') END AS values FROM books WHERE subjects IS NOT NULL AND left(subjects, 2) = '[\"'")
+@query(
+    """SELECT id, CASE WHEN json_valid(subjects) AND json_type(subjects) = 'ARRAY' THEN array_to_string(from_json(subjects, '["VARCHAR"]'), '|') END AS values FROM books WHERE subjects IS NOT NULL AND left(subjects, 2) = '["'"""
+)
 def json_arrays(s, d):
     df = T(s, d, "books").where("subjects is not null and left(subjects, 2) = '[\"'")
-    return df.select("id", F.array_join(F.from_json("subjects", "array<string>"), "|").alias("values"))
+    return df.select("id", F.array_join(F.from_json("subjects", "array<string>", {"allowSingleQuotes": "false"}), "|").alias("values"))

@@ -8,6 +8,7 @@ from folioloom.functions import chinese, spelling, typography
 from folioloom.functions import metrics as M
 from folioloom.functions import semantics as S
 from folioloom.functions import text as X
+from folioloom.operators import quality
 from folioloom.plans.catalog_queries import STRIP, T, query
 
 _WS = X.WS
@@ -88,7 +89,10 @@ def section_breaks(s, d):
     return html(s, d).select("id", F.md5(X.section_breaks(F.col("h"))).alias("digest"))
 
 
-@query(rf"SELECT id, md5(CASE WHEN starts_with(regexp_replace(html_content, '^[{_WS}]+', ''), '<section') THEN html_content ELSE '<section data-epub-type=\"chapter\">' || chr(10) || html_content || chr(10) || '</section>' END) AS digest FROM {_H}")
+@query(
+    rf"""SELECT id, md5(CASE WHEN starts_with(regexp_replace(html_content, '^[{_WS}]+', ''), '<section') THEN html_content
+       ELSE '<section data-epub-type="chapter">' || chr(10) || html_content || chr(10) || '</section>' END) AS digest FROM {_H}"""
+)
 def wrap_section(s, d):
     return html(s, d).select("id", F.md5(X.wrap_section(F.col("h"))).alias("digest"))
 
@@ -140,7 +144,7 @@ def chapter_number(s, d):
     return T(s, d, "chapters").select("id", M.chapter_number(F.col("title")).alias("n"))
 
 
-_WORDS = rf"list_filter(regexp_split_to_array({{0}}, '[{_WS}]+'), lambda w: regexp_matches(w, '[a-zA-Z]'))"
+_WORDS = rf"list_filter(regexp_split_to_array(text, '[{_WS}]+'), lambda w: regexp_matches(w, '[a-zA-Z]'))"
 _SYLLABLES = """WITH w AS (SELECT DISTINCT unnest(string_split(lower(title), ' ')) AS word FROM books WHERE title IS NOT NULL), z AS (SELECT word, regexp_replace(word, '[^a-z]', '', 'g') AS z FROM w),
        a AS (SELECT *, len(regexp_extract_all(z, '[aeiouy]+')) AS n1 FROM z), b AS (SELECT *, n1 - CASE WHEN z LIKE '%e' AND n1 > 1 THEN 1 ELSE 0 END AS n2 FROM a),
        c AS (SELECT *, n2 + CASE WHEN regexp_matches(z, '[^aeiouy]le$') THEN 1 ELSE 0 END AS n3 FROM b),
@@ -159,14 +163,14 @@ for _a in M.ABBREVIATIONS:
 _SENT = rf"list_filter(regexp_split_to_array({_MASK}, '[.!?]+'), lambda x: regexp_matches(x, '[^{_WS}]'))"
 
 
-@query(rf"SELECT doc_id, len({_WORDS.format('text')}) AS words, len({_SENT}) AS sentences FROM {_DOC} AND lang = 'en'")
+@query(rf"SELECT doc_id, len({_WORDS}) AS words, len({_SENT}) AS sentences FROM {_DOC} AND lang = 'en'")
 def words_and_sentences(s, d):
     df = docs(s, d).where("lang = 'en'")
     return df.select("doc_id", F.size(M.words(F.col("text"))).cast("long").alias("words"), F.size(M.sentences(F.col("text"))).cast("long").alias("sentences"))
 
 
 @query(
-    rf"""WITH t AS (SELECT doc_id, {_WORDS.format('text')} AS w, len({_SENT}) AS s FROM {_DOC} AND lang = 'en'), x AS (SELECT doc_id, unnest(w) AS word FROM t), z AS (SELECT doc_id, regexp_replace(lower(word), '[^a-z]', '', 'g') AS z FROM x),
+    rf"""WITH t AS (SELECT doc_id, {_WORDS} AS w, len({_SENT}) AS s FROM {_DOC} AND lang = 'en'), x AS (SELECT doc_id, unnest(w) AS word FROM t), z AS (SELECT doc_id, regexp_replace(lower(word), '[^a-z]', '', 'g') AS z FROM x),
        a AS (SELECT *, len(regexp_extract_all(z, '[aeiouy]+')) AS n1 FROM z), b AS (SELECT *, n1 - CASE WHEN z LIKE '%e' AND n1 > 1 THEN 1 ELSE 0 END AS n2 FROM a),
        c AS (SELECT *, n2 + CASE WHEN regexp_matches(z, '[^aeiouy]le$') THEN 1 ELSE 0 END AS n3 FROM b), e AS (SELECT doc_id, CASE WHEN length(z) <= 2 THEN 1 ELSE greatest(1, n3 - CASE WHEN regexp_matches(z, '[^td]ed$') AND length(z) > 3 AND n3 > 1 THEN 1 ELSE 0 END) END AS syl FROM c),
        g AS (SELECT doc_id, sum(syl)::DOUBLE AS syl FROM e GROUP BY 1), f AS (SELECT t.doc_id, len(w) AS nw, CASE WHEN len(w) > 0 AND s > 0 THEN greatest(0.0, least(100.0, floor((206.835::DOUBLE - 1.015::DOUBLE * (len(w) / s) - 84.6::DOUBLE * (syl / len(w))) * 10 + 0.5) / 10)) ELSE 50.0 END AS flesch FROM t LEFT JOIN g USING (doc_id))
@@ -221,10 +225,10 @@ def is_traditional(s, d):
     return T(s, d, "zh_sources").select("id", chinese.is_traditional(F.coalesce("author", F.lit(""))).alias("traditional"))
 
 
-@query(r"SELECT id, trim(regexp_replace(regexp_replace(coalesce(title, ''), '[^a-zA-Z0-9\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS plain, upper(left(coalesce(title, ''), 500)) AS head FROM books")
+@query(r"SELECT id, trim(regexp_replace(regexp_replace(coalesce(title, ''), '[^a-zA-Z0-9\s]+', ' ', 'g'), '\s+', ' ', 'g')) AS plain, lower(left(coalesce(title, ''), 500)) AS head FROM books")
 def normalize_title(s, d):
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("title", F.lit("")), r"[^a-zA-Z0-9\s]+", " "), r"\s+", " "))
-    return T(s, d, "books").select("id", plain.alias("plain"), F.upper(F.left(F.coalesce("title", F.lit("")), F.lit(500))).alias("head"))
+    return T(s, d, "books").select("id", plain.alias("plain"), F.lower(F.left(F.coalesce("title", F.lit("")), F.lit(500))).alias("head"))
 
 
 @query(r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\s]+', ' ', 'g'), '\s+', ' ', 'g'))) AS digest FROM documents WHERE text IS NOT NULL AND lang = 'en'")
@@ -278,10 +282,10 @@ def content_hash(s, d):
     return docs(s, d).select("doc_id", F.sha1("text").alias("sha"), F.md5("text").alias("digest"))
 
 
-@query("SELECT id, upper(left(" + STRIP + ", 500)) AS head, len(regexp_extract_all(" + STRIP + rf", '[^{_WS}]+')) < 30 AS fragment FROM {_H}")
+@query("SELECT id, md5(left(" + STRIP + ", 500)) AS head, len(regexp_extract_all(" + STRIP + rf", '[^{_WS}]+')) < 30 AS fragment FROM {_H}")
 def front_matter(s, d):
     text = X.strip_html(F.col("h"))
-    return html(s, d).select("id", F.upper(F.left(text, F.lit(500))).alias("head"), (X.count_words(text) < 30).alias("fragment"))
+    return html(s, d).select("id", F.md5(F.left(text, F.lit(500))).alias("head"), (X.count_words(text) < 30).alias("fragment"))
 
 
 @query(r"SELECT id, regexp_matches(coalesce(title, ''), '(?i)(^|[^A-Za-z0-9_])(contents|index|copyright|notes|title page)($|[^A-Za-z0-9_])') OR contains(lower(coalesce(href, '')), 'cover') AS skip FROM chapters")
@@ -330,3 +334,64 @@ def semanticize(s, d):
 @query()
 def clean_chapter(s, d):
     return html(s, d).select("id", X.clean_chapter(F.col("h")).alias("html"))
+
+
+# ---- checks over whole books
+
+
+def _chapters(s, d):
+    return T(s, d, "chapters").select("id", "book_id", "order_num", "title", "html_content", "word_count").where("book_id is not null").dropDuplicates(["id"])
+
+
+_DISTINCT = "(SELECT DISTINCT id, book_id, order_num, title, html_content, word_count FROM chapters WHERE book_id IS NOT NULL)"
+
+
+@query(
+    rf"""WITH c AS {_DISTINCT}, m AS (SELECT book_id, id, coalesce(word_count, 0) AS w, lower(trim(coalesce(title, ''))) AS t, row_number() OVER (PARTITION BY book_id ORDER BY order_num, id) AS p,
+         regexp_replace(lower({STRIP.replace('html_content', "coalesce(html_content, '')")}), '[{_WS}]+', '', 'g') AS x, regexp_matches(coalesce(html_content, ''), '{X.MOJIBAKE}') AS k FROM c),
+       dt AS (SELECT book_id, count(*) AS n FROM (SELECT book_id, t FROM m WHERE t <> '' GROUP BY 1, 2 HAVING count(*) > 1) q GROUP BY 1),
+       dc AS (SELECT book_id, sum(n) AS n FROM (SELECT book_id, sha1(x) AS h, count(*) AS n FROM m WHERE length(x) >= 100 GROUP BY 1, 2 HAVING count(*) > 1) q GROUP BY 1)
+       SELECT m.book_id, count(*) AS n_chapters, sum(w)::BIGINT AS n_words, count(*) FILTER (w < 50) AS n_empty, max(k::INT) AS broken, coalesce(max(dt.n), 0)::BIGINT AS dup_titles, coalesce(max(dc.n), 0)::BIGINT AS dup_chapters,
+       round(stddev_pop(CASE WHEN w > 0 THEN w END) / avg(CASE WHEN w > 0 THEN w END), 6) AS cv, max_by(w, p)::INTEGER AS last_words FROM m LEFT JOIN dt ON dt.book_id = m.book_id LEFT JOIN dc ON dc.book_id = m.book_id GROUP BY m.book_id"""
+)
+def quality_checks(s, d):
+    out = quality.book_checks(_chapters(s, d))
+    return out.select("book_id", "n_chapters", "n_words", "n_empty", "broken", "dup_titles", "dup_chapters", F.round("cv", 6).alias("cv"), "last_words")
+
+
+@query()
+def quality_scores(s, d):
+    out = quality.book_checks(_chapters(s, d)).withColumn("score", quality.english_score())
+    return out.select("book_id", "score", quality.tier(F.col("score")).alias("tier"))
+
+
+@query(
+    f"""SELECT book_id FROM (SELECT book_id, count(*) AS n, sum(coalesce(word_count, 0)) AS total, arg_min(coalesce(word_count, 0), (order_num, id)) AS f, arg_min(lower(title), (order_num, id)) AS t FROM {_DISTINCT} c GROUP BY 1) q
+       WHERE n >= 2 AND total > 0 AND f >= 0.3 * total AND regexp_matches(t, '(introduction|preface|translator|foreword|prologue)')"""
+)
+def first_dominates(s, d):
+    return quality.first_dominates(_chapters(s, d))
+
+
+_NA = r"trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\s]+', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, {_NA.replace('{0}', "coalesce(text, '')")} AS a, {_NA.replace('{0}', "coalesce(title, '') || ' ' || coalesce(text, '')")} AS b FROM documents WHERE lang = 'en'),
+       x AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(a, ' ')) AS w FROM t WHERE a <> '') q GROUP BY 1, 2), y AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(b, ' ')) AS w FROM t WHERE b <> '') q GROUP BY 1, 2),
+       m AS (SELECT coalesce(x.doc_id, y.doc_id) AS doc_id, sum(abs(coalesce(x.n, 0) - coalesce(y.n, 0))) / sum(coalesce(x.n, 0) + coalesce(y.n, 0)) AS miss FROM x FULL OUTER JOIN y ON x.doc_id = y.doc_id AND x.w = y.w GROUP BY 1),
+       r AS (SELECT t.doc_id, CASE WHEN a = '' THEN 0 ELSE len(string_split(a, ' ')) END AS na, CASE WHEN b = '' THEN 0 ELSE len(string_split(b, ' ')) END AS nb, CASE WHEN length(a) > 600 AND length(b) > 600 THEN CASE WHEN contains(b, substr(a, 201, 200)) THEN 'OK' ELSE 'MISS' END ELSE 'NA' END AS alignment,
+       coalesce(miss, 1.0) AS miss FROM t LEFT JOIN m ON m.doc_id = t.doc_id) SELECT doc_id, alignment, round(miss::DOUBLE, 6) AS miss_rate, CASE WHEN na / greatest(nb, 1) BETWEEN 0.95 AND 1.05 AND alignment <> 'MISS' AND miss < 0.05 THEN 'OK' WHEN na / greatest(nb, 1) BETWEEN 0.9 AND 1.1 AND miss < 0.15 THEN 'WARN' ELSE 'SUSPECT' END AS verdict FROM r"""
+)
+def audit_fidelity(s, d):
+    pairs = T(s, d, "documents").where("lang = 'en'").select(
+        F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("ours"), F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("theirs")
+    )
+    return quality.fidelity(pairs).select(F.col("key").alias("doc_id"), "alignment", F.round("miss_rate", 6).alias("miss_rate"), "verdict")
+
+
+@query()
+def vocabulary_levels(s, d):
+    words = s.createDataFrame([("书信", 1), ("灯火", 2), ("江水", 2), ("旧友", 3), ("石阶", 5), ("樵夫", 6)], "word string, level int")
+    texts = html(s, d, "zh_chapters").select(F.col("id").alias("key"), X.strip_html(F.col("h")).alias("text"))
+    return quality.vocabulary_levels(texts, words).groupBy("key").agg(F.sum("n").alias("tokens"), (F.sum(F.col("level") * F.col("n")) / F.sum(F.when(F.col("level").isNotNull(), F.col("n")))).alias("mean_level"))

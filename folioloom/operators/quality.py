@@ -110,7 +110,7 @@ def fidelity(pairs: DataFrame) -> DataFrame:
     )
     ratio = F.col("our_words") / F.greatest(F.col("their_words"), F.lit(1))
     ok = ratio.between(0.95, 1.05) & (F.col("alignment") != "MISS") & (F.col("miss_rate") < 0.05)
-    warn = ratio.between(0.9, 1.1) & (F.col("miss_rate") < 0.15)
+    warn = ratio.between(0.9, 1.1) & (F.col("miss_rate") < 0.1)
     return out.withColumn("word_ratio", ratio).withColumn("verdict", F.when(ok, "OK").when(warn, "WARN").otherwise("SUSPECT"))
 
 

@@ -381,7 +381,7 @@ _NA = r"trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\s]+', ' ', 'g')
        x AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(a, ' ')) AS w FROM t WHERE a <> '') q GROUP BY 1, 2), y AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(string_split(b, ' ')) AS w FROM t WHERE b <> '') q GROUP BY 1, 2),
        m AS (SELECT coalesce(x.doc_id, y.doc_id) AS doc_id, sum(abs(coalesce(x.n, 0) - coalesce(y.n, 0))) / sum(coalesce(x.n, 0) + coalesce(y.n, 0)) AS miss FROM x FULL OUTER JOIN y ON x.doc_id = y.doc_id AND x.w = y.w GROUP BY 1),
        r AS (SELECT t.doc_id, CASE WHEN a = '' THEN 0 ELSE len(string_split(a, ' ')) END AS na, CASE WHEN b = '' THEN 0 ELSE len(string_split(b, ' ')) END AS nb, CASE WHEN length(a) > 600 AND length(b) > 600 THEN CASE WHEN contains(b, substr(a, 201, 200)) THEN 'OK' ELSE 'MISS' END ELSE 'NA' END AS alignment,
-       coalesce(miss, 1.0) AS miss FROM t LEFT JOIN m ON m.doc_id = t.doc_id) SELECT doc_id, alignment, round(miss::DOUBLE, 6) AS miss_rate, CASE WHEN na / greatest(nb, 1) BETWEEN 0.95 AND 1.05 AND alignment <> 'MISS' AND miss < 0.05 THEN 'OK' WHEN na / greatest(nb, 1) BETWEEN 0.9 AND 1.1 AND miss < 0.15 THEN 'WARN' ELSE 'SUSPECT' END AS verdict FROM r"""
+       coalesce(miss, 1.0) AS miss FROM t LEFT JOIN m ON m.doc_id = t.doc_id) SELECT doc_id, alignment, round(miss::DOUBLE, 6) AS miss_rate, CASE WHEN na / greatest(nb, 1) BETWEEN 0.95 AND 1.05 AND alignment <> 'MISS' AND miss < 0.05 THEN 'OK' WHEN na / greatest(nb, 1) BETWEEN 0.9 AND 1.1 AND miss < 0.1 THEN 'WARN' ELSE 'SUSPECT' END AS verdict FROM r"""
 )
 def audit_fidelity(s, d):
     pairs = T(s, d, "documents").where("lang = 'en'").select(

@@ -504,7 +504,7 @@ def set_diff(s, d):
     return T(s, d, "gutendex_authors").select(F.col("pg_id").alias("id")).where("id is not null").subtract(T(s, d, "books").select(F.col("pg_id").alias("id")))
 
 
-_TOK = r"list_distinct(list_filter(string_split(trim(regexp_replace(regexp_replace(lower({0}), '[;:,.''""!?—–-]', ' ', 'g'), '\s+', ' ', 'g')), ' '), lambda w: length(w) > 1 AND w NOT IN ('the','a','an','of','and','or','in','on','to','for')))".replace('""', '"')
+_TOK = r"""list_distinct(list_filter(string_split(trim(regexp_replace(regexp_replace(lower({0}), '[;:,.''"!?—–-]', ' ', 'g'), '\s+', ' ', 'g')), ' '), lambda w: length(w) > 1 AND w NOT IN ('the','a','an','of','and','or','in','on','to','for')))"""
 
 
 @query(

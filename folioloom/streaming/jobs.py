@@ -15,22 +15,27 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+def timed(events: DataFrame, late: str) -> DataFrame:
+    """Events with a time zone's time, as watermarks need it, and the watermark."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
     """(start, event_type, n, total) by tumbling or sliding window with a watermark."""
     span = F.window("ts", size, slide) if slide else F.window("ts", size)
-    counted = events.withWatermark("ts", late).groupBy(span.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    return counted.select(F.col("w.start").alias("start"), "event_type", "n", "total")
+    counted = timed(events, late).groupBy(span.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return counted.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """(user_id, start, n) by session window."""
-    counted = events.withWatermark("ts", late).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
-    return counted.select("user_id", F.col("w.start").alias("start"), "n")
+    counted = timed(events, late).groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n"))
+    return counted.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
 
 
 def once_within(events: DataFrame, keys: list[str], late: str = "1 day") -> DataFrame:
     """Each key once, as long as its repeats come within the lateness."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+    return timed(events, late).dropDuplicatesWithinWatermark(keys)
 
 
 _ATTEMPTS = "user_id long, attempts long, failed boolean, last_type string"

@@ -199,14 +199,14 @@ def body_lines(lines: list[str], window: int = 3, surge: int = 80) -> list[bool]
     """Which lines lie between a surge and a dive of the line-block distribution.
 
     ``lines`` are lines without markup. The length of the text in ``window`` consecutive
-    lines is summed at each line; a body begins at a line whose sum exceeds ``surge`` and
-    goes on until the sum falls to zero.
+    lines is summed at each line; a body begins at a line of some length whose sum exceeds
+    ``surge`` and goes on until the sum falls to zero.
     """
     sizes = [len(_SPACE.sub("", line)) for line in lines]
     sums = [sum(sizes[i : i + window]) for i in range(len(sizes))]
     keep, inside = [False] * len(sizes), False
     for i, total in enumerate(sums):
-        if not inside and total > surge and sizes[i]:
+        if not inside and total > surge and sizes[i] * 2 * window >= surge:
             inside = True
         if inside and total == 0:
             inside = False

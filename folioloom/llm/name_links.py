@@ -212,7 +212,7 @@ def tokens_last(tokens: list[str], listed: list[str]) -> str:
 def link_names(records: DataFrame, authors: DataFrame) -> DataFrame:
     """(record_table, record_key, author_id) of records (record_table, record_key, name, birth_year, death_year)
     that mean a row of authors (id, name, birth_year, death_year)."""
-    once = records.where(F.col("name").isNotNull() & (F.trim("name") != "")).distinct()
+    once = records.select("record_table", "record_key", "name", "birth_year", "death_year").where(F.col("name").isNotNull() & (F.trim("name") != "")).distinct()
     typed = materialise(once.select("name").distinct().mapInPandas(_parse, _PARSED).where("kind != 'none'"), "names")
     listed = (
         authors.select(F.col("name"), F.col("id").cast("string").alias("author_id"), "birth_year", "death_year")

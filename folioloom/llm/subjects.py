@@ -1,12 +1,13 @@
 """Subject areas of documents.
 
-Method. Terms (words, and pairs of ideographs) are weighted by how far they concentrate
-in an area's labelled documents, against their document frequency in the whole corpus.
+Method. Terms (words, and pairs of ideographs) are weighted by the ratio of their document
+frequency in an area's labelled documents to the frequency outside the area, which
+follows from their document frequency in the whole corpus.
 Documents in term weights are reduced by truncated singular value decomposition; a
 sentence is the sum of its terms' reduced vectors. Seed centroids are taken from
 sentences of each area's labelled documents and refined iteratively by cosine similarity
-(spherical k-means); a centroid speaks for the area in whose documents its sentences
-concentrate. Every sentence of every document goes to its nearest centroid, and a
+(spherical k-means); a centroid speaks for the area of the documents that hold most of
+its sentences. Every sentence of every document goes to its nearest centroid, and a
 document has the areas that hold at least ``MIN_SHARE`` of its sentences.
 
 Bounds. The classifier (weights' label side, decomposition, centroids) is fitted on at
@@ -39,10 +40,10 @@ MAX_TERMS = 8192
 RANK = 160
 SEEDS_PER_AREA = 8
 ROUNDS = 12
-#: Least lift and z-score of a term with weight, least weight of a sentence, least similarity and share.
-MIN_LIFT, MIN_Z, MIN_WEIGHT, MIN_COSINE, MIN_SHARE = 2.0, 3.0, 1.0, 0.4, 0.17
-#: Least lift of an area among a centroid's sentences.
-MIN_CENTROID_LIFT = 3.0
+#: Least frequency ratio and z-score of a term with weight, least weight of a sentence, least similarity and share.
+MIN_LIFT, MIN_Z, MIN_WEIGHT, MIN_COSINE, MIN_SHARE = 2.5, 3.0, 1.0, 0.4, 0.17
+#: Least share of a centroid's sentences whose document is labelled with the area it speaks for.
+MIN_CENTROID_RATE = 0.5
 NO_AREA = "none"
 
 _SENTENCE = re.compile(r"[.!?。！？\n]+")
@@ -138,8 +139,12 @@ def fit_subjects(texts: list[str], labels: list[set[str]], frequencies: dict[str
     for d, doc in enumerate(split):
         held = list({t for s in doc for t in s})
         together[held] += marks[d]
-    expected = wide[:, None] * marks.sum(0)[None, :]
-    lift = (together + 0.5) / (expected + 0.5)
+    held_by = marks.sum(0)
+    share = np.minimum(0.9, held_by / max(1, len(marks)))
+    expected = wide[:, None] * held_by[None, :]
+    inside = (together + 0.5) / (held_by + 1)[None, :]
+    outside = np.maximum(wide[:, None] - share[None, :] * inside, 0) / (1 - share)[None, :]
+    lift = inside / (outside + 0.5 / (held_by + 1)[None, :])
     z = (together - expected) / np.sqrt(expected * np.maximum(0, 1 - wide[:, None]) + 0.5)
     of = lift.argmax(1)
     top = lift[np.arange(size), of]
@@ -195,11 +200,10 @@ def fit_subjects(texts: list[str], labels: list[set[str]], frequencies: dict[str
             moved[k] = points[nearest == k].sum(0)
         centroids = moved / (np.linalg.norm(moved, axis=1, keepdims=True) + 1e-9)
     nearest = (points @ centroids.T).argmax(1)
-    usual = marks.mean(0) + 1e-9
     speaks_for = np.full(len(centroids), -1)
     for k in np.unique(nearest):
-        rates = marks[nearest == k].mean(0) / usual
-        if rates.max() > MIN_CENTROID_LIFT or len(areas) <= MIN_CENTROID_LIFT:
+        rates = marks[nearest == k].mean(0)
+        if rates.max() >= MIN_CENTROID_RATE:
             speaks_for[k] = rates.argmax()
     names = sorted(frequencies)
     return SubjectModel(areas, {names[t]: k for t, k in place.items()}, weights, vectors, centroids.astype(np.float32), speaks_for)

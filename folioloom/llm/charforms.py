@@ -50,6 +50,10 @@ def _tables() -> dict[int, str]:
                 table[code] = plain
     for source in (CYRILLIC, GREEK, ARMENIAN, RADICALS):
         table.update({ord(k): v for k, v in source.items()})
+    for code in range(0x370, 0x530):  # accented letters of these scripts follow their base
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and ord(base) in table:
+            table[code] = unicodedata.normalize("NFC", table[ord(base)] + "".join(marks))
     table.update({ord(ch): "" for ch in IGNORABLE})
     table[0x09] = table[0x0B] = table[0x0C] = " "
     return table
@@ -103,7 +107,7 @@ def fold(text: str) -> str:
 @lru_cache(maxsize=1 << 16)
 def fold_token(token: str) -> str:
     """``fold`` for short tokens that recur."""
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", token).translate(TABLE))
+    return unicodedata.normalize("NFC", token.translate(TABLE))
 
 
 @lru_cache(maxsize=1 << 16)

@@ -150,3 +150,58 @@ def vocabulary_levels(texts: DataFrame, vocabulary: DataFrame, longest: int = 4)
 
 
 MAX_VOCABULARY = 50_000
+
+
+def chinese_score(c: type = F.col) -> Column:
+    """0 to 100 for Chinese books: sizes in characters, the loss for equal chapters before variation and residue."""
+    score = F.lit(100) - F.when(c("n_chapters") < 2, 15).otherwise(0)
+    score = F.when(c("n_words") > 2_000_000, F.lit(0)).otherwise(score - F.when(c("n_words") < 500, 30).when(c("n_words") < 2000, 10).otherwise(0))
+    score = score - c("n_empty") * 5 - F.when(c("cjk_ratio") < 0.3, 20).otherwise(0) - F.when(c("broken") > 0, 15).otherwise(0)
+    score = F.when(c("dup_chapters") > 0, F.lit(0)).otherwise(score)
+    score = score - F.when(c("n_filled") >= 4, F.when(c("cv") > 2.0, 10).when(c("cv") > 1.5, 5).otherwise(0)).otherwise(0)
+    ratio = c("n_residue") / c("n_chapters")
+    score = F.when(ratio >= 0.5, F.least(score, F.lit(30))).otherwise(score - round_half_up(ratio * 40))
+    return F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("int")
+
+
+def chinese_checks(chapters: DataFrame) -> DataFrame:
+    """One row per Chinese book with the checks that ``chinese_score`` reads; ``n_words`` counts ideographs."""
+    text = X.strip_html(F.coalesce("html_content", F.lit("")))
+    bare = F.regexp_replace(F.lower(text), rf"[{X.WS}]+", "")
+    html = F.coalesce("html_content", F.lit(""))
+    place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
+    m = chapters.select(
+        "book_id", X.count_cjk(text).alias("size"), X.count_nonspace(text).alias("signs"), X.has_mojibake(html).alias("broken"), X.has_residue(html).alias("residue"),
+        F.when(F.length(bare) >= 100, F.sha1(bare)).alias("content_key"), place.alias("place"),
+    )
+    filled = F.when(F.col("size") > 0, F.col("size"))
+    head = lambda col: F.sum(F.when(F.col("place") <= 3, F.col(col)))
+    base = m.groupBy("book_id").agg(
+        F.count("*").alias("n_chapters"), F.sum("size").alias("n_words"), F.count_if(F.col("size") < 20).alias("n_empty"), F.max(F.col("broken").cast("int")).alias("broken"), F.count_if("residue").alias("n_residue"),
+        F.coalesce(F.try_divide(head("size"), head("signs")), F.lit(1.0)).alias("cjk_ratio"), (F.stddev_pop(filled) / F.avg(filled)).alias("cv"), F.count(filled).alias("n_filled"),
+    )
+    texts = m.where("content_key is not null").groupBy("book_id", "content_key").count().where("count > 1").groupBy(F.col("book_id").alias("c_book")).agg(F.sum("count").alias("dup_chapters"))
+    return base.join(texts, F.col("book_id") == F.col("c_book"), "left").drop("c_book").na.fill(0, ["dup_chapters"])
+
+
+def detected_chapters(texts: DataFrame) -> DataFrame:
+    """(key, position, title, pattern) of Chinese chapter titles in HTML (key, html): headings, else short paragraphs."""
+
+    def found(expression: str, longest: int | None) -> DataFrame:
+        parts = F.regexp_extract_all("html", F.lit(expression), F.lit(1))
+        rows = texts.select("key", F.posexplode(parts).alias("position", "raw")).select("key", "position", X.strip_tags_decode(F.col("raw")).alias("title"))
+        if longest:
+            rows = rows.where(F.length("title").between(1, longest))
+        return rows.withColumn("pattern", M.zh_title_pattern(F.col("title"))).where("pattern is not null")
+
+    headings = found(r"(?is)<h[1-6][^>]*>(.*?)</h[1-6]>", None)
+    with_heading = headings.select(F.col("key").alias("h_key")).distinct()
+    short = found(r"(?is)<p[^>]*>(.*?)</p>", 50)
+    return headings.unionByName(short.join(with_heading, F.col("key") == F.col("h_key"), "left_anti"))
+
+
+def calibration(pairs: DataFrame, tolerance: float = 0.15, least: int = 80) -> DataFrame:
+    """(key, difference, passed): relative word difference against ground truth (key, words, truth, score)."""
+    difference = (F.col("words") - F.col("truth")) / F.when(F.col("truth") == 0, F.lit(1)).otherwise(F.col("truth"))
+    rounded = round_half_up(difference * 10_000) / 10_000
+    return pairs.select("key", rounded.alias("difference"), ((F.abs(difference) <= tolerance) & (F.col("score") >= least)).alias("passed"))

@@ -22,6 +22,7 @@ UNITS = (
     "cwt\\.? grains? gallons? quarts? pints? bushels? barrels? hogsheads? firkins? gills? shillings? pence guineas? crowns? florins? "
     "sovereigns? acres? knots? ft\\.? in\\.? yd\\.? mi\\.? mph"
 ).split()
+# Roman numerals as they are recognised.
 _ROMAN = r"X{0,3}(?:IX|IV|V?I{1,3})|X{1,3}|XL|L(?:X{0,3})|(?:XC|C)?[MDCLXVI]+"
 
 
@@ -43,6 +44,7 @@ def wrap_units(html: Column) -> Column:
     return on_text_nodes(html, lambda x: F.regexp_replace(x, rf"(?i)\d{{1,3}}(?:,\d{{3}})*(?:\.\d+)?[{WS}]+(?:{'|'.join(UNITS)}){B1}", mark))
 
 
+# Elements whose class marks verse, quotations, and the mark they get.
 _VERSE_CLASS = re.compile(r'<(blockquote|div|p|pre)(\s[^>]*?)class="([^"]*\b(?:verse|poem|stanza)\b[^"]*)"([^>]*?)>', re.I)
 _QUOTE = re.compile(r"<blockquote(\b[^>]*)>([\s\S]*?)</blockquote>", re.I)
 _BREAK = re.compile(r"<br\s*/?>", re.I)

@@ -146,6 +146,7 @@ def clean_notices(html: Column) -> Column:
     A guard over all phrases keeps the long chain away from texts that hold none.
     """
     text = html
+    # Containers and blocks that hold nothing but notices.
     for pattern in (
         r"""(?is)<section[^>]*(?:class="[^"]*pg-boilerplate[^"]*"|id="pg-(?:header|footer)")[^>]*>.*?</section>""",
         r"""(?is)<div[^>]*id="pg-(?:machine-header|start-separator|end-separator)"[^>]*>.*?</div>""",
@@ -166,6 +167,7 @@ def clean_chapter(html: Column) -> Column:
     return trim_ws(unlink_endnotes(strip_markers(clean_notices(drop_active_tags(html)))))
 
 
+# Signs of wrong decoding and of distribution notices.
 MOJIBAKE = r"Ã[¤¶¼©¨ ]|â€|Â |\x{FFFD}|[\x{80}-\x{9F}]|Ã[\x{80}-\x{BF}]|Â[^" + WS + "]"
 RESIDUE = r"(?i)Project Gutenberg|gutenberg\.org|\*\*\* START OF|\*\*\* END OF|This eBook is for the use of anyone|SMALL PRINT!"
 

@@ -37,6 +37,7 @@ def smart_quotes(node: Column) -> Column:
     for entity, sign in (("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'")):
         s = F.replace(s, F.lit(entity), F.lit(sign))
     end = rf"[{WS}.,;:!?)\]}}\-{EM}{EN}"
+    # Patterns and replacements in their order.
     steps = (
         (rf"(?i)({_W})'(t|s|d|ll|re|ve|m){B1}", f"$1{RSQ}$2"),
         (rf"(?i)(?<={_W})'(tis|twas|em|n|cause){B1}", f"{RSQ}$1"),

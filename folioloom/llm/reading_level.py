@@ -208,8 +208,10 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int =
 
 
 def fit_levels(scored: DataFrame, rows: int = TRAIN_ROWS) -> dict:
-    """The model fitted on the ``rows`` graded documents of lowest id hash (a bounded sample)."""
-    sample = scored.orderBy(F.xxhash64("id"), "id").limit(rows).select(*_feature_columns(), "cefr_level").toPandas()
+    """The model fitted on about ``rows`` graded documents, chosen by a hash of their id (a bounded sample)."""
+    many = scored.count()
+    drawn = scored.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * rows / many)) if many > rows else scored
+    sample = drawn.select(*_feature_columns(), "cefr_level").toPandas()
     if sample.empty:
         return {}
     return fit_ordinal(sample[list(FEATURES)].to_numpy(float), sample["cefr_level"].map(LEVELS.index).to_numpy())

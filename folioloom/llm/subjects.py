@@ -225,7 +225,8 @@ def train(documents: DataFrame, labels: DataFrame) -> SubjectModel:
     n_labelled = per_document.count()
     if n_labelled > MAX_LABELLED:
         per_document = per_document.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * MAX_LABELLED / n_labelled))
-    sample = held.join(per_document, F.col("held_id") == F.col("doc_id")).select("doc_id", "text", "areas").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    # About MAX_LABELLED ids at most, so the join needs no shuffle of the texts.
+    sample = held.join(F.broadcast(per_document), F.col("held_id") == F.col("doc_id")).select("doc_id", "text", "areas").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
     if sample.empty:
         return SubjectModel()
     texts, marks = sample["text"].tolist(), [set(a) for a in sample["areas"]]

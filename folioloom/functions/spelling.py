@@ -1,8 +1,8 @@
 """Old spellings to modern ones in the text between tags.
 
-The rules run in order. Their patterns are compiled once per Python worker and one
-alternation over all of them guards the chain, so texts without an old form pay for a
-single search. Null stays null; tags and attributes are never changed.
+The rules run in order. Their patterns are compiled once per Python worker, and a rule is
+tried only where its first word occurs, so texts without an old form pay for one split
+into words. Null stays null; tags and attributes are never changed.
 """
 
 from __future__ import annotations
@@ -42,37 +42,51 @@ aërial = aerial; dôme = dome; cælestis = caelestis; tædium = taedium
 LIGATURES = (("Æ(?=[a-z])", "Ae"), ("Œ(?=[a-z])", "Oe"), ("æ", "ae"), ("œ", "oe"))
 
 
+_WORD = re.compile("[a-zà-ÿ]+")
+_NODE = re.compile(r"(<[^>]*>)")
+
+
 @lru_cache(maxsize=1)
-def _compiled() -> tuple[re.Pattern, list[tuple[re.Pattern, str]]]:
-    rules, sources = [], []
+def _rules() -> list[tuple[str, re.Pattern, str]]:
+    """(first word in lower case, pattern, new form) in rule order."""
+    out = []
     for entry in re.split(r"[;\n]", RULES):
         if "=" not in entry:
             continue
         old, new = (x.strip() for x in entry.split("="))
         flags = re.ASCII if old.startswith("!") else re.ASCII | re.IGNORECASE
-        body = re.escape(old.lstrip("!")).replace(r"\ ", r"\s+")
-        source = rf"\b{body}\b"
-        sources.append(source)
-        rules.append((re.compile(source, flags), new))
-    for source, new in LIGATURES:
-        sources.append(source)
-        rules.append((re.compile(source), new))
-    return re.compile("|".join(sources), re.ASCII | re.IGNORECASE), rules
+        form = old.lstrip("!")
+        body = re.escape(form).replace(r"\ ", r"\s+")
+        out.append((_WORD.findall(form.lower())[0], re.compile(rf"\b{body}\b", flags), new))
+    return out
 
 
-_NODE = re.compile(r"(<[^>]*>)")
+@lru_cache(maxsize=1)
+def _first_words() -> frozenset[str]:
+    return frozenset(first for first, _, _ in _rules())
+
+
+def _modernize_node(text: str) -> str:
+    """One text node; only rules whose first word stands in it are tried."""
+    present = _first_words().intersection(_WORD.findall(text.lower()))
+    if present:
+        for first, pattern, new in _rules():
+            if first in present:
+                text, hits = pattern.subn(new, text)
+                if hits:
+                    present = _first_words().intersection(_WORD.findall(text.lower()))
+    for source, new in LIGATURES:
+        if source[0] in text:
+            text = re.sub(source, new, text)
+    return text
 
 
 def modernize(html: str) -> str:
     """One HTML text with all rules applied to its text nodes."""
-    guard, rules = _compiled()
-    if not guard.search(html):
-        return html
     parts = _NODE.split(html)
     for i in range(0, len(parts), 2):
-        if parts[i] and guard.search(parts[i]):
-            for pattern, new in rules:
-                parts[i] = pattern.sub(new, parts[i])
+        if parts[i]:
+            parts[i] = _modernize_node(parts[i])
     return "".join(parts)
 
 

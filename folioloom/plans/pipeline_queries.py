@@ -11,6 +11,7 @@ from folioloom.functions import foreign, semantics, spelling, typography
 from folioloom.functions import text as X
 from folioloom.operators import catalog as C
 from folioloom.operators import quality
+from folioloom.operators.layout import spread
 from folioloom.plans.catalog_queries import STRIP, T, books, query
 
 _WS = X.WS
@@ -200,7 +201,7 @@ def calibrate(s, d):
 @query()
 def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
-    c = T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content")
+    c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content"))
     done = X.clean_chapter(F.col("html_content"))
     for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, foreign.tag_foreign):
         done = step(done)

@@ -9,6 +9,7 @@ from folioloom.functions import metrics as M
 from folioloom.functions import semantics as S
 from folioloom.functions import text as X
 from folioloom.operators import quality
+from folioloom.operators.layout import spread
 from folioloom.plans.catalog_queries import STRIP, T, query
 
 _WS = X.WS
@@ -29,7 +30,7 @@ _Z = "(SELECT id, html_content, title FROM zh_chapters WHERE html_content IS NOT
 
 @query(f"SELECT id, md5({STRIP}) AS digest FROM {_H}")
 def strip_html(s, d):
-    return html(s, d).select("id", F.md5(X.strip_html(F.col("h"))).alias("digest"))
+    return spread(html(s, d)).select("id", F.md5(X.strip_html(F.col("h"))).alias("digest"))
 
 
 _DROP = r"regexp_replace(regexp_replace(html_content, '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?is)<script[^>]*>.*?</script>', '', 'g')"
@@ -178,7 +179,7 @@ def words_and_sentences(s, d):
        (floor((100 - flesch) * 10 + 0.5) / 10)::DOUBLE AS difficulty, greatest(1, floor(nw / 250 + 0.5))::BIGINT AS minutes FROM f"""
 )
 def flesch_levels(s, d):
-    df = docs(s, d).where("lang = 'en'").select("doc_id", M.words(F.col("text")).alias("w"), F.size(M.sentences(F.col("text"))).alias("n"))
+    df = spread(docs(s, d).where("lang = 'en'").select("doc_id", "text")).select("doc_id", M.words(F.col("text")).alias("w"), F.size(M.sentences(F.col("text"))).alias("n"))
     df = df.select("doc_id", F.size("w").alias("nw"), "n", M.total_syllables(F.col("w")).alias("syl"))
     score = df.withColumn("flesch", M.flesch(F.col("nw"), F.col("n"), F.col("syl")))
     return score.select("doc_id", F.round("flesch", 1).alias("flesch"), M.cefr(F.col("flesch")).alias("cefr"), M.difficulty(F.col("flesch")).alias("difficulty"), M.reading_minutes(F.col("nw")).alias("minutes"))
@@ -318,22 +319,22 @@ def en_dashes(s, d):
 
 @query()
 def typographize(s, d):
-    return html(s, d).select("id", typography.typographize(F.col("h")).alias("html"))
+    return spread(html(s, d)).select("id", typography.typographize(F.col("h")).alias("html"))
 
 
 @query()
 def modernize_spelling(s, d):
-    return html(s, d).select("id", spelling.modernize_spelling(F.col("h")).alias("html"))
+    return spread(html(s, d)).select("id", spelling.modernize_spelling(F.col("h")).alias("html"))
 
 
 @query()
 def semanticize(s, d):
-    return html(s, d).select("id", S.semanticize(F.col("h")).alias("html"))
+    return spread(html(s, d)).select("id", S.semanticize(F.col("h")).alias("html"))
 
 
 @query()
 def clean_chapter(s, d):
-    return html(s, d).select("id", X.clean_chapter(F.col("h")).alias("html"))
+    return spread(html(s, d)).select("id", X.clean_chapter(F.col("h")).alias("html"))
 
 
 # ---- checks over whole books
@@ -384,9 +385,8 @@ _NA = r"trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\s]+', ' ', 'g')
        coalesce(miss, 1.0) AS miss FROM t LEFT JOIN m ON m.doc_id = t.doc_id) SELECT doc_id, alignment, round(miss::DOUBLE, 6) AS miss_rate, CASE WHEN na / greatest(nb, 1) BETWEEN 0.95 AND 1.05 AND alignment <> 'MISS' AND miss < 0.05 THEN 'OK' WHEN na / greatest(nb, 1) BETWEEN 0.9 AND 1.1 AND miss < 0.1 THEN 'WARN' ELSE 'SUSPECT' END AS verdict FROM r"""
 )
 def audit_fidelity(s, d):
-    pairs = T(s, d, "documents").where("lang = 'en'").select(
-        F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("ours"), F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("theirs")
-    )
+    english = spread(T(s, d, "documents").where("lang = 'en'").select("doc_id", "title", "text"))
+    pairs = english.select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("ours"), F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("text", F.lit(""))).alias("theirs"))
     return quality.fidelity(pairs).select(F.col("key").alias("doc_id"), "alignment", F.round("miss_rate", 6).alias("miss_rate"), "verdict")
 
 

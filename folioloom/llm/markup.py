@@ -4,7 +4,7 @@
 items, code, formulas) and the prose lines left over; ``clean_inline`` removes inline
 markup; ``body_lines`` finds the lines of the body by the line-block distribution: the
 text length of each line without markup is summed over a sliding window of lines, the
-body begins where the sum surges and ends where it dives.
+body begins where the sum surges and ends where it dives. Sentences outside the body stay.
 
 Defined results: null and empty texts have no blocks; unclosed markup is taken as plain
 text; texts are read whole; nothing raises on malformed input.
@@ -55,6 +55,8 @@ _BARS = re.compile(r"(?<![\w_])(_{1,3})(?=[^\s_])([^_\n]*?[^\s_])\1(?![\w_])")
 _TICKS = re.compile(r"(`+)([^`\n]+)\1|~~(?=\S)([^~\n]+)~~")
 _BREAK = re.compile(r"<(?:br|hr|/?p|/?div|/?td|/?tr)\b[^<>]*>", re.I)
 _SPACE = re.compile(r"\s+")
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003134f]")
+_SENTENCE = re.compile(r"""[.!?…,;:。！？，；：、][\"'”’»」』）)\]]*$|[.!?…][\"'”’»)\]]*\s|[。！？]""")
 
 
 class Block(NamedTuple):
@@ -195,36 +197,67 @@ def _list_run(lines: list[str], i: int) -> bool:
     return any(0 <= j < len(lines) and re.match(r"#[^#\s]|# ?[a-z]", lines[j]) for j in (i - 1, i + 1))
 
 
-def body_lines(lines: list[str], window: int = 3, surge: int = 80) -> list[bool]:
+def _weight(line: str) -> int:
+    """Size of the text in a line: characters without blanks, an ideograph as much as three letters."""
+    bare = _SPACE.sub("", line)
+    return len(bare) if bare.isascii() else len(bare) + 2 * len(_WIDE.findall(bare))
+
+
+def _usual(sizes: list[int]) -> int:
+    """The line size at which half of the text lies in lines of that size or more."""
+    left = sum(sizes)
+    total = left
+    for size in sorted(sizes, reverse=True):
+        left -= size
+        if 2 * left <= total:
+            return size
+    return 0
+
+
+def body_lines(lines: list[str], window: int = 3, surge: int = 80, structure: frozenset[int] = frozenset()) -> list[bool]:
     """Which lines lie between a surge and a dive of the line-block distribution.
 
-    ``lines`` are lines without markup. The length of the text in ``window`` consecutive
-    lines is summed at each line; a body begins at a line of some length whose sum exceeds
-    ``surge`` and goes on until the sum falls to zero.
+    ``lines`` are lines without markup. The size of the text in ``window`` consecutive
+    lines is summed at each line; a body begins at a line of some size whose sum reaches
+    ``surge``, or the usual line size of a text with shorter lines, and goes on until a run
+    of at least ``window`` empty lines. Lines in ``structure`` held a block that was taken
+    out: they neither fill the window nor let the body end.
     """
-    sizes = [len(_SPACE.sub("", line)) for line in lines]
-    sums = [sum(sizes[i : i + window]) for i in range(len(sizes))]
-    keep, inside = [False] * len(sizes), False
-    for i, total in enumerate(sums):
-        if not inside and total > surge and sizes[i] * 2 * window >= surge:
-            inside = True
-        if inside and total == 0:
+    sizes = [_weight(line) for line in lines]
+    level = min(surge, _usual(sizes))
+    rest = [i for i in range(len(sizes)) if i not in structure]
+    sums = {i: sum(sizes[j] for j in rest[k : k + window]) for k, i in enumerate(rest) if sizes[i]}
+    keep, inside, gap, held = [False] * len(sizes), False, 0, False
+    for i, size in enumerate(sizes):
+        if not size:
+            gap, held = gap + 1, held or i in structure
+            continue
+        if gap >= window and not held:
             inside = False
-        keep[i] = inside and sizes[i] > 0
+        gap, held = 0, False
+        if not inside and sums.get(i, size) >= level and size * 2 * window >= level:
+            inside = True
+        keep[i] = inside
     return keep
 
 
+def sentence_like(line: str) -> bool:
+    """Whether a line ends as a sentence or clause does, or holds the end of one."""
+    return bool(_SENTENCE.search(line))
+
+
 def clean_text(text: str | None) -> str | None:
     """The text without markup residue; headings, items, code and formulas keep a plain form.
 
     Headings come out as ``# title``, items as ``- item``, code between fences, formulas
-    between ``$$``. Null stays null.
+    between ``$$``. Lines outside the body go unless they read as sentences. Null stays null.
     """
     if text is None:
         return None
     blocks, rest = split_blocks(text)
     prose = [squeeze(clean_inline(line)) if line else "" for line in rest]
-    keep = body_lines(prose)
+    structure = frozenset(i for i, (raw, line) in enumerate(zip(text.split("\n"), prose)) if not line and raw and squeeze(clean_inline(raw)))
+    keep = body_lines(prose, structure=structure)
     out: list[str] = []
     at = 0
     forms = {HEADING: "# {}", LIST_ITEM: "- {}", CODE: "```\n{}\n```", FORMULA: "$$ {} $$"}
@@ -232,6 +265,6 @@ def clean_text(text: str | None) -> str | None:
         while at < len(blocks) and blocks[at].line <= i:
             out.append(forms[blocks[at].kind].format(blocks[at].text))
             at += 1
-        if line and keep[i]:
+        if line and (keep[i] or sentence_like(line)):
             out.append(line)
     return "\n".join(out)

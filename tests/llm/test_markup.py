@@ -56,6 +56,25 @@ def test_body_lines():
     assert markup.body_lines(["menu", "", "", "x" * 100, "y" * 100, "", "", "", "foot"]) == [False, False, False, True, True, False, False, False, False]
 
 
+ENGLISH = "<p>The long river went on past the mill, and nobody in the village could say where it ended or why.</p>"
+CHINESE = "<p>西风的木箱在后院，送来了少年。茶馆寻到雪地，江水便走过店家。</p>"
+
+
+@pytest.mark.parametrize("paragraph", [ENGLISH, CHINESE, "<p>It rained.</p>", "<p>雨后，少年想起村口。</p>"])
+@pytest.mark.parametrize("between", ["\n", "\n\n", "\n\n# One\n#two\n#three\n#four\n\n", "\n\n```\na\n\n\n\nb\n```\n\n", "\n\n\n\n\n"])
+def test_no_paragraph_of_a_chapter_is_lost(paragraph, between):
+    inner = markup.squeeze(markup.clean_inline(paragraph))
+    for text in (between.join([paragraph] * 3), ENGLISH + between + paragraph + between + paragraph):
+        lines = markup.clean_text(text).split("\n")
+        assert lines.count(inner) >= 2 and sum(line.endswith((".", "。")) for line in lines) == 3
+
+
+def test_structure_is_neutral_and_menus_still_go():
+    assert markup.body_lines(["x" * 100, "", "", "", "verse of the song"], structure=frozenset({2})) == [True, False, False, False, True]
+    assert markup.body_lines(["x" * 100, "", "", "", "verse"]) == [True, False, False, False, False]
+    assert markup.clean_text("Home\n\n\n" + ENGLISH + "\n\n\n\nTop").split("\n") == [ENGLISH[3:-4]]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab *#=$\\[](){}<>&;`~-_'\n1.|/hlipre", max_size=200))
 def test_never_raises_and_keeps_lines(text):

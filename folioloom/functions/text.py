@@ -33,6 +33,26 @@ def round_half_up(value: Column) -> Column:
     return F.floor(value + F.lit(0.5))
 
 
+def one_decimal(n: Column, unit: int) -> Column:
+    """``n / unit`` with one decimal, rounded by the exact value of the double, exact ties up.
+
+    Only where the decimal value is a tie does the double's own error decide; it is told
+    from the high and low half of the quotient, whose products are exact.
+    """
+    x = n / F.lit(float(unit))
+    high = x.cast("float").cast("double")
+    error = (high * unit - n) + (x - high) * unit
+    tenth = unit // 10
+    below = (n % tenth == tenth // 2) & (error < 0)
+    k = F.floor((n + tenth // 2) / tenth) - F.when(below, 1).otherwise(0)
+    return F.concat(F.floor(k / 10).cast("string"), F.lit("."), (k % 10).cast("string"))
+
+
+def short_number(n: Column) -> Column:
+    """Counts as 12.3K and 4.5M from a thousand and a million on."""
+    return F.when(n >= 1000000, F.concat(one_decimal(n, 1000000), F.lit("M"))).when(n >= 1000, F.concat(one_decimal(n, 1000), F.lit("K"))).otherwise(n.cast("string"))
+
+
 def drop_active_tags(html: Column) -> Column:
     """HTML without style and script elements."""
     return F.regexp_replace(F.regexp_replace(html, r"(?is)<style[^>]*>.*?</style>", ""), r"(?is)<script[^>]*>.*?</script>", "")

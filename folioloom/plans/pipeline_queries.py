@@ -78,6 +78,14 @@ def suffix_join(s, d):
     return c.join(tails, F.col("file") == F.col("tail")).groupBy("id").agg(F.min("book").alias("book"))
 
 
+@query("SELECT c.id, min(b.id) AS book FROM (SELECT DISTINCT id, split_part(href, '/', -1) AS file FROM chapters) c JOIN (SELECT id, printf('ch%03d.xhtml', pg_id) AS tail FROM books WHERE pg_id IS NOT NULL) b ON c.file = b.tail GROUP BY c.id")
+def suffix_join_all(s, d):
+    """Every book with a number; a path ends with a file name exactly if that is its last part."""
+    tails = T(s, d, "books").where("pg_id is not null").groupBy(F.format_string("ch%03d.xhtml", "pg_id").alias("tail")).agg(F.min("id").alias("book"))
+    c = T(s, d, "chapters").select("id", F.element_at(F.split("href", "/"), -1).alias("file")).distinct()
+    return c.join(tails, F.col("file") == F.col("tail")).groupBy("id").agg(F.min("book").alias("book"))
+
+
 @query("SELECT w, count(*) AS n, coalesce(max(d.level), -1) AS level FROM (SELECT unnest(string_split(lower(title), ' ')) AS w FROM books WHERE title IS NOT NULL) t LEFT JOIN (VALUES ('the', 1), ('and', 1), ('beyond', 3)) d(word, level) ON t.w = d.word GROUP BY w")
 def dict_join(s, d):
     words = s.createDataFrame([("the", 1), ("and", 1), ("beyond", 3)], "word string, level int")

@@ -158,3 +158,13 @@ def test_stream_equals_batch(spark, small, tmp_path):
     counts = jobs.windowed_counts(stream).writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     counts.awaitTermination(120)
     assert rows(spark.table("windows").select("start", "event_type", "n")) == rows(jobs.windowed_counts(batch).select("start", "event_type", "n"))
+
+
+def test_suffix_join_matches_every_book(spark, tmp_path):
+    from folioloom.plans import registry
+
+    spark.createDataFrame([("b1", 4), ("b3", 6), ("b2", 6), ("b9", 1234), ("n", None)], "id string, pg_id int").write.parquet(f"{tmp_path}/books.parquet")
+    hrefs = [("c1", "text/ch004.xhtml"), ("c2", "ch006.xhtml"), ("c2", "ch006.xhtml"), ("c3", "a/b/ch1234.xhtml"), ("c4", "xch006.xhtml"), ("c5", None), ("c6", "ch006.xhtml/")]
+    spark.createDataFrame(hrefs, "id string, href string").write.parquet(f"{tmp_path}/chapters.parquet")
+    rows = registry.QUERIES["suffix_join_all"](spark, str(tmp_path)).collect()
+    assert {(r.id, r.book) for r in rows} == {("c1", "b1"), ("c2", "b2"), ("c3", "b9")} and len(rows) == 3

@@ -1,0 +1,101 @@
+"""Common English words by which italic phrases in another language are told.
+
+The list is that of ``scripts/lib/english-words.ts`` of the reference (Copyright 2024-2026
+Readmigo, Apache License 2.0, http://www.apache.org/licenses/LICENSE-2.0), sorted and
+without repeats; the words are unchanged.
+"""
+
+# 1868 words.
+ENGLISH_WORDS = frozenset(
+    """
+a abandon abandoned able aboard about above abroad absence absent absolute absolutely absorb absorbed abstract absurd abundance abundant abuse accept
+acceptable accepted access accident accidental accidentally accommodate accompany accomplish accomplished accord accordance according accordingly
+account accurate accurately accuse accustomed ache achieve achievement acid acknowledge acquaint acquaintance acquire across act action active
+activity actual actually acute adam add addition additional address adequate adjust administration admirable admiration admire admit admitted adopt
+advance advanced advantage adventure adventurous advice advise affair affect affection affectionate afford afraid after afternoon afterwards again
+against age aged agency agent ago agony agree agreeable agreed agreement ahead aid aim air alarm alas alive all allow allowance almost alone along
+alongside already also alter alternative although altogether always am amaze amazed amazement amazing ambition ambitious among amongst amount amuse
+amusement ancient and angel anger angle angry animal announce announcement annoy annual another answer anxiety anxious anxiously any anybody anyhow
+anyone anything anyway anywhere apart apartment apology apparent apparently appeal appear appearance appetite apple application apply appoint
+appointment approach appropriate approval approve april arch argument arise arm army around arrange arrangement arrest arrival arrive arrow art
+article artificial artist as aside ask asleep aspect assemble assembly assert assist assistance assistant associate association assume assurance
+assure astonish astonished astonishment at atmosphere attach attack attempt attend attendance attention attitude attract attraction attractive
+audience august aunt author authority autumn available avenue avoid awake award aware away awful awkward baby back background backward bad badly bag
+balance ball band bank bar bare barely barn barrier base basis basket bath battle bay be beach bear beard beast beat beautiful beautifully beauty
+became because become bed bedroom been beer before began begin beginning begun behalf behave behavior behind being belief believe bell belong beloved
+below belt bench bend beneath benefit bent beside besides best better between beyond bible big bill bind bird birth birthday bit bite bitter black
+blade blame blank blanket blast blaze bleed bless blessed blind block blood bloody blow blue board boat body bold bone book border bore born borrow
+both bother bottle bottom bound bow box boy brain branch brave bread break breakfast breast breath breathe breed brick bridge brief bright brilliant
+bring broad broke broken brother brought brown brush build building bunch burden burn burst bury bus bush business busy but butter buy by cabin cake
+call calm came camp can candle cap capable capacity capital captain capture car card care career careful carefully carriage carry case cast cat catch
+cattle caught cause cease ceiling celebrate cell central centre ceremony certain certainly chain chair chairman challenge champion chance change
+channel chapter character charge charm chase cheap check cheek cheer chest chief child childhood children chin choice choose church circle
+circumstance citizen city civil claim class clean clear clearly clerk clever climb clock close closely cloth clothes cloud club coach coal coast coat
+coffee cold collar collect collection college colonel colour column combination combine come comfort comfortable command commander comment commercial
+commission commit committee common communicate communication community companion company compare comparison compete competition complain complete
+completely complex complication compose composition concern condition conduct conference confidence confident confuse confusion connect connection
+conscience conscious consider considerable consideration consist constant constantly construct construction consult consumer contact contain content
+contest continue contract contrast contribution control conversation convert convince cook cool cooperation copy corner correct cost cottage could
+council count country countryside county couple courage course court cousin cover crack craft crash crazy cream create creation creature credit crew
+crime criminal crisis critical criticism cross crowd cruel cry cultural culture cup current curtain curve custom customer cut cycle dad damage dance
+danger dangerous dare dark darkness date daughter day dead deal dear death debate debt decade decent decide decision declare decline deep deeply deer
+defeat defend defense degree delay deliver delivery demand democracy demonstrate department depend deposit depression derive describe description
+desert deserve design desire desk desperate despite destroy destruction detail determine develop development device die difference different difficult
+difficulty dig dinner direct direction directly director dirt dirty disappear discover discovery discuss discussion disease dish dismiss display
+distance district divide division do doctor document dog dollar domestic door double doubt down drag drama dramatic draw drawing dream dress drink
+drive drop drug dry due during dust duty each ear early earn earth ease easily east eastern easy eat edge edition editor education effect effective
+effort egg eight either election element else elsewhere emerge emergency emotion emotional emphasis empire employ employee employer empty enable
+encounter encourage end enemy energy engine engineer enjoy enormous enough ensure enter entire entirely entrance entry environment equal equally
+equipment escape especially essential establish estate even evening event eventually ever every everybody everyone everything everywhere evidence evil
+exact exactly examine example excellent except exchange excite excitement exclaim excuse exercise exist existence expect expectation expense
+experience experiment expert explain explanation explode explore explosion expose express expression extend extra extraordinary extreme extremely eye
+face fact factor factory fail failure fair fairly faith fall familiar family famous fan far farm farmer fashion fast fat fate father fault fear
+feature february feed feel feeling fellow felt female fence few field fifteen fifth fifty fight figure fill film final finally financial find fine
+finger finish fire firm first fish fit five fix flat flesh flight float floor flow flower fly fold folk follow following food foot for force foreign
+forest forever forget form formal former forward found four free freedom french frequent frequently fresh friend friendly front fruit fuel full fully
+fun function fund future gain game garden gate gather gave general generally generation gentle gentleman get gift girl give glad glass go god gold
+golden gone good government governor grab grace grand grandfather grandmother grass grave gray great green grey ground group grow growth guard guess
+guest guide gun guy hair half hall hand handle hang happen happy hard hardly hat hate have he head health healthy hear heart heat heavy hell help her
+here herself hide high highly him himself his hit hold hole holiday home honor hope horse hospital host hot hotel hour house household how however
+huge human hundred hunt husband i ice idea identify if ignore ill image imagine immediate immediately immigrant impact imply importance important
+impose impossible impress impression improve in inch incident include including income increase increasingly incredible indeed independent indicate
+individual industry inflation influence inform information initial initially injury inner innocent inside insist instead institution interest
+interesting internal interview into introduce introduction invest investigation investment investor iron island issue it item its itself january job
+join joint joke judge judgment july jump june junior jury just justice justify keen keep key kid kill kind king kitchen knee knew knock know knowledge
+labor lack land language large largely last late later latter laugh launch law lawyer lay layer lead leader leadership learn least leather leave left
+leg legal less lesson let letter level liberal lie life lift light like likely limit line link lip list listen little live living local long look lord
+lose loss lost lot loud love lovely low luck lunch machine magazine main mainly maintain major majority make male man manage management manager manner
+many map march mark market marriage married marry mass master match material matter may maybe me meal mean meaning measure media medical meet meeting
+member memory mental mention merely message method middle might military mind mine minister minor minute mirror miss mission mistake mix model modern
+moment money month mood more moreover morning most mostly mother mouth move movement much murder music must my myself mystery name narrow nation
+national natural naturally nature near nearby nearly necessarily necessary neck need negative neighbor neither network never nevertheless new news
+newspaper next nice night nine no nobody nod none nor normal normally north northern nose not note nothing notice novel now nowhere number nurse
+object obvious obviously occasion occur ocean october odd of off offer office officer official often oh oil ok old on once one only onto open operate
+operation opinion opportunity option or order ordinary organization other otherwise ought our ourselves out outside over overall own owner page pain
+paint painting pair pale panel paper parent park part particular particularly partly partner party pass passage passenger past path patient pattern
+pause pay peace people per perhaps period permit person personal personally perspective phone photo photograph phrase physical pick picture piece
+pilot place plan plant plate play player please pleasure plenty pocket poem poet poetry point police policy political poor popular population portion
+position positive possibility possible possibly pot pound pour power powerful practical practice pray prayer present president press pressure pretty
+prevent previous previously price pride prime prince princess principal principle print prior prison prisoner private probably problem proceed process
+produce product production professional professor program project promise promote proper properly property proposal propose prospect protect prove
+provide public pull purpose push put quarter question quick quickly quiet quietly quite race rain raise range rapidly rare rate rather reach reaction
+read reader reading ready real reality realize really reason reasonable receive recent recently recognize recommend record red reduce reflect reform
+regard region relate relation relationship relative religion religious remain remaining remarkable remember remind remove repeat replace report
+represent request require research resource respond response rest restaurant result return reveal rich ride right ring rise risk river road rock role
+roll room round rule run rush safe safety said sale same saturday save say scene school science score sea search season seat second secret secretary
+section security see seek seem select sell send senior sense sentence separate september serious seriously serve service set settle seven several
+severe shake shall shape share she shoot short shortly should shoulder shout show shut side sight sign signal significant silence similar simple
+simply since sing sir sister sit situation six size skill skin sleep slightly slip slow slowly small smile so social society soldier some somebody
+somehow someone something sometimes somewhat somewhere son song soon sorry sort soul sound source south southern space speak special specific speech
+speed spend spirit spread spring square staff stage stand standard star start state statement station stay step stick still stock stop store story
+strange street strong structure student study stuff style subject success successful such suddenly suffer suggest summer sun sunday support sure
+surface surprise table take talk task tax teach teacher team tell ten tend term test than thank that the their them themselves then there therefore
+these they thing think third thirty this those though thought thousand three through throughout throw thursday thus tie time tiny to today together
+tomorrow tonight too top total touch tough toward town trade traditional training travel treat tree trial trip trouble true truly trust truth try
+tuesday turn tv twelve twenty two type typical uncle under understand union unit united university unless until up upon upper us use used useful user
+usual usually valley value various version very victim view violence visit voice vote wait walk wall want war watch water way we weapon wear weather
+wednesday week weight welcome well west western what whatever when where whether which while white who whole whom whose why wide wife will win wind
+window winter wish with within without woman wonder wood word work worker world worry worse worst worth would write writer wrong yard yeah year yes
+yesterday yet you young your yourself youth
+""".split()
+)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import foreign, images
 from folioloom.functions import text as X
+from folioloom.functions.english_words import ENGLISH_WORDS
 from folioloom.plans.catalog_queries import T, query
 from folioloom.sources import listing
 from folioloom.streaming import jobs
@@ -77,9 +78,8 @@ def src_download_listing(s, d):
 
 @query()
 def tag_foreign(s, d):
-    words = frozenset("the a of and in to his her each that this one said".split())
     h = T(s, d, "chapters").where("html_content is not null")
-    return h.select("id", foreign.tag_foreign(F.col("html_content"), words).alias("html"))
+    return h.select("id", foreign.tag_foreign(F.col("html_content"), ENGLISH_WORDS).alias("html"))
 
 
 @query()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import foreign, semantics, spelling, typography
 from folioloom.functions import text as X
+from folioloom.functions.english_words import ENGLISH_WORDS
 from folioloom.operators import catalog as C
 from folioloom.operators import quality
 from folioloom.operators.layout import spread
@@ -211,7 +212,7 @@ def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
     c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content"))
     done = X.clean_chapter(F.col("html_content"))
-    for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, foreign.tag_foreign):
+    for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, lambda html: foreign.tag_foreign(html, ENGLISH_WORDS)):
         done = step(done)
     out = c.select("id", "book_id", "order_num", X.captions(F.col("html_content")).alias("captions"), done.alias("html"))
     return out.withColumn("words", X.count_words(X.strip_html(F.col("html"))))

@@ -171,3 +171,14 @@ def test_format_number_sees_every_record(spark, tmp_path):
     spark.createDataFrame(list(enumerate(counts)), "record_id long, download_count long").write.parquet(f"{tmp_path}/gutendex_authors.parquet")
     rows = registry.QUERIES["format_number_all"](spark, str(tmp_path)).orderBy("record_id").collect()
     assert [r.shown for r in rows] == ["7", "1.2K", "1.4K", "606.5K", "2.3M"]
+
+
+def test_both_queries_mark_unlisted_phrases_and_spare_english(spark, tmp_path):
+    from folioloom.plans import registry
+
+    html = "<p><i>magna cum pecunia</i> and <i>das größere Haus</i> and <i>a happy afternoon without money</i> were said.</p>"
+    spark.createDataFrame([("c", "b", 1, html)], "id string, book_id string, order_num int, html_content string").write.parquet(f"{tmp_path}/chapters.parquet")
+    for name in ("tag_foreign", "process_chapters"):
+        got = registry.QUERIES[name](spark, str(tmp_path)).first().html
+        assert '<i xml:lang="la">magna cum pecunia</i>' in got and '<i xml:lang="de">das größere Haus</i>' in got, name
+        assert "<i>a happy afternoon without money</i>" in got, name

@@ -315,12 +315,22 @@ def em_dashes(s, d):
     return df.select("doc_id", F.md5(typography.em_dashes(F.replace(F.col("text"), F.lit("-"), F.lit("--")))).alias("digest"))
 
 
+@query(rf"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(replace(text, '-', '--'), ' ?-- ?', chr(8288) || chr(8212), 'g'), ' ?' || chr(8212) || ' ?', chr(8212), 'g'), chr(8288) || '?' || chr(8212), chr(8288) || chr(8212), 'g')) AS digest FROM {_DOC}")
+def em_dashes_all(s, d):
+    return docs(s, d).select("doc_id", F.md5(typography.em_dashes(F.replace(F.col("text"), F.lit("-"), F.lit("--")))).alias("digest"))
+
+
 @query("SELECT x, regexp_replace(x, '(\\d)[\\s]*-[\\s]*(\\d)', '\\1' || chr(8288) || chr(8211) || chr(8288) || '\\2', 'g') AS y FROM (VALUES ('pages 10-20 and 1-2-3'), ('1 - 2'), ('a-b')) t(x)")
 def en_dashes(s, d):
     df = s.createDataFrame([("pages 10-20 and 1-2-3",), ("1 - 2",), ("a-b",)], "x string")
     return df.select("x", typography.en_dashes(F.col("x")).alias("y"))
 
 
+@query(rf"SELECT id, md5(regexp_replace(html_content, '(\d)[{_WS}]*-[{_WS}]*(\d)', '\1' || chr(8288) || chr(8211) || chr(8288) || '\2', 'g')) AS digest FROM {_H}")
+def en_dashes_all(s, d):
+    return html(s, d).select("id", F.md5(typography.en_dashes(F.col("h"))).alias("digest"))
+
+
 # ---- results that SQL cannot state; tested on literals
 
 

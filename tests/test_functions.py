@@ -182,3 +182,17 @@ def test_both_queries_mark_unlisted_phrases_and_spare_english(spark, tmp_path):
         got = registry.QUERIES[name](spark, str(tmp_path)).first().html
         assert '<i xml:lang="la">magna cum pecunia</i>' in got and '<i xml:lang="de">das größere Haus</i>' in got, name
         assert "<i>a happy afternoon without money</i>" in got, name
+
+
+def test_dashes_of_every_row(spark, tmp_path):
+    from hashlib import md5
+
+    from folioloom.plans import registry
+
+    cases = {"a — b": f"a{WJ}—b", f"a{WJ}—b": f"a{WJ}—b", "a—b - c": f"a{WJ}—b{WJ}—c", "no dash": "no dash"}
+    spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = registry.QUERIES["em_dashes_all"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r.digest for r in rows] == [md5(x.encode()).hexdigest() for x in cases.values()]
+    spark.createDataFrame([("c", "pages 10 - 20, a-b", "t"), ("n", None, "t")], "id string, html_content string, title string").write.parquet(f"{tmp_path}/chapters.parquet")
+    rows = registry.QUERIES["en_dashes_all"](spark, str(tmp_path)).collect()
+    assert [r.digest for r in rows] == [md5(f"pages 10{WJ}–{WJ}20, a-b".encode()).hexdigest()]

@@ -41,7 +41,7 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """CEFR level of every chapter with enough prose: the model's level, settled by the exact score."""
+    """CEFR level of every chapter with enough prose, by the formula; the model's level is in ``p4_levels``."""
     return reading_level.reading_levels(_site_documents(spark, d)).select("id", "cefr_level").distinct()
 
 

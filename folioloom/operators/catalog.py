@@ -80,6 +80,13 @@ def conflicts(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame
     return batch.join(taken, reduce(and_, [F.col(k) == F.col(f"s_{k}") for k in keys]), "left_semi")
 
 
+def shared_keys(rows: DataFrame, row_id: str, keys: list[str]) -> DataFrame:
+    """Rows whose unique key another id holds too; keys with a null part are no conflict."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    w = Window.partitionBy(*keys)
+    return rows.where(whole).withColumn("several", F.min(row_id).over(w) != F.max(row_id).over(w)).where("several").drop("several")
+
+
 def replace_children(stored: DataFrame, batch: DataFrame, parent: str) -> DataFrame:
     """Children with those of every parent in the batch replaced by the batch's."""
     parents = batch.select(F.col(parent).alias("b_parent")).distinct()

@@ -554,6 +554,11 @@ def unique_conflicts(s, d):
     return C.conflicts(z.where("id % 3 = 0").select("source_type", "source_book_id"), z.where("id % 2 = 0"), ["source_type", "source_book_id"])
 
 
+@query("SELECT DISTINCT id, source_type, source_book_id FROM zh_sources WHERE (source_type, source_book_id) IN (SELECT (source_type, source_book_id) FROM zh_sources WHERE source_type IS NOT NULL AND source_book_id IS NOT NULL GROUP BY source_type, source_book_id HAVING count(DISTINCT id) > 1)")
+def unique_conflicts_all(s, d):
+    return C.shared_keys(T(s, d, "zh_sources").select("id", "source_type", "source_book_id").distinct(), "id", ["source_type", "source_book_id"])
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
        UNION ALL SELECT o_orderkey, 1, CAST(1 AS DOUBLE) FROM orders WHERE o_orderstatus = 'P'"""

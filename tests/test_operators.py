@@ -168,3 +168,17 @@ def test_suffix_join_matches_every_book(spark, tmp_path):
     spark.createDataFrame(hrefs, "id string, href string").write.parquet(f"{tmp_path}/chapters.parquet")
     rows = registry.QUERIES["suffix_join_all"](spark, str(tmp_path)).collect()
     assert {(r.id, r.book) for r in rows} == {("c1", "b1"), ("c2", "b2"), ("c3", "b9")} and len(rows) == 3
+
+
+def test_unique_conflicts_of_every_row(spark, tmp_path):
+    import duckdb
+
+    from folioloom.plans import registry
+
+    rows = [(1, "a", "x"), (5, "a", "x"), (5, "a", "x"), (6, "b", "x"), (6, "b", "x"), (7, "a", None), (8, "a", None), (4, "c", "y"), (9, "c", "y"), (11, "c", "z")]
+    spark.createDataFrame(rows, "id long, source_type string, source_book_id string").write.parquet(f"{tmp_path}/zh_sources.parquet")
+    got = registry.QUERIES["unique_conflicts_all"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in got) == [1, 4, 5, 9]
+    duck = duckdb.connect()
+    duck.execute(f"create view zh_sources as select * from '{tmp_path}/zh_sources.parquet/*.parquet'")
+    assert sorted(r[0] for r in duck.execute(registry.SQL["unique_conflicts_all"]).fetchall()) == [1, 4, 5, 9]

@@ -7,7 +7,9 @@ Null input gives null unless a docstring says otherwise.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -143,53 +145,96 @@ def image_filename(href: Column) -> Column:
     return F.regexp_replace(F.element_at(F.split(href, "/"), -1), r"[^a-zA-Z0-9.\-_]", "_")
 
 
-# Phrases that mark distribution notices in public-domain texts.
+class Publisher(NamedTuple):
+    """Who distributes the texts: the name, the site and the persons that its notices mention."""
+
+    name: str
+    site: str
+    persons: tuple[str, ...] = ()
+
+
+# Phrases that mark distribution notices in public-domain texts; NAME and SITE stand for the publisher's.
 NOTICE_PHRASES = (
-    r"The Project Gutenberg E[Bb]ook", r"Project Gutenberg License", r"www\.gutenberg\.org", r"gutenberg\.org/license",
-    r"This eBook is for the use of anyone anywhere", r"SMALL PRINT!", r"START OF (?:THIS |THE )?PROJECT GUTENBERG",
-    r"END OF (?:THIS |THE )?PROJECT GUTENBERG", r"End of Project Gutenberg's", r"\*\*\* START OF", r"\*\*\* END OF",
-    r"Most people start at our Web site", r"PLEASE READ THIS BEFORE YOU DISTRIBUTE", r"Updated editions will replace the previous one",
-    r"You may copy it, give it away or re-use it", r"Creating the works from print editions", r"The Foundation's principal office is in",
-    r"Professor Michael S\. Hart was the originator", r"The Project Gutenberg Literary Archive Foundation", r"Volunteers and financial support",
+    r"The NAME E[Bb]ook",
+    r"NAME License",
+    r"www\.SITE",
+    r"SITE/license",
+    r"This eBook is for the use of anyone anywhere",
+    r"SMALL PRINT!",
+    r"START OF (?:THIS |THE )?NAME",
+    r"END OF (?:THIS |THE )?NAME",
+    r"End of NAME's",
+    r"\*\*\* START OF",
+    r"\*\*\* END OF",
+    r"Most people start at our Web site",
+    r"PLEASE READ THIS BEFORE YOU DISTRIBUTE",
+    r"Updated editions will replace the previous one",
+    r"You may copy it, give it away or re-use it",
+    r"Creating the works from print editions",
+    r"The Foundation's principal office is in",
+    r"The NAME Literary Archive Foundation",
+    r"Volunteers and financial support",
     r"This etext was prepared by",
-    r"Produced by [^<]{0,200}(?:Project Gutenberg|Online Distributed|Distributed Proofreading|David Widger|Internet Archive|PGDP|pgdp\.net)",
-    r"by David Widger", r"Release Date:", r"Character set encoding:", r"A free ebook from Project Gutenberg", r"This file should be named",
-    r"If you received this eBook on a physical medium", r"Transcribed from the", r"Section \d+\.\s+General Information About Project Gutenberg",
+    r"Produced by [^<]{0,200}(?:NAME|Online Distributed|Distributed Proofreading|Internet Archive|PGDP|pgdp\.net)",
+    r"Release Date:",
+    r"Character set encoding:",
+    r"A free ebook from NAME",
+    r"This file should be named",
+    r"If you received this eBook on a physical medium",
+    r"Transcribed from the",
+    r"Section \d+\.\s+General Information About NAME",
+)
+# What a notice says of a person of the publisher; PERSON stands for the name.
+PERSON_PHRASES = (
+    r"Professor PERSON was the originator",
+    r"Produced by [^<]{0,200}PERSON",
+    r"by PERSON",
 )
-NOTICE_GUARD = "(?i)" + "|".join(NOTICE_PHRASES)
 _BLOCKS = "p|div|span|pre|h[1-6]|li|blockquote|section"
 
 
-def clean_notices(html: Column) -> Column:
+def notice_phrases(publisher: Publisher) -> list[str]:
+    """The patterns of the notices of one publisher."""
+    named = [p.replace("NAME", re.escape(publisher.name).replace(r"\ ", " ")).replace("SITE", re.escape(publisher.site)) for p in NOTICE_PHRASES]
+    return named + [p.replace("PERSON", re.escape(who)) for who in publisher.persons for p in PERSON_PHRASES]
+
+
+def clean_notices(html: Column, publisher: Publisher) -> Column:
     """Without distribution notices: marked containers, START/END blocks, blocks with a notice phrase, links.
 
     A guard over all phrases keeps the long chain away from texts that hold none.
     """
-    text = html
+    text, name, phrases = html, re.escape(publisher.name), notice_phrases(publisher)
     # Containers and blocks that hold nothing but notices.
     for pattern in (
         r"""(?is)<section[^>]*(?:class="[^"]*pg-boilerplate[^"]*"|id="pg-(?:header|footer)")[^>]*>.*?</section>""",
         r"""(?is)<div[^>]*id="pg-(?:machine-header|start-separator|end-separator)"[^>]*>.*?</div>""",
         r"""(?is)<(p|div)\b[^>]*class="[^"]*\btoc\b[^"]*"[^>]*>.*?</\1>""",
         r"(?is)<nav\b[^>]*>.*?</nav>",
-        r"(?is)\*\*\*\s*START OF (?:THIS |THE )?PROJECT GUTENBERG.*?\*\*\*",
-        r"(?is)\*\*\*\s*END OF (?:THIS |THE )?PROJECT GUTENBERG.*\z",
+        rf"(?is)\*\*\*\s*START OF (?:THIS |THE )?{name}.*?\*\*\*",
+        rf"(?is)\*\*\*\s*END OF (?:THIS |THE )?{name}.*\z",
     ):
         text = F.regexp_replace(text, pattern, "")
-    chained = reduce(lambda t, p: F.regexp_replace(t, rf"(?is)<({_BLOCKS})\b[^>]*>.*?(?:{p}).*?</\1>", ""), NOTICE_PHRASES, text)
-    text = F.when(text.rlike(NOTICE_GUARD), chained).otherwise(text)
-    text = F.regexp_replace(text, r"""(?is)<a[^>]*href="[^"]*gutenberg\.org[^"]*"[^>]*>.*?</a>""", "")
+    chained = reduce(lambda t, p: F.regexp_replace(t, rf"(?is)<({_BLOCKS})\b[^>]*>.*?(?:{p}).*?</\1>", ""), phrases, text)
+    text = F.when(text.rlike("(?i)" + "|".join(phrases)), chained).otherwise(text)
+    text = F.regexp_replace(text, rf"""(?is)<a[^>]*href="[^"]*{re.escape(publisher.site)}[^"]*"[^>]*>.*?</a>""", "")
     return trim_ws(F.regexp_replace(text, r"\n\s*\n\s*\n", "\n\n"))
 
 
-def clean_chapter(html: Column) -> Column:
+def clean_chapter(html: Column, publisher: Publisher) -> Column:
     """Active elements, notices, inline markers and note links removed, in this order."""
-    return trim_ws(unlink_endnotes(strip_markers(clean_notices(drop_active_tags(html)))))
+    return trim_ws(unlink_endnotes(strip_markers(clean_notices(drop_active_tags(html), publisher))))
 
 
-# Signs of wrong decoding and of distribution notices.
+# Signs of wrong decoding.
 MOJIBAKE = r"Ã[¤¶¼©¨ ]|â€|Â |\x{FFFD}|[\x{80}-\x{9F}]|Ã[\x{80}-\x{BF}]|Â[^" + WS + "]"
-RESIDUE = r"(?i)Project Gutenberg|gutenberg\.org|\*\*\* START OF|\*\*\* END OF|This eBook is for the use of anyone|SMALL PRINT!"
+# Signs that a distribution notice is left; NAME and SITE stand for the publisher's.
+RESIDUE = ("NAME", "SITE", r"\*\*\* START OF", r"\*\*\* END OF", "This eBook is for the use of anyone", "SMALL PRINT!")
+
+
+def residue_pattern(publisher: Publisher) -> str:
+    """The pattern of the notices left of one publisher."""
+    return "(?i)" + "|".join(p.replace("NAME", re.escape(publisher.name).replace(r"\ ", " ")).replace("SITE", re.escape(publisher.site)) for p in RESIDUE)
 
 
 def has_mojibake(text: Column) -> Column:
@@ -197,16 +242,25 @@ def has_mojibake(text: Column) -> Column:
     return text.rlike(MOJIBAKE)
 
 
-def has_residue(html: Column) -> Column:
+def has_residue(html: Column, publisher: Publisher) -> Column:
     """Whether distribution notices are left."""
-    return html.rlike(RESIDUE)
+    return html.rlike(residue_pattern(publisher))
+
+
+def long_words(text: Column) -> Column:
+    """The words of a text with more than two characters."""
+    return F.filter(F.split(text, rf"[{WS}]+"), lambda w: F.length(w) > 2)
+
+
+def foreign_words(words: Column) -> Column:
+    """Those of the words that hold a non-ASCII character other than typographic signs."""
+    return F.filter(words, lambda w: F.regexp_replace(w, r"[\x{2018}\x{2019}\x{201C}\x{201D}\x{2014}\x{2013}\x{2026}\x{A0}\x{200A}\x{2060}]", "").rlike(r"[^\x00-\x7F]"))
 
 
 def non_english_ratio(text: Column) -> Column:
-    """Share of words over two letters with a non-ASCII character other than typographic signs; 0 without words."""
-    words = F.filter(F.split(text, rf"[{WS}]+"), lambda w: F.length(w) > 2)
-    odd = F.filter(words, lambda w: F.regexp_replace(w, r"[\x{2018}\x{2019}\x{201C}\x{201D}\x{2014}\x{2013}\x{2026}\x{A0}\x{200A}\x{2060}]", "").rlike(r"[^\x00-\x7F]"))
-    return F.when(F.size(words) > 0, F.size(odd) / F.size(words)).otherwise(F.lit(0.0))
+    """Share of the long words that are foreign ones; 0 without words."""
+    words = long_words(text)
+    return F.when(F.size(words) > 0, F.size(foreign_words(words)) / F.size(words)).otherwise(F.lit(0.0))
 
 
 def needs_punctuation(text: Column) -> Column:

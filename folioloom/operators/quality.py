@@ -1,7 +1,7 @@
 """Checks over the chapters of a book and the scores that follow from them.
 
-One aggregation by book (plus one each for repeated texts, paragraphs and titles), then
-one row-wise expression per score; no group is collected.
+One narrow pass over the texts keeps numbers and hashes; one aggregation by book and one by
+repeated item follow, then one row-wise expression per score; no group is collected.
 """
 
 from __future__ import annotations
@@ -13,77 +13,175 @@ from folioloom.functions import metrics as M
 from folioloom.functions import text as X
 from folioloom.functions.text import round_half_up
 from folioloom.operators import catalog as C
+from folioloom.session import materialise
 
 
-def chapter_measures(chapters: DataFrame) -> DataFrame:
-    """Chapters (id, book_id, order_num, title, html_content, word_count) with the measures that the checks need."""
-    text = X.strip_html(F.coalesce("html_content", F.lit("")))
-    place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
-    bare = F.regexp_replace(F.lower(text), rf"[{X.WS}]+", "")
-    return chapters.select(
+# Thresholds and losses of the checks, in the order of the checks.
+FEW_CHAPTERS, NO_CHAPTERS_LOSS, FEW_CHAPTERS_LOSS = 2, 50, 15
+COVER_LOSS, BROKEN_LOSS, EMPTY_LOSS = 10, 15, 5
+TITLES_LOSS, TRUNCATED_LOSS, GAPS_LOSS = 10, 10, 5
+RESIDUE_CAP, RESIDUE_LOSS = 30, 40
+PARAGRAPH_LOSS, PARAGRAPHS_ALLOWED, PARAGRAPHS_MOST = 3, 3, 15
+APPROVED, REVIEW = 80, 60
+
+
+def _content_key(html: Column) -> Column:
+    bare = F.regexp_replace(F.lower(X.strip_html(html)), rf"[{X.WS}]+", "")
+    return F.when(F.length(bare) >= 100, F.sha1(bare))
+
+
+def chapter_measures(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
+    """Chapters (id, book_id, order_num, title, html_content, word_count) with the measures that the checks need.
+
+    One narrow pass over the texts, kept as a table: the checks read numbers and hashes only.
+    """
+    html, title = F.coalesce("html_content", F.lit("")), F.coalesce("title", F.lit(""))
+    long_words = X.long_words(X.strip_html(html))
+    paragraphs = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<p[^>]*>.*?</p>"), F.lit(0)), lambda p: F.lower(X.trim_ws(F.regexp_replace(p, "<[^>]+>", ""))))
+    measured = chapters.select(
         "id",
         "book_id",
         "order_num",
         F.coalesce("word_count", F.lit(0)).alias("words"),
-        F.lower(F.trim(F.coalesce("title", F.lit("")))).alias("title_key"),
-        M.chapter_number(F.coalesce("title", F.lit(""))).alias("number"),
-        X.has_mojibake(F.coalesce("html_content", F.lit(""))).alias("broken"),
-        X.has_residue(F.coalesce("html_content", F.lit(""))).alias("residue"),
-        F.when(F.length(bare) >= 100, F.sha1(bare)).alias("content_key"),
-        X.non_english_ratio(text).alias("foreign_ratio"),
-        place.alias("place"),
+        F.lower(X.trim_ws(title)).alias("title_key"),
+        M.chapter_number(title).alias("number"),
+        X.has_mojibake(html).alias("broken"),
+        X.has_residue(html, publisher).alias("residue"),
+        _content_key(html).alias("content_key"),
+        F.size(long_words).alias("long_words"),
+        F.size(X.foreign_words(long_words)).alias("foreign_words"),
+        F.transform(F.filter(paragraphs, lambda p: F.length(p) > 50), lambda p: F.xxhash64(p)).alias("paragraph_keys"),
+    )
+    return materialise(measured, "measures")
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """(book, dup_titles, dup_chapters, dup_paragraphs) from (book_id, kind, item): items that a book holds more than once."""
+    counted = rows.groupBy("book_id", "kind", "item").agg(F.count("*").alias("n")).where("n > 1")
+    of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value).otherwise(0))
+    return counted.groupBy(F.col("book_id").alias("r_book")).agg(
+        of("title", F.lit(1)).alias("dup_titles"), of("content", F.col("n")).alias("dup_chapters"), of("paragraph", F.lit(1)).alias("dup_paragraphs")
     )
 
 
-def book_checks(chapters: DataFrame) -> DataFrame:
+def _items(measures: DataFrame, kind: str, item: Column) -> DataFrame:
+    return measures.select("book_id", F.lit(kind).alias("kind"), item.alias("item")).where(F.col("item").isNotNull() & (F.col("item") != ""))
+
+
+def book_checks(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
     """One row per book with the results of all checks."""
-    m = chapter_measures(chapters)
-    last = F.max_by("words", "place")
-    base = m.groupBy("book_id").agg(
+    m = chapter_measures(chapters, publisher)
+    place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
+    filled = F.when(F.col("words") > 0, F.col("words"))
+    head = lambda c: F.sum(F.when(F.col("place") <= 3, F.col(c)))
+    base = m.withColumn("place", place).groupBy("book_id").agg(
         F.count("*").alias("n_chapters"),
         F.sum("words").alias("n_words"),
         F.count_if(F.col("words") < 50).alias("n_empty"),
         F.max(F.col("broken").cast("int")).alias("broken"),
         F.count_if("residue").alias("n_residue"),
-        last.alias("last_words"),
+        F.max_by("words", "place").alias("last_words"),
+        F.min_by("words", "place").alias("first_words"),
+        F.min_by("title_key", "place").alias("first_title"),
         F.avg("words").alias("mean_words"),
-        F.avg(F.when(F.col("place") <= 3, F.col("foreign_ratio"))).alias("foreign_ratio"),
-        (F.stddev_pop(F.when(F.col("words") > 0, F.col("words"))) / F.avg(F.when(F.col("words") > 0, F.col("words")))).alias("cv"),
-        F.count_if(F.col("words") > 0).alias("n_filled"),
+        F.coalesce(F.try_divide(head("foreign_words"), head("long_words")), F.lit(0.0)).alias("foreign_ratio"),
+        (F.stddev_pop(filled) / F.avg(filled)).alias("cv"),
+        F.count(filled).alias("n_filled"),
     )
-    titles = m.where("title_key != ''").groupBy("book_id", "title_key").count().where("count > 1").groupBy(F.col("book_id").alias("t_book")).agg(F.count("*").alias("dup_titles"))
+    items = _items(m, "title", F.col("title_key")).unionByName(_items(m, "content", F.col("content_key")))
+    items = items.unionByName(_items(m, "paragraph", F.explode(F.transform("paragraph_keys", lambda k: k.cast("string")))))
     gaps = C.sequence_gaps(m, "book_id", "number").groupBy(F.col("book_id").alias("g_book")).agg(F.count("*").alias("gaps"))
-    texts = m.where("content_key is not null").groupBy("book_id", "content_key").count().where("count > 1").groupBy(F.col("book_id").alias("c_book")).agg(F.sum("count").alias("dup_chapters"))
-    paragraph = F.explode(F.regexp_extract_all("html_content", F.lit(r"(?is)<p[^>]*>.*?</p>"), F.lit(0)))
-    paragraphs = chapters.select("book_id", paragraph.alias("p")).select("book_id", F.lower(F.trim(F.regexp_replace("p", "<[^>]+>", ""))).alias("p")).where(F.length("p") > 50)
-    repeated = paragraphs.groupBy("book_id", "p").count().where("count > 1").groupBy(F.col("book_id").alias("p_book")).agg(F.count("*").alias("dup_paragraphs"))
-    out = base
-    for frame, key in ((titles, "t_book"), (gaps, "g_book"), (texts, "c_book"), (repeated, "p_book")):
-        out = out.join(frame, F.col("book_id") == F.col(key), "left").drop(key)
-    return out.na.fill(0, ["dup_titles", "gaps", "dup_chapters", "dup_paragraphs"])
+    out = base.join(_repeated(items), F.col("book_id") == F.col("r_book"), "left").join(gaps, F.col("book_id") == F.col("g_book"), "left")
+    return out.drop("r_book", "g_book").na.fill(0, ["dup_titles", "gaps", "dup_chapters", "dup_paragraphs"])
+
+
+def _books_with(books: DataFrame, checks: DataFrame) -> DataFrame:
+    """Books (book_id, has_cover) with their checks; a book without chapters has zeros."""
+    joined = books.select(F.col("book_id").alias("b_book"), "has_cover").join(checks, F.col("b_book") == F.col("book_id"), "left").drop("book_id").withColumnRenamed("b_book", "book_id")
+    numbers = [f.name for f in checks.schema if f.name != "book_id" and f.dataType.simpleString() in ("bigint", "int", "double")]
+    return joined.na.fill(0, numbers)
+
+
+def _scored(checked: DataFrame, score: Column, issues: list[tuple[str, Column]], downgrade: Column) -> DataFrame:
+    found = F.array_compact(F.array(*[F.when(when, F.lit(name)) for name, when in issues]))
+    out = checked.select("book_id", F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("int").alias("score"), found.alias("issues"), F.coalesce(downgrade, F.lit(False)).alias("down"))
+    return out.select("book_id", "score", tier(F.col("score"), F.col("down")).alias("tier"), (F.col("score") >= REVIEW).alias("passed"), "issues")
+
+
+def english_quality(books: DataFrame, chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
+    """(book_id, score, tier, passed, issues) of books (book_id, has_cover) by the checks over their chapters.
+
+    The total loss for an impossible size comes before later losses, the cap for residue
+    where its check stands, the total loss for equal chapters last. A preface that dominates
+    takes the best tier away.
+    """
+    return _scored(_books_with(books, book_checks(chapters, publisher)), english_score(), english_issues(), preface_dominates())
 
 
 def english_score(c: type = F.col) -> Column:
-    """0 to 100 in the order of the checks: an early total loss, the residue cap and a late total loss included."""
-    score = F.lit(100)
-    score = score - F.when(c("n_chapters") < 2, 15).otherwise(0)
+    """The score before it is held within 0 to 100."""
+    score = F.lit(100) - F.when(c("n_chapters") == 0, NO_CHAPTERS_LOSS).when(c("n_chapters") < FEW_CHAPTERS, FEW_CHAPTERS_LOSS).otherwise(0)
     score = score - F.when(c("n_words") < 1000, 30).when(c("n_words") < 5000, 10).otherwise(0)
     score = F.when(c("n_words") > 1_500_000, F.lit(0)).otherwise(score - F.when(c("n_words") > 800_000, 10).otherwise(0))
-    score = score - c("n_empty") * 5 - F.when(c("broken") > 0, 15).otherwise(0) - F.when(c("dup_titles") > 0, 10).otherwise(0)
-    score = score - F.when((c("n_chapters") >= 3) & (c("last_words") < c("mean_words") * 0.3) & (c("last_words") < 200), 10).otherwise(0)
-    score = score - F.when(c("gaps") > 0, 5).otherwise(0)
-    ratio = c("n_residue") / c("n_chapters")
-    score = F.when(ratio >= 0.5, F.least(score, F.lit(30))).otherwise(score - round_half_up(ratio * 40))
-    score = score - F.when(c("dup_paragraphs") > 3, F.least(F.lit(15), c("dup_paragraphs") * 3)).otherwise(0)
-    score = score - F.when(c("foreign_ratio") > 0.3, 20).when(c("foreign_ratio") > 0.15, 10).otherwise(0)
-    score = score - F.when(c("n_filled") >= 4, F.when(c("cv") > 2.0, 10).when(c("cv") > 1.5, 5).otherwise(0)).otherwise(0)
-    score = F.when(c("dup_chapters") > 0, F.lit(0)).otherwise(score)
-    return F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("int")
+    score = score - c("n_empty") * EMPTY_LOSS - F.when(~c("has_cover"), COVER_LOSS).otherwise(0)
+    score = score - F.when(c("broken") > 0, BROKEN_LOSS).otherwise(0) - F.when(c("dup_titles") > 0, TITLES_LOSS).otherwise(0)
+    score = score - F.when(_truncated(c), TRUNCATED_LOSS).otherwise(0) - F.when(c("gaps") > 0, GAPS_LOSS).otherwise(0)
+    score = _residue_loss(score, c)
+    score = score - F.when(c("dup_paragraphs") > PARAGRAPHS_ALLOWED, F.least(F.lit(PARAGRAPHS_MOST), c("dup_paragraphs") * PARAGRAPH_LOSS)).otherwise(0)
+    score = score - F.when(c("foreign_ratio") > 0.3, 20).when(c("foreign_ratio") > 0.15, 10).otherwise(0) - _variation_loss(c)
+    return F.when(c("dup_chapters") > 0, F.lit(0)).otherwise(score)
+
 
+def english_issues(c: type = F.col) -> list[tuple[str, Column]]:
+    """(name, whether it holds) of the issues, in the order of the checks."""
+    return [
+        ("no_chapters", c("n_chapters") == 0),
+        ("few_chapters", (c("n_chapters") > 0) & (c("n_chapters") < FEW_CHAPTERS)),
+        ("very_few_words", c("n_words") < 1000),
+        ("few_words", (c("n_words") >= 1000) & (c("n_words") < 5000)),
+        ("impossible_size", c("n_words") > 1_500_000),
+        ("very_long", (c("n_words") > 800_000) & (c("n_words") <= 1_500_000)),
+        ("empty_chapters", c("n_empty") > 0),
+        ("no_cover", ~c("has_cover")),
+        ("encoding", c("broken") > 0),
+        ("repeated_titles", c("dup_titles") > 0),
+        ("truncated_end", _truncated(c)),
+        ("sequence_gaps", c("gaps") > 0),
+        ("residue", c("n_residue") > 0),
+        ("repeated_paragraphs", c("dup_paragraphs") > PARAGRAPHS_ALLOWED),
+        ("foreign", c("foreign_ratio") > 0.15),
+        ("length_variation", _variation_loss(c) > 0),
+        ("equal_chapters", c("dup_chapters") > 0),
+        ("preface_dominates", preface_dominates(c)),
+    ]
 
-def tier(score: Column) -> Column:
-    """Quality tier of a score."""
-    return F.when(score >= 80, "high").when(score >= 60, "medium").otherwise("low")
+
+def _truncated(c: type) -> Column:
+    return (c("n_chapters") >= 3) & (c("last_words") < c("mean_words") * 0.3) & (c("last_words") < 200)
+
+
+def _residue_loss(score: Column, c: type) -> Column:
+    ratio = F.coalesce(F.try_divide(c("n_residue"), c("n_chapters")), F.lit(0.0))
+    return F.when(ratio >= 0.5, F.least(score, F.lit(RESIDUE_CAP))).otherwise(score - round_half_up(ratio * RESIDUE_LOSS))
+
+
+def _variation_loss(c: type) -> Column:
+    return F.when(c("n_filled") >= 4, F.when(c("cv") > 2.0, 10).when(c("cv") > 1.5, 5).otherwise(0)).otherwise(0)
+
+
+#: Titles of chapters that stand before a book's own text.
+PREFACE = r"\b(introduction|preface|translator|foreword|prologue)\b"
+
+
+def preface_dominates(c: type = F.col) -> Column:
+    """Whether the first of several chapters is an introduction of 30 % of the words or more."""
+    return (c("n_chapters") >= 2) & (c("n_words") > 0) & (c("first_words") >= 0.3 * c("n_words")) & c("first_title").rlike(PREFACE)
+
+
+def tier(score: Column, downgrade: Column | None = None) -> Column:
+    """Quality tier of a score; a downgrade takes the best tier away."""
+    best = F.when(downgrade, "needs_review").otherwise("auto_approved") if downgrade is not None else F.lit("auto_approved")
+    return F.when(score >= APPROVED, best).when(score >= REVIEW, "needs_review").otherwise("rejected")
 
 
 def first_dominates(chapters: DataFrame) -> DataFrame:
@@ -91,23 +189,25 @@ def first_dominates(chapters: DataFrame) -> DataFrame:
     place = F.struct("order_num", "id")
     words = F.coalesce("word_count", F.lit(0))
     g = chapters.groupBy("book_id").agg(F.count("*").alias("n"), F.sum(words).alias("total"), F.min_by(words, place).alias("first"), F.min_by(F.lower("title"), place).alias("title"))
-    return g.where((F.col("n") >= 2) & (F.col("total") > 0) & (F.col("first") >= 0.3 * F.col("total")) & F.col("title").rlike(r"\b(introduction|preface|translator|foreword|prologue)\b")).select("book_id")
+    return g.where((F.col("n") >= 2) & (F.col("total") > 0) & (F.col("first") >= 0.3 * F.col("total")) & F.col("title").rlike(PREFACE)).select("book_id")
 
 
 def fidelity(pairs: DataFrame) -> DataFrame:
     """Audit of texts (key, ours, theirs): word ratio, sizes, alignment, multiset miss rate and verdict.
 
-    Words are counted by (key, word), so a long text is no single task.
+    Words are counted by (key, word) with +1 for ours and -1 for theirs in one aggregation,
+    so a long text is no single task and no join of the two sides is needed.
     """
     ours, theirs = M.normalize_ascii(F.col("ours")), M.normalize_ascii(F.col("theirs"))
-    base = pairs.select("key", ours.alias("a"), theirs.alias("b"))
-    words = lambda c: base.where(F.col(c) != "").select("key", F.explode(F.split(c, " ")).alias("word"))
-    missed = C.multiset_difference(words("a"), words("b"), "key", "word").select(F.col("key").alias("m_key"), "difference")
-    count = lambda c: F.when(F.col(c) == "", 0).otherwise(F.size(F.split(c, " ")))
     aligned = F.when((F.length("a") > 600) & (F.length("b") > 600), F.when(F.contains(F.col("b"), F.substring("a", 201, 200)), "OK").otherwise("MISS")).otherwise("NA")
-    out = base.join(missed, F.col("key") == F.col("m_key"), "left").select(
-        "key", count("a").alias("our_words"), count("b").alias("their_words"), aligned.alias("alignment"), F.coalesce("difference", F.lit(1.0)).alias("miss_rate")
+    words = lambda c, sign: F.transform(F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, " ")), lambda w: F.struct(w.alias("word"), F.lit(sign).alias("sign")))
+    base = pairs.select("key", ours.alias("a"), theirs.alias("b"))
+    signed = base.select("key", aligned.alias("alignment"), F.explode_outer(F.concat(words("a", 1), words("b", -1))).alias("x"))
+    per_word = signed.groupBy("key", "alignment", F.xxhash64("x.word").alias("word")).agg(F.sum("x.sign").alias("left_over"), F.count_if(F.col("x.sign") == 1).alias("n_a"), F.count_if(F.col("x.sign") == -1).alias("n_b"))
+    out = per_word.groupBy("key", "alignment").agg(
+        F.sum("n_a").cast("int").alias("our_words"), F.sum("n_b").cast("int").alias("their_words"), F.coalesce(F.try_divide(F.sum(F.abs("left_over")), F.sum(F.col("n_a") + F.col("n_b"))), F.lit(1.0)).alias("miss_rate")
     )
+    out = out.select("key", "our_words", "their_words", "alignment", "miss_rate")
     ratio = F.col("our_words") / F.greatest(F.col("their_words"), F.lit(1))
     ok = ratio.between(0.95, 1.05) & (F.col("alignment") != "MISS") & (F.col("miss_rate") < 0.05)
     warn = ratio.between(0.9, 1.1) & (F.col("miss_rate") < 0.1)
@@ -153,35 +253,63 @@ MAX_VOCABULARY = 50_000
 
 
 def chinese_score(c: type = F.col) -> Column:
-    """0 to 100 for Chinese books: sizes in characters, the loss for equal chapters before variation and residue."""
-    score = F.lit(100) - F.when(c("n_chapters") < 2, 15).otherwise(0)
+    """The score of a Chinese book before it is held within 0 to 100: sizes in characters, equal chapters before variation and residue."""
+    score = F.lit(100) - F.when(c("n_chapters") == 0, NO_CHAPTERS_LOSS).when(c("n_chapters") < FEW_CHAPTERS, FEW_CHAPTERS_LOSS).otherwise(0)
     score = F.when(c("n_words") > 2_000_000, F.lit(0)).otherwise(score - F.when(c("n_words") < 500, 30).when(c("n_words") < 2000, 10).otherwise(0))
-    score = score - c("n_empty") * 5 - F.when(c("cjk_ratio") < 0.3, 20).otherwise(0) - F.when(c("broken") > 0, 15).otherwise(0)
+    score = score - c("n_empty") * EMPTY_LOSS - F.when(~c("has_cover"), COVER_LOSS).otherwise(0)
+    score = score - F.when((c("n_signs") > 0) & (c("cjk_ratio") < 0.3), 20).otherwise(0) - F.when(c("broken") > 0, BROKEN_LOSS).otherwise(0)
     score = F.when(c("dup_chapters") > 0, F.lit(0)).otherwise(score)
-    score = score - F.when(c("n_filled") >= 4, F.when(c("cv") > 2.0, 10).when(c("cv") > 1.5, 5).otherwise(0)).otherwise(0)
-    ratio = c("n_residue") / c("n_chapters")
-    score = F.when(ratio >= 0.5, F.least(score, F.lit(30))).otherwise(score - round_half_up(ratio * 40))
-    return F.greatest(F.lit(0), F.least(F.lit(100), score)).cast("int")
+    return _residue_loss(score - _variation_loss(c), c)
+
+
+def chinese_issues(c: type = F.col) -> list[tuple[str, Column]]:
+    """(name, whether it holds) of the issues, in the order of the checks."""
+    return [
+        ("no_chapters", c("n_chapters") == 0),
+        ("few_chapters", (c("n_chapters") > 0) & (c("n_chapters") < FEW_CHAPTERS)),
+        ("impossible_size", c("n_words") > 2_000_000),
+        ("very_few_characters", c("n_words") < 500),
+        ("few_characters", (c("n_words") >= 500) & (c("n_words") < 2000)),
+        ("empty_chapters", c("n_empty") > 0),
+        ("no_cover", ~c("has_cover")),
+        ("low_cjk_ratio", (c("n_signs") > 0) & (c("cjk_ratio") < 0.3)),
+        ("encoding", c("broken") > 0),
+        ("equal_chapters", c("dup_chapters") > 0),
+        ("length_variation", _variation_loss(c) > 0),
+        ("residue", c("n_residue") > 0),
+    ]
+
+
+def chinese_quality(books: DataFrame, chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
+    """(book_id, score, tier, passed, issues) of Chinese books (book_id, has_cover) by the checks over their chapters."""
+    return _scored(_books_with(books, chinese_checks(chapters, publisher)), chinese_score(), chinese_issues(), F.lit(False))
 
 
-def chinese_checks(chapters: DataFrame) -> DataFrame:
+def chinese_checks(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
     """One row per Chinese book with the checks that ``chinese_score`` reads; ``n_words`` counts ideographs."""
-    text = X.strip_html(F.coalesce("html_content", F.lit("")))
-    bare = F.regexp_replace(F.lower(text), rf"[{X.WS}]+", "")
     html = F.coalesce("html_content", F.lit(""))
-    place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
+    text = X.strip_html(html)
     m = chapters.select(
-        "book_id", X.count_cjk(text).alias("size"), X.count_nonspace(text).alias("signs"), X.has_mojibake(html).alias("broken"), X.has_residue(html).alias("residue"),
-        F.when(F.length(bare) >= 100, F.sha1(bare)).alias("content_key"), place.alias("place"),
+        "id", "book_id", "order_num", X.count_cjk(text).alias("size"), X.count_nonspace(text).alias("signs"), X.has_mojibake(html).alias("broken"),
+        X.has_residue(html, publisher).alias("residue"), _content_key(html).alias("content_key"),
     )
+    m = materialise(m, "measures_zh")
+    place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
     filled = F.when(F.col("size") > 0, F.col("size"))
     head = lambda col: F.sum(F.when(F.col("place") <= 3, F.col(col)))
-    base = m.groupBy("book_id").agg(
-        F.count("*").alias("n_chapters"), F.sum("size").alias("n_words"), F.count_if(F.col("size") < 20).alias("n_empty"), F.max(F.col("broken").cast("int")).alias("broken"), F.count_if("residue").alias("n_residue"),
-        F.coalesce(F.try_divide(head("size"), head("signs")), F.lit(1.0)).alias("cjk_ratio"), (F.stddev_pop(filled) / F.avg(filled)).alias("cv"), F.count(filled).alias("n_filled"),
+    base = m.withColumn("place", place).groupBy("book_id").agg(
+        F.count("*").alias("n_chapters"),
+        F.sum("size").alias("n_words"),
+        F.count_if(F.col("size") < 20).alias("n_empty"),
+        F.max(F.col("broken").cast("int")).alias("broken"),
+        F.count_if("residue").alias("n_residue"),
+        head("signs").alias("n_signs"),
+        F.coalesce(F.try_divide(head("size"), head("signs")), F.lit(1.0)).alias("cjk_ratio"),
+        (F.stddev_pop(filled) / F.avg(filled)).alias("cv"),
+        F.count(filled).alias("n_filled"),
     )
-    texts = m.where("content_key is not null").groupBy("book_id", "content_key").count().where("count > 1").groupBy(F.col("book_id").alias("c_book")).agg(F.sum("count").alias("dup_chapters"))
-    return base.join(texts, F.col("book_id") == F.col("c_book"), "left").drop("c_book").na.fill(0, ["dup_chapters"])
+    out = base.join(_repeated(_items(m, "content", F.col("content_key"))), F.col("book_id") == F.col("r_book"), "left")
+    return out.drop("r_book", "dup_titles", "dup_paragraphs").na.fill(0, ["dup_chapters"])
 
 
 def detected_chapters(texts: DataFrame) -> DataFrame:

@@ -16,6 +16,9 @@ from folioloom.functions import text as X
 from folioloom.operators import catalog as C
 from folioloom.session import read_table
 
+#: The publisher whose notices the queries look for, as the test tables name it.
+PUBLISHER = X.Publisher("Quarto Reading Rooms", "quarto.example")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 

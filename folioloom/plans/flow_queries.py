@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import foreign, images
 from folioloom.functions import text as X
-from folioloom.functions.english_words import ENGLISH_WORDS
+from folioloom.operators import vocabulary
 from folioloom.plans.catalog_queries import T, query
 from folioloom.sources import listing
 from folioloom.streaming import jobs
@@ -78,8 +78,9 @@ def src_download_listing(s, d):
 
 @query()
 def tag_foreign(s, d):
+    """Italics with few of the corpus's own common words are foreign, besides the listed phrases."""
     h = T(s, d, "chapters").where("html_content is not null")
-    return h.select("id", foreign.tag_foreign(F.col("html_content"), ENGLISH_WORDS).alias("html"))
+    return h.select("id", foreign.tag_foreign(F.col("html_content"), vocabulary.english_words(h)).alias("html"))
 
 
 @query()

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import foreign, semantics, spelling, typography
 from folioloom.functions import text as X
-from folioloom.functions.english_words import ENGLISH_WORDS
 from folioloom.operators import catalog as C
-from folioloom.operators import quality
+from folioloom.operators import quality, vocabulary
 from folioloom.operators.layout import spread
-from folioloom.plans.catalog_queries import STRIP, T, books, query
+from folioloom.plans.catalog_queries import PUBLISHER, STRIP, T, books, query
 
 _WS = X.WS
 
@@ -115,16 +114,23 @@ def agg_share_gap(s, d):
 
 # Authors whose names tell a dynasty, first match decides.
 DYNASTIES = (
-    ("先秦", "孔子 孟子 老子 庄子 荀子 韩非 孙武 墨子"), ("两汉", "司马迁 刘安 班固"), ("魏晋南北朝", "曹操 曹植 陶渊明 刘义庆"), ("唐", "李白 杜甫 白居易 韩愈 柳宗元 王维"), ("宋", "苏轼 欧阳修 辛弃疾 李清照 司马光 朱熹"),
-    ("元", "关汉卿 马致远"), ("明", "罗贯中 施耐庵 吴承恩 冯梦龙 凌濛初 吴敬梓 曹雪芹 蒲松龄"), ("清", "纪昀 李汝珍 刘鹗 曾国藩 李宝嘉"), ("民国", "鲁迅 胡适 老舍 梁启超 林语堂 郁达夫 朱自清"),
+    ("先秦", ("孔子", "孟子", "老子", "庄子", "荀子", "韩非", "孙武", "墨子")),
+    ("两汉", ("司马迁", "刘安", "班固")),
+    ("魏晋南北朝", ("曹操", "曹植", "陶渊明", "刘义庆")),
+    ("唐", ("李白", "杜甫", "白居易", "韩愈", "柳宗元", "王维")),
+    ("宋", ("苏轼", "欧阳修", "辛弃疾", "李清照", "司马光", "朱熹")),
+    ("元", ("关汉卿", "马致远")),
+    ("明", ("罗贯中", "施耐庵", "吴承恩", "冯梦龙", "凌濛初", "吴敬梓", "曹雪芹", "蒲松龄")),
+    ("清", ("纪昀", "李汝珍", "刘鹗", "曾国藩", "李宝嘉")),
+    ("民国", ("鲁迅", "胡适", "老舍", "梁启超", "林语堂", "郁达夫", "朱自清")),
 )
-_DYNASTY = "CASE " + " ".join(f"WHEN regexp_matches(h, '{w.replace(' ', '|')}') THEN '{n}'" for n, w in DYNASTIES) + " END"
+_DYNASTY = "CASE " + " ".join(f"WHEN regexp_matches(h, '{'|'.join(w)}') THEN '{n}'" for n, w in DYNASTIES) + " END"
 
 
 @query(f"SELECT id, {_DYNASTY} AS dynasty FROM (SELECT id, coalesce(author, '') || ' ' || coalesce(title, '') || CASE id % 4 WHEN 0 THEN '鲁迅' WHEN 1 THEN '李白' ELSE '' END AS h FROM zh_sources) t")
 def detect_dynasty(s, d):
     h = F.concat(F.coalesce("author", F.lit("")), F.lit(" "), F.coalesce("title", F.lit("")), F.when(F.col("id") % 4 == 0, "鲁迅").when(F.col("id") % 4 == 1, "李白").otherwise(""))
-    name = reduce(lambda acc, x: acc.when(h.rlike(x[1].replace(" ", "|")), x[0]), DYNASTIES[1:], F.when(h.rlike(DYNASTIES[0][1].replace(" ", "|")), DYNASTIES[0][0]))
+    name = reduce(lambda acc, x: acc.when(h.rlike("|".join(x[1])), x[0]), DYNASTIES[1:], F.when(h.rlike("|".join(DYNASTIES[0][1])), DYNASTIES[0][0]))
     return T(s, d, "zh_sources").select("id", name.alias("dynasty"))
 
 
@@ -162,13 +168,28 @@ _ZH_TEXT = STRIP.replace("html_content", "coalesce(html_content, '')")
        SELECT book_id, count(*) AS n_chapters, sum(size)::BIGINT AS n_words, count(*) FILTER (size < 20) AS n_empty, round(coalesce(sum(size) FILTER (p <= 3) / nullif(sum(signs) FILTER (p <= 3), 0), 1.0)::DOUBLE, 6) AS cjk_ratio FROM m GROUP BY book_id"""
 )
 def quality_checks_zh(s, d):
-    return quality.chinese_checks(_zh(s, d)).select("book_id", "n_chapters", "n_words", "n_empty", F.round("cjk_ratio", 6).alias("cjk_ratio"))
+    return quality.chinese_checks(_zh(s, d), PUBLISHER).select("book_id", "n_chapters", "n_words", "n_empty", F.round("cjk_ratio", 6).alias("cjk_ratio"))
 
 
-@query()
+@query(
+    rf"""WITH c AS (SELECT DISTINCT id, book_id, order_num, html_content FROM zh_chapters WHERE book_id IS NOT NULL), bk AS (SELECT DISTINCT id, description IS NOT NULL AS cover FROM books WHERE zh_source_id IS NOT NULL),
+       m AS (SELECT book_id, len(regexp_extract_all({_ZH_TEXT}, '{_CJK}')) AS w, length(regexp_replace({_ZH_TEXT}, '[{_WS}]', '', 'g')) AS g, row_number() OVER (PARTITION BY book_id ORDER BY order_num, id) AS p, regexp_replace(lower({_ZH_TEXT}), '[{_WS}]+', '', 'g') AS x,
+         regexp_matches(coalesce(html_content, ''), '{X.MOJIBAKE}') AS k, regexp_matches(coalesce(html_content, ''), '{X.residue_pattern(PUBLISHER)}') AS r FROM c),
+       dc AS (SELECT book_id, sum(n) AS n FROM (SELECT book_id, sha1(x) AS h, count(*) AS n FROM m WHERE length(x) >= 100 GROUP BY 1, 2 HAVING count(*) > 1) q GROUP BY 1),
+       g AS (SELECT book_id, count(*) AS n, sum(w) AS tw, count(*) FILTER (w < 20) AS e, max(k::INT) AS k, count(*) FILTER (r) AS r, sum(g) FILTER (p <= 3) AS sg, sum(w) FILTER (p <= 3) AS sw, stddev_pop(CASE WHEN w > 0 THEN w END) / avg(CASE WHEN w > 0 THEN w END) AS cv, count(*) FILTER (w > 0) AS nf FROM m GROUP BY 1),
+       a AS (SELECT bk.id AS book_id, cover, coalesce(g.n, 0) AS n, coalesce(tw, 0) AS tw, coalesce(e, 0) AS e, coalesce(g.k, 0) AS k, coalesce(r, 0) AS r, coalesce(sg, 0) > 0 AND sw / sg < 0.3 AS low, cv, coalesce(nf, 0) AS nf, coalesce(dc.n, 0) AS dc FROM bk LEFT JOIN g ON g.book_id = bk.id LEFT JOIN dc ON dc.book_id = bk.id),
+       s1 AS (SELECT *, CASE WHEN dc > 0 THEN 0 ELSE CASE WHEN tw > 2000000 THEN 0 ELSE 100 - CASE WHEN n = 0 THEN 50 WHEN n < 2 THEN 15 ELSE 0 END - CASE WHEN tw < 500 THEN 30 WHEN tw < 2000 THEN 10 ELSE 0 END END
+         - e * 5 - CASE WHEN cover THEN 0 ELSE 10 END - CASE WHEN low THEN 20 ELSE 0 END - CASE WHEN k > 0 THEN 15 ELSE 0 END END - CASE WHEN nf >= 4 THEN CASE WHEN cv > 2.0 THEN 10 WHEN cv > 1.5 THEN 5 ELSE 0 END ELSE 0 END AS sc FROM a),
+       s2 AS (SELECT *, greatest(0, least(100, CASE WHEN r >= n * 0.5 AND n > 0 THEN least(sc, 30) ELSE sc - floor(coalesce(r / nullif(n, 0), 0) * 40 + 0.5) END))::INTEGER AS score FROM s1)
+       SELECT book_id, score, CASE WHEN score >= 80 THEN 'auto_approved' WHEN score >= 60 THEN 'needs_review' ELSE 'rejected' END AS tier, score >= 60 AS passed,
+       array_to_string(list_filter([CASE WHEN n = 0 THEN 'no_chapters' END, CASE WHEN n = 1 THEN 'few_chapters' END, CASE WHEN tw > 2000000 THEN 'impossible_size' END, CASE WHEN tw < 500 THEN 'very_few_characters' END, CASE WHEN tw BETWEEN 500 AND 1999 THEN 'few_characters' END,
+       CASE WHEN e > 0 THEN 'empty_chapters' END, CASE WHEN NOT cover THEN 'no_cover' END, CASE WHEN low THEN 'low_cjk_ratio' END, CASE WHEN k > 0 THEN 'encoding' END, CASE WHEN dc > 0 THEN 'equal_chapters' END, CASE WHEN nf >= 4 AND cv > 1.5 THEN 'length_variation' END,
+       CASE WHEN r > 0 THEN 'residue' END], lambda v: v IS NOT NULL), ',') AS issues FROM s2"""
+)
 def quality_scores_zh(s, d):
-    out = quality.chinese_checks(_zh(s, d)).withColumn("score", quality.chinese_score())
-    return out.select("book_id", "score", quality.tier(F.col("score")).alias("tier"))
+    """Books with a Chinese source; a described one has its cover."""
+    b = T(s, d, "books").where("zh_source_id is not null").select(F.col("id").alias("book_id"), F.col("description").isNotNull().alias("has_cover")).distinct()
+    return quality.chinese_quality(b, _zh(s, d), PUBLISHER).withColumn("issues", F.array_join("issues", ","))
 
 
 @query(
@@ -211,8 +232,9 @@ def calibrate(s, d):
 def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
     c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content"))
-    done = X.clean_chapter(F.col("html_content"))
-    for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, lambda html: foreign.tag_foreign(html, ENGLISH_WORDS)):
+    english = vocabulary.english_words(c)
+    done = X.clean_chapter(F.col("html_content"), PUBLISHER)
+    for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, lambda html: foreign.tag_foreign(html, english)):
         done = step(done)
     out = c.select("id", "book_id", "order_num", X.captions(F.col("html_content")).alias("captions"), done.alias("html"))
     return out.withColumn("words", X.count_words(X.strip_html(F.col("html"))))

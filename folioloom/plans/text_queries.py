@@ -10,7 +10,7 @@ from folioloom.functions import semantics as S
 from folioloom.functions import text as X
 from folioloom.operators import quality
 from folioloom.operators.layout import spread
-from folioloom.plans.catalog_queries import STRIP, T, query
+from folioloom.plans.catalog_queries import PUBLISHER, STRIP, T, query
 
 _WS = X.WS
 _DOC = "documents WHERE text IS NOT NULL"
@@ -124,9 +124,9 @@ def mojibake(s, d):
     return docs(s, d).select("doc_id", X.has_mojibake(F.col("text")).alias("broken"))
 
 
-@query(rf"SELECT id, regexp_matches(html_content || coalesce(title, ''), '{X.RESIDUE}') AS residue FROM {_H}")
+@query(rf"SELECT id, regexp_matches(html_content || coalesce(title, ''), '{X.residue_pattern(PUBLISHER)}') AS residue FROM {_H}")
 def residue(s, d):
-    return html(s, d).select("id", X.has_residue(F.concat("h", F.coalesce("title", F.lit("")))).alias("residue"))
+    return html(s, d).select("id", X.has_residue(F.concat("h", F.coalesce("title", F.lit(""))), PUBLISHER).alias("residue"))
 
 
 @query(
@@ -351,7 +351,7 @@ def semanticize(s, d):
 
 @query()
 def clean_chapter(s, d):
-    return spread(html(s, d)).select("id", X.clean_chapter(F.col("h")).alias("html"))
+    return spread(html(s, d)).select("id", X.clean_chapter(F.col("h"), PUBLISHER).alias("html"))
 
 
 # ---- checks over whole books
@@ -373,14 +373,47 @@ _DISTINCT = "(SELECT DISTINCT id, book_id, order_num, title, html_content, word_
        round(stddev_pop(CASE WHEN w > 0 THEN w END) / avg(CASE WHEN w > 0 THEN w END), 6) AS cv, max_by(w, p)::INTEGER AS last_words FROM m LEFT JOIN dt ON dt.book_id = m.book_id LEFT JOIN dc ON dc.book_id = m.book_id GROUP BY m.book_id"""
 )
 def quality_checks(s, d):
-    out = quality.book_checks(_chapters(s, d))
+    out = quality.book_checks(_chapters(s, d), PUBLISHER)
     return out.select("book_id", "n_chapters", "n_words", "n_empty", "broken", "dup_titles", "dup_chapters", F.round("cv", 6).alias("cv"), "last_words")
 
 
-@query()
+_TRIM = lambda x: rf"regexp_replace({x}, '^[{_WS}]+|[{_WS}]+\z', '', 'g')"
+_FULL = STRIP.replace("html_content", "coalesce(html_content, '')")
+_SIGNS = r"[\x{2018}\x{2019}\x{201C}\x{201D}\x{2014}\x{2013}\x{2026}\x{A0}\x{200A}\x{2060}]"
+
+
+@query(
+    rf"""WITH c AS {_DISTINCT}, bk AS (SELECT DISTINCT id, pg_id IS NOT NULL AS cover FROM books WHERE zh_source_id IS NULL),
+       m AS (SELECT book_id, id, coalesce(word_count, 0) AS w, {_TRIM("lower(coalesce(title, ''))")} AS t, row_number() OVER (PARTITION BY book_id ORDER BY order_num, id) AS p, regexp_replace(lower({_FULL}), '[{_WS}]+', '', 'g') AS x,
+         regexp_matches(coalesce(html_content, ''), '{X.MOJIBAKE}') AS k, regexp_matches(coalesce(html_content, ''), '{X.residue_pattern(PUBLISHER)}') AS r, list_filter(regexp_split_to_array({_FULL}, '[{_WS}]+'), lambda v: length(v) > 2) AS lw,
+         coalesce(try_cast(nullif(regexp_extract(title, '(?i)\bchapter\s+(\d+)\b', 1), '') AS INTEGER), try_cast(nullif(regexp_extract(title, '(?i)\bch\.?\s+(\d+)\b', 1), '') AS INTEGER),
+         MAP {{'I':1,'II':2,'III':3,'IV':4,'V':5,'VI':6,'VII':7,'VIII':8,'IX':9,'X':10,'XI':11,'XII':12,'XIII':13,'XIV':14,'XV':15,'XVI':16,'XVII':17,'XVIII':18,'XIX':19,'XX':20}}[upper(regexp_extract(title, '(?i)\bchapter\s+(X{{0,2}}(?:IX|IV|V?I{{0,3}}))\b', 1))]) AS num FROM c),
+       dt AS (SELECT book_id, count(*) AS n FROM (SELECT book_id, t FROM m WHERE t <> '' GROUP BY 1, 2 HAVING count(*) > 1) q GROUP BY 1),
+       dc AS (SELECT book_id, sum(n) AS n FROM (SELECT book_id, sha1(x) AS h, count(*) AS n FROM m WHERE length(x) >= 100 GROUP BY 1, 2 HAVING count(*) > 1) q GROUP BY 1),
+       dp AS (SELECT book_id, count(*) AS n FROM (SELECT book_id, y FROM (SELECT book_id, lower({_TRIM("regexp_replace(q, '<[^>]+>', '', 'g')")}) AS y FROM (SELECT book_id, unnest(regexp_extract_all(coalesce(html_content, ''), '(?is)<p[^>]*>.*?</p>')) AS q FROM c) u) v WHERE length(y) > 50 GROUP BY 1, 2 HAVING count(*) > 1) z GROUP BY 1),
+       dg AS (SELECT book_id, count(*) AS n FROM (SELECT book_id, num - lag(num) OVER (PARTITION BY book_id ORDER BY num) AS step, count(*) OVER (PARTITION BY book_id) AS many FROM m WHERE num IS NOT NULL) q WHERE many >= 3 AND step > 1 GROUP BY 1),
+       g AS (SELECT book_id, count(*) AS n, sum(w) AS tw, count(*) FILTER (w < 50) AS e, max(k::INT) AS k, count(*) FILTER (r) AS r, max_by(w, p) AS lastw, min_by(w, p) AS firstw, min_by(t, p) AS firstt, avg(w) AS mw,
+         coalesce(sum(len(list_filter(lw, lambda v: regexp_matches(regexp_replace(v, '{_SIGNS}', '', 'g'), '[^\x00-\x7F]')))) FILTER (p <= 3) / nullif(sum(len(lw)) FILTER (p <= 3), 0), 0) AS fr,
+         stddev_pop(CASE WHEN w > 0 THEN w END) / avg(CASE WHEN w > 0 THEN w END) AS cv, count(*) FILTER (w > 0) AS nf FROM m GROUP BY 1),
+       a AS (SELECT bk.id AS book_id, cover, coalesce(g.n, 0) AS n, coalesce(tw, 0) AS tw, coalesce(e, 0) AS e, coalesce(g.k, 0) AS k, coalesce(g.r, 0) AS r, lastw, mw, fr, cv, coalesce(nf, 0) AS nf, coalesce(dt.n, 0) AS dt, coalesce(dc.n, 0) AS dc, coalesce(dp.n, 0) AS dp, coalesce(dg.n, 0) AS dg,
+         coalesce(g.n >= 2 AND tw > 0 AND firstw >= 0.3 * tw AND regexp_matches(firstt, '\b(introduction|preface|translator|foreword|prologue)\b'), false) AS pre
+         FROM bk LEFT JOIN g ON g.book_id = bk.id LEFT JOIN dt ON dt.book_id = bk.id LEFT JOIN dc ON dc.book_id = bk.id LEFT JOIN dp ON dp.book_id = bk.id LEFT JOIN dg ON dg.book_id = bk.id),
+       s1 AS (SELECT *, CASE WHEN tw > 1500000 THEN 0 ELSE 100 - CASE WHEN n = 0 THEN 50 WHEN n < 2 THEN 15 ELSE 0 END - CASE WHEN tw < 1000 THEN 30 WHEN tw < 5000 THEN 10 ELSE 0 END - CASE WHEN tw > 800000 THEN 10 ELSE 0 END END
+         - e * 5 - CASE WHEN cover THEN 0 ELSE 10 END - CASE WHEN k > 0 THEN 15 ELSE 0 END - CASE WHEN dt > 0 THEN 10 ELSE 0 END - CASE WHEN n >= 3 AND lastw < mw * 0.3 AND lastw < 200 THEN 10 ELSE 0 END - CASE WHEN dg > 0 THEN 5 ELSE 0 END AS sc FROM a),
+       s2 AS (SELECT *, CASE WHEN r >= n * 0.5 AND n > 0 THEN least(sc, 30) ELSE sc - floor(coalesce(r / nullif(n, 0), 0) * 40 + 0.5) END - CASE WHEN dp > 3 THEN least(15, dp * 3) ELSE 0 END - CASE WHEN fr > 0.3 THEN 20 WHEN fr > 0.15 THEN 10 ELSE 0 END
+         - CASE WHEN nf >= 4 THEN CASE WHEN cv > 2.0 THEN 10 WHEN cv > 1.5 THEN 5 ELSE 0 END ELSE 0 END AS sd FROM s1),
+       s3 AS (SELECT *, greatest(0, least(100, CASE WHEN dc > 0 THEN 0 ELSE sd END))::INTEGER AS score FROM s2)
+       SELECT book_id, score, CASE WHEN score >= 80 THEN CASE WHEN pre THEN 'needs_review' ELSE 'auto_approved' END WHEN score >= 60 THEN 'needs_review' ELSE 'rejected' END AS tier, score >= 60 AS passed,
+       array_to_string(list_filter([CASE WHEN n = 0 THEN 'no_chapters' END, CASE WHEN n = 1 THEN 'few_chapters' END, CASE WHEN tw < 1000 THEN 'very_few_words' END, CASE WHEN tw BETWEEN 1000 AND 4999 THEN 'few_words' END, CASE WHEN tw > 1500000 THEN 'impossible_size' END,
+       CASE WHEN tw > 800000 AND tw <= 1500000 THEN 'very_long' END, CASE WHEN e > 0 THEN 'empty_chapters' END, CASE WHEN NOT cover THEN 'no_cover' END, CASE WHEN k > 0 THEN 'encoding' END, CASE WHEN dt > 0 THEN 'repeated_titles' END,
+       CASE WHEN n >= 3 AND lastw < mw * 0.3 AND lastw < 200 THEN 'truncated_end' END, CASE WHEN dg > 0 THEN 'sequence_gaps' END, CASE WHEN r > 0 THEN 'residue' END, CASE WHEN dp > 3 THEN 'repeated_paragraphs' END, CASE WHEN fr > 0.15 THEN 'foreign' END,
+       CASE WHEN nf >= 4 AND cv > 1.5 THEN 'length_variation' END, CASE WHEN dc > 0 THEN 'equal_chapters' END, CASE WHEN pre THEN 'preface_dominates' END], lambda v: v IS NOT NULL), ',') AS issues FROM s3"""
+)
 def quality_scores(s, d):
-    out = quality.book_checks(_chapters(s, d)).withColumn("score", quality.english_score())
-    return out.select("book_id", "score", quality.tier(F.col("score")).alias("tier"))
+    """Books without a Chinese source; a book with a number in the source catalogue has its cover there."""
+    b = T(s, d, "books").where("zh_source_id is null").select(F.col("id").alias("book_id"), F.col("pg_id").isNotNull().alias("has_cover")).distinct()
+    out = quality.english_quality(b, _chapters(s, d), PUBLISHER)
+    return out.withColumn("issues", F.array_join("issues", ","))
 
 
 @query(

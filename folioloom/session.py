@@ -55,7 +55,7 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there.
 
-    The table is removed when the driver's JVM ends.
+    The table is removed when the driver's JVM ends, or by ``drop_intermediates``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/folioloom-{name}-{uuid.uuid4().hex}"
@@ -66,9 +66,27 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _WRITTEN.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+_WRITTEN: list[tuple[str, str]] = []
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Removes the intermediate tables written so far and tells how many.
+
+    For long sessions, between queries: frames that still read such a table can't be used afterwards.
+    """
+    context = spark.sparkContext
+    own = [entry for entry in _WRITTEN if entry[0] == context.applicationId]
+    for entry in own:
+        target = context._jvm.org.apache.hadoop.fs.Path(entry[1])
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        _WRITTEN.remove(entry)
+    return len(own)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -89,8 +89,11 @@ def test_html_functions(spark):
     assert one(spark, X.wrap_section, "<section>x</section>") == "<section>x</section>"
     assert one(spark, X.count_words, "a b  c　d") == 4
     assert one(spark, X.has_mojibake, "cafÃ©") and not one(spark, X.has_mojibake, "café")
-    assert one(spark, X.clean_chapter, "<p>Kept</p><p>The Project Gutenberg eBook of X</p>") == ""
-    assert one(spark, X.clean_chapter, '<p>Kept</p> <a href="https://www.gutenberg.org/x">y</a>') == "<p>Kept</p>"
+    clean = lambda html: X.clean_chapter(html, X.Publisher("Lantern Press", "lantern.example", ("Ada Quill",)))
+    assert one(spark, clean, "<p>Kept</p><p>The Lantern Press eBook of X</p>") == ""
+    assert one(spark, clean, '<p>Kept</p> <a href="https://www.lantern.example/x">y</a>') == "<p>Kept</p>"
+    assert one(spark, clean, "<div>A</div>\n<div>Made by Ada Quill</div>") == ""
+    assert one(spark, clean, "<div>The Other Press eBook</div>") == "<div>The Other Press eBook</div>"
 
 
 def test_needs_punctuation(spark):
@@ -101,7 +104,7 @@ def test_needs_punctuation(spark):
 
 def test_nulls_stay_null(spark):
     df = spark.createDataFrame([(None,)], "x string")
-    functions = (X.strip_html, X.count_words, X.strip_markers, X.clean_chapter, typography.typographize, spelling.modernize_spelling, semantics.semanticize, chinese.to_simplified, metrics.guess_language)
+    functions = (X.strip_html, X.count_words, X.strip_markers, lambda t: X.clean_chapter(t, X.Publisher("Lantern Press", "lantern.example")), typography.typographize, spelling.modernize_spelling, semantics.semanticize, chinese.to_simplified, metrics.guess_language)
     row = df.select(*[f(F.col("x")).alias(f"c{i}") for i, f in enumerate(functions)]).first()
     assert all(v is None for v in row[:-1])
 
@@ -177,9 +180,10 @@ def test_both_queries_mark_unlisted_phrases_and_spare_english(spark, tmp_path):
     from folioloom.plans import registry
 
     html = "<p><i>magna cum pecunia</i> and <i>das größere Haus</i> and <i>a happy afternoon without money</i> were said.</p>"
-    spark.createDataFrame([("c", "b", 1, html)], "id string, book_id string, order_num int, html_content string").write.parquet(f"{tmp_path}/chapters.parquet")
+    plain = "<p>A happy walk in the afternoon, without any money.</p>"  # the corpus's own words
+    spark.createDataFrame([("c", "b", 1, html), ("d", "b", 2, plain)], "id string, book_id string, order_num int, html_content string").write.parquet(f"{tmp_path}/chapters.parquet")
     for name in ("tag_foreign", "process_chapters"):
-        got = registry.QUERIES[name](spark, str(tmp_path)).first().html
+        got = registry.QUERIES[name](spark, str(tmp_path)).where("id = 'c'").first().html
         assert '<i xml:lang="la">magna cum pecunia</i>' in got and '<i xml:lang="de">das größere Haus</i>' in got, name
         assert "<i>a happy afternoon without money</i>" in got, name
 

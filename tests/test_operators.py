@@ -6,6 +6,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from folioloom.functions.text import Publisher
 from folioloom.operators import catalog as C
 from folioloom.operators import packed_values as P
 from folioloom.operators import quality
@@ -61,13 +62,33 @@ def test_stop_after_known(spark):
     assert [r[0] for r in rows(C.stop_after_known(pages, "p", "known", 3))] == [1, 2, 3, 4, 5, 6, 7]
 
 
-def test_quality_of_a_damaged_book(spark):
+PUBLISHER = Publisher("Lantern Press", "lantern.example")
+_CHAPTERS = "book_id string, id string, order_num int, title string, html_content string, word_count int"
+
+
+def test_quality_of_damaged_books(spark):
     long = "word " * 60
     data = [("b", f"c{i}", i, f"T{i}", f"<p>{long}{i}</p>", w) for i, w in enumerate((1200, 1100, 60))]
     data += [("d", f"d{i}", i, f"T{i}", f"<p>{long}</p>", 900) for i in range(2)]
-    chapters = spark.createDataFrame(data, "book_id string, id string, order_num int, title string, html_content string, word_count int")
-    got = {r.book_id: r.score for r in quality.book_checks(chapters).withColumn("score", quality.english_score()).collect()}
-    assert got == {"b": 80, "d": 0}
+    data += [("r", f"r{i}", i, f"T{i}", f"<p>{long}{i} A Lantern Press book</p>", 4000) for i in range(2)]
+    data += [("p", f"p{i}", i, ["Preface", "One"][i], f"<p>{long}{i}</p>", 4000) for i in range(2)]
+    books = spark.createDataFrame([("b", False), ("d", True), ("r", True), ("p", True), ("none", True)], "book_id string, has_cover boolean")
+    got = {r.book_id: r for r in quality.english_quality(books, spark.createDataFrame(data, _CHAPTERS), PUBLISHER).collect()}
+    # 100 - 10 (2360 words) - 10 (no cover) - 10 (last chapter cut)
+    assert (got["b"].score, got["b"].tier, got["b"].passed) == (70, "needs_review", True)
+    assert got["b"].issues == ["few_words", "no_cover", "truncated_end"]
+    assert (got["d"].score, got["d"].tier) == (0, "rejected") and "equal_chapters" in got["d"].issues
+    assert (got["r"].score, got["r"].issues) == (30, ["residue"])
+    assert (got["p"].score, got["p"].tier) == (100, "needs_review")
+    assert (got["none"].score, got["none"].issues) == (20, ["no_chapters", "very_few_words"])
+
+
+def test_quality_of_chinese_books(spark):
+    data = [("a", f"a{i}", i, f"第{i}回", f"<p>{'江水东去' * 300}{'一二三'[i]}</p>", 0) for i in range(3)] + [("e", "e0", 0, "x", None, 0)]
+    books = spark.createDataFrame([("a", True), ("e", False)], "book_id string, has_cover boolean")
+    got = {r.book_id: r for r in quality.chinese_quality(books, spark.createDataFrame(data, _CHAPTERS), PUBLISHER).collect()}
+    assert (got["a"].score, got["a"].tier, got["a"].issues) == (100, "auto_approved", [])
+    assert got["e"].score == 100 - 15 - 30 - 5 - 10 and got["e"].issues == ["few_chapters", "very_few_characters", "empty_chapters", "no_cover"]
 
 
 def test_fidelity(spark):
@@ -182,3 +203,14 @@ def test_unique_conflicts_of_every_row(spark, tmp_path):
     duck = duckdb.connect()
     duck.execute(f"create view zh_sources as select * from '{tmp_path}/zh_sources.parquet/*.parquet'")
     assert sorted(r[0] for r in duck.execute(registry.SQL["unique_conflicts_all"]).fetchall()) == [1, 4, 5, 9]
+
+
+def test_intermediates_can_be_dropped(spark):
+    from folioloom.session import drop_intermediates, materialise, shared_folder
+
+    df = materialise(spark.range(3), "droptest")
+    assert df.count() == 3
+    assert drop_intermediates(spark) >= 1 and drop_intermediates(spark) == 0
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    left = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    assert not any("droptest" in f.getPath().getName() for f in left)

@@ -2,6 +2,11 @@
 
 import datetime
 import math
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -46,8 +51,11 @@ def test_query(spark, small, duck, name):
     assert ours == theirs
 
 
-def test_entry_imports_without_the_llm_folder():
-    import __spark_entry__
-
-    assert set(registry.QUERIES) <= set(__spark_entry__.queries())
-    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+def test_entry_imports_without_the_llm_folder(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "folioloom", tmp_path / "folioloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'p7_found' in q and 'p1_found' not in q and set(e.oracle_sql()) <= set(q); print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) == len(registry.QUERIES)

@@ -40,14 +40,32 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return boilerplate.without_boilerplate(_site_documents(spark, d))
 
 
+def p3_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The boilerplate blocks of each site: nodes with their support and block; ``full`` marks those with full support."""
+    return boilerplate.blocks(boilerplate.scan_lines(_site_documents(spark, d))).select("site", "is_title", "block", "key", "support", "documents", "full")
+
+
+def _levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading_level.reading_levels(_site_documents(spark, d), reading_level.agreeing_grades(read_table(spark, d, "difficulty_results")))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """CEFR level of every chapter with enough prose, by the formula; the model's level is in ``p4_levels``."""
-    return reading_level.reading_levels(_site_documents(spark, d)).select("id", "cefr_level").distinct()
+    """CEFR level of every chapter with enough prose: the model's, checked by the exact score near a cut."""
+    return _levels(spark, d).select("id", "cefr_level").distinct()
 
 
 def p4_levels(spark: SparkSession, d: str) -> DataFrame:
-    """Scores, levels, features and the model's level of every chapter with enough prose."""
-    return reading_level.reading_levels(_site_documents(spark, d))
+    """Scores, features, the model's level and the exact one of every chapter with enough prose."""
+    return _levels(spark, d)
+
+
+def p4_checks(spark: SparkSession, d: str) -> DataFrame:
+    """By level: documents, those near a cut (decided by the exact score), those the check changed, and those off a cut whose exact level differs."""
+    of = lambda c: F.count_if(c)
+    differs = F.col("model_level") != F.col("exact_level")
+    return _levels(spark, d).groupBy("cefr_level").agg(
+        F.count("*").alias("documents"), of(F.col("near_cut")).alias("near_cut"), of(F.col("near_cut") & differs).alias("changed"), of(~F.col("near_cut") & differs).alias("left_to_model")
+    )
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -110,5 +128,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(mixing.mix(read_table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_levels": p4_levels, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p3_blocks": p3_blocks, "p4_found": p4_found, "p4_levels": p4_levels, "p4_checks": p4_checks, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

@@ -18,10 +18,19 @@ def test_syllables(word, n):
 
 
 def test_line_counts():
-    assert R.line_counts("The cat sat. Mr. Smith jumped! No. 5 is here")[:3] == (9, 9, 3)
-    assert R.line_counts("“Stop!” he cried.”")[:3] == (3, 3, 2)
-    assert R.line_counts("12 – 13") == (0, 0, 1, 0, 0, 0)
-    assert R.line_counts("") == (0, 0, 0, 0, 0, 0)
+    counts = R.TokenCounts(frozenset({"the", "is", "here", "no", "mr"}))
+    # words, syllables, sentences, connectives, commas, rare words, types
+    assert R.line_counts("The cat sat. Mr. Smith jumped! No. 5 is here", counts) == (9, 9, 3, 0, 0, 4, 10)
+    assert R.line_counts("“Stop!” he cried.”", counts)[:3] == (3, 3, 2)
+    assert R.line_counts("12 – 13", counts) == (0, 0, 1, 0, 0, 0, 3)
+    assert R.line_counts("", counts) == (0, 0, 0, 0, 0, 0, 0)
+    assert R.line_counts("and so, the sea", counts)[3:] == (2, 1, 3, 4)
+
+
+def test_common_words_of_all_documents(spark):
+    df = spark.createDataFrame([(f"d{i}", "The sea. “The” SEA" + (" lantern" if i == 3 else "")) for i in range(30)] + [("n", None)], "id string, text string")
+    assert R.common_words(df, 0.05) == {"the", "sea"}
+    assert R.common_words(df.limit(0)) == frozenset()
 
 
 def prose(rng, hard, n=12):
@@ -42,14 +51,41 @@ def brute(text):
     return next(name for least, name in ((90, "A1"), (80, "A2"), (60, "B1"), (50, "B2"), (30, "C1"), (-1, "C2")) if f >= least)
 
 
-def test_levels_match_brute_force_and_the_model_learns(spark):
+def graded(spark, n=400):
+    """Prose of rising difficulty with grades of which every fifth is wrong."""
     rng = random.Random(3)
-    texts = {f"c{i}": prose(rng, i / 120) for i in range(120)}
+    texts = {f"c{i}": prose(rng, 0.3 * i / n, 30) for i in range(n)}
+    exact = {k: brute(t) for k, t in texts.items()}
+    noisy = [(k, v if i % 5 else rng.choice(R.LEVELS)) for i, (k, v) in enumerate(exact.items())]
+    grades = lambda shift=0: spark.createDataFrame([(k, R.LEVELS[min(5, R.LEVELS.index(v) + shift)]) for k, v in noisy] + [("c0", "?"), ("c1", None)], "id string, level string")
     rows = [("s", k, None, t, 1, "x") for k, t in texts.items()]
     rows += [("s", "c0", None, texts["c0"], 1, "x"), ("s", "null", None, None, 1, "x"), ("s", "empty", "", "", 1, "x"), ("s", "short", None, "<p>Too short.</p>", 1, "x"), (None, "nosite", None, texts["c5"], None, None)]
-    got = {r.id: (r.cefr_level, r.model_level) for r in R.reading_levels(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert {k: v[0] for k, v in got.items()} == {k: brute(t) for k, t in texts.items()} | {"nosite": brute(texts["c5"])}
-    assert np.mean([a == b for a, b in got.values()]) > 0.85
+    return spark.createDataFrame(rows, SCHEMA), grades, exact | {"nosite": brute(texts["c5"])}
+
+
+def test_levels_come_from_the_model_with_an_exact_check_near_the_cuts(spark):
+    df, grades, exact = graded(spark)
+    got = {r.id: r for r in R.reading_levels(df, grades()).collect()}
+    assert set(got) == set(exact)
+    assert np.mean([r.model_level == exact[k] for k, r in got.items()]) > 0.9
+    assert np.mean([r.cefr_level == exact[k] for k, r in got.items()]) > 0.98
+    assert all(r.cefr_level == (r.exact_level if r.near_cut else r.model_level) and r.exact_level == exact[k] for k, r in got.items())
+    assert 0.1 < np.mean([r.near_cut for r in got.values()]) < 0.6
+    # A model fitted on grades one level off gives other levels: the rows come from the model.
+    moved = R.reading_levels(df, grades(1)).collect()
+    assert np.mean([r.cefr_level != exact[r.id] for r in moved]) > 0.3
+
+
+def test_without_grades_the_exact_levels_hold(spark):
+    df, grades, exact = graded(spark, 30)
+    got = {r.id: (r.cefr_level, r.model_level) for r in R.reading_levels(df, grades().limit(0)).collect()}
+    assert got == {k: (v, None) for k, v in exact.items()}
+
+
+def test_grades_that_agree_with_themselves(spark):
+    rows = [("a", 95.0, "A1", 5.0), ("b", 95.0, "A2", 5.0), ("c", 95.0, "A1", 50.0), ("d", None, "A1", 5.0), (None, 95.0, "A1", 5.0), ("e", 29.9, "C2", 70.1), ("f", 50.0, None, 50.0)]
+    df = spark.createDataFrame(rows, "chapter_id string, flesch_score double, cefr_level string, difficulty_score double")
+    assert {(r.id, r.level) for r in R.agreeing_grades(df).collect()} == {("a", "A1"), ("e", "C2")}
 
 
 def test_structure_does_not_count(spark):
@@ -59,7 +95,7 @@ def test_structure_does_not_count(spark):
     df = spark.createDataFrame([("s", "a", None, plain, 1, "x"), ("s", "b", None, marked, 1, "x")], SCHEMA)
     features = {r.id: (r.words, r.sentences, r.syllables) for r in R.prose_features(df).collect()}
     assert features["a"] == features["b"]
-    assert R.reading_levels(df.limit(0)).count() == 0
+    assert R.reading_levels(df.limit(0), spark.createDataFrame([], "id string, level string")).count() == 0
 
 
 def test_ordinal_fit_orders_levels():

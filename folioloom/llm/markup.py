@@ -1,10 +1,11 @@
 """Structure of texts that mix HTML, Markdown, wiki and LaTeX markup.
 
-``split_blocks`` takes a text apart into blocks that survive as structure (headings, list
-items, code, formulas) and the prose lines left over; ``clean_inline`` removes inline
-markup; ``body_lines`` finds the lines of the body by the line-block distribution: the
-text length of each line without markup is summed over a sliding window of lines, the
-body begins where the sum surges and ends where it dives. Sentences outside the body stay.
+Method. ``body_lines`` finds the body of a text by the line-block distribution: markup is
+stripped, the text lengths of the lines are summed over a sliding window of lines with
+text, the body begins where the sum surges and ends where it dives. Blocks that survive as
+structure (headings, list items, code, formulas) are taken from the lines between such
+points by a grammar (``split_blocks``, ``structure``); ``clean_inline`` removes inline
+markup from the prose left over. Sentences outside the body stay in ``clean_text``.
 
 Defined results: null and empty texts have no blocks; unclosed markup is taken as plain
 text; texts are read whole; nothing raises on malformed input.
@@ -19,6 +20,8 @@ from typing import NamedTuple
 HEADING, LIST_ITEM, CODE, FORMULA = "heading", "list_item", "code", "formula"
 
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->|<[!?][^<>]*>", re.S)
+#: Elements whose content is no text of the document.
+_HIDDEN = re.compile(r"<(script|style|nav|noscript|template)\b[^<>]*>.*?</\1\s*>", re.S | re.I)
 _CODE = re.compile(
     r"<pre\b[^>]*>(?P<pre>.*?)</pre\s*>"
     r"|<(?P<tag>nowiki|source|syntaxhighlight|listing|xmp)\b[^>]*>(?P<wiki>.*?)</(?P=tag)\s*>"
@@ -56,13 +59,18 @@ _TICKS = re.compile(r"(`+)([^`\n]+)\1|~~(?=\S)([^~\n]+)~~")
 _BREAK = re.compile(r"<(?:br|hr|/?p|/?div|/?td|/?tr)\b[^<>]*>", re.I)
 _SPACE = re.compile(r"\s+")
 _WIDE = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003134f]")
+#: Longest line, in characters, that is looked through for a letter or digit.
+_SIGNS = 400
 _SENTENCE = re.compile(r"""[.!?…,;:。！？，；：、][\"'”’»」』）)\]]*$|[.!?…][\"'”’»)\]]*\s|[。！？]""")
 
 
 class Block(NamedTuple):
+    """A block with its first line and how many more lines it has."""
+
     kind: str
     text: str
     line: int
+    more: int = 0
 
 
 def squeeze(text: str) -> str:
@@ -106,27 +114,38 @@ def _hollow(match: re.Match) -> str:
     return "\n" * match.group().count("\n")
 
 
+def decode_lines(text: str) -> str:
+    """``decode`` that keeps the number of lines."""
+    plain = decode(text)
+    if plain.count("\n") != text.count("\n"):
+        plain = "\n".join(decode(line).replace("\n", " ") for line in text.split("\n"))
+    return plain
+
+
 def split_blocks(text: str) -> tuple[list[Block], list[str]]:
     """The structure blocks of a text, and its lines with every block taken out.
 
     The second list has as many entries as the text has lines.
     """
-    lines_before = text.count("\n")
-    plain = decode(text)
-    if plain.count("\n") != lines_before:
-        plain = "\n".join(decode(line).replace("\n", " ") for line in text.split("\n"))
+    return _split(decode_lines(text))
+
+
+def _split(plain: str) -> tuple[list[Block], list[str]]:
     blocks: list[Block] = []
 
-    def take(kind: str, body: str, at: int) -> None:
+    def take(kind: str, body: str, at: int, more: int = 0) -> None:
         body = squeeze(body)
         if body:
-            blocks.append(Block(kind, body, at))
+            blocks.append(Block(kind, body, at, more))
+
+    def place(m: re.Match) -> tuple[int, int]:
+        return m.string.count("\n", 0, m.start()), m.group().count("\n")
 
     def code(m: re.Match) -> str:
         body = m["pre"] if m["pre"] is not None else m["wiki"] if m["wiki"] is not None else m["tex"] if m["tex"] is not None else m["md"]
         if m["pre"] is not None or m["wiki"] is not None:
             body = re.sub(r"</?(?:code|span|b|i|em|strong|tt|kbd)\b[^<>]*>", "", body, flags=re.I)
-        take(CODE, body, m.string.count("\n", 0, m.start()))
+        take(CODE, body, *place(m))
         return _hollow(m)
 
     def formula(m: re.Match) -> str:
@@ -135,12 +154,12 @@ def split_blocks(text: str) -> tuple[list[Block], list[str]]:
             body = _TAG.sub("", body)
             inner = re.fullmatch(r"\s*(?:\$\$?|\\\(|\\\[)(.*?)(?:\$\$?|\\\)|\\\])\s*", body, re.S)
             body = inner[1] if inner else body
-        take(FORMULA, body, m.string.count("\n", 0, m.start()))
+        take(FORMULA, body, *place(m))
         return _hollow(m)
 
     def html_block(m: re.Match) -> str:
         kind, body = (HEADING, m["ht"]) if m["h"] else (LIST_ITEM, m["li"])
-        take(kind, clean_inline(body), m.string.count("\n", 0, m.start()))
+        take(kind, clean_inline(body), *place(m))
         return _hollow(m)
 
     lower = plain.lower() if "<" in plain else ""
@@ -197,10 +216,23 @@ def _list_run(lines: list[str], i: int) -> bool:
     return any(0 <= j < len(lines) and re.match(r"#[^#\s]|# ?[a-z]", lines[j]) for j in (i - 1, i + 1))
 
 
-def _weight(line: str) -> int:
-    """Size of the text in a line: characters without blanks, an ideograph as much as three letters."""
-    bare = _SPACE.sub("", line)
-    return len(bare) if bare.isascii() else len(bare) + 2 * len(_WIDE.findall(bare))
+def line_sizes(plain: str) -> list[int]:
+    """Size of the text in each line: characters without tags and blanks, an ideograph as much as three letters.
+
+    A line of signs without a letter or digit has no size.
+    """
+    if "<" in plain:
+        plain = _TAG.sub(_hollow, plain)
+    wide = not plain.isascii()
+    sizes = []
+    for line in plain.split("\n"):
+        size = len(line) - line.count(" ")
+        if size and size <= _SIGNS and not any(map(str.isalnum, line)):
+            size = 0
+        if wide and size and not line.isascii():
+            size += 2 * len(_WIDE.findall(line))
+        sizes.append(size)
+    return sizes
 
 
 def _usual(sizes: list[int]) -> int:
@@ -214,30 +246,27 @@ def _usual(sizes: list[int]) -> int:
     return 0
 
 
-def body_lines(lines: list[str], window: int = 3, surge: int = 80, structure: frozenset[int] = frozenset()) -> list[bool]:
+def body_lines(sizes: list[int], window: int = 3, surge: int = 80) -> list[bool]:
     """Which lines lie between a surge and a dive of the line-block distribution.
 
-    ``lines`` are lines without markup. The size of the text in ``window`` consecutive
-    lines is summed at each line; a body begins at a line of some size whose sum reaches
-    ``surge``, or the usual line size of a text with shorter lines, and goes on until a run
-    of at least ``window`` empty lines. Lines in ``structure`` held a block that was taken
-    out: they neither fill the window nor let the body end.
+    The sizes of ``window`` consecutive lines with text are summed; a body begins at a line
+    with text whose sum reaches ``surge``, or the usual line size of a text with shorter
+    lines, and ends with the last line before ``window`` lines without text.
     """
-    sizes = [_weight(line) for line in lines]
     level = min(surge, _usual(sizes))
-    rest = [i for i in range(len(sizes)) if i not in structure]
-    sums = {i: sum(sizes[j] for j in rest[k : k + window]) for k, i in enumerate(rest) if sizes[i]}
-    keep, inside, gap, held = [False] * len(sizes), False, 0, False
-    for i, size in enumerate(sizes):
-        if not size:
-            gap, held = gap + 1, held or i in structure
-            continue
-        if gap >= window and not held:
+    keep = [False] * len(sizes)
+    filled = [i for i, size in enumerate(sizes) if size]
+    inside, last = False, -1
+    for k, i in enumerate(filled):
+        if inside and i - last > window:
             inside = False
-        gap, held = 0, False
-        if not inside and sums.get(i, size) >= level and size * 2 * window >= level:
+        if not inside and sum(sizes[j] for j in filled[k : k + window] if j - i < 2 * window) >= level:
             inside = True
-        keep[i] = inside
+            last = i
+        if inside:
+            for j in range(last, i + 1):
+                keep[j] = True
+            last = i
     return keep
 
 
@@ -246,6 +275,19 @@ def sentence_like(line: str) -> bool:
     return bool(_SENTENCE.search(line))
 
 
+def structure(text: str, distribution: bool = True) -> tuple[list[Block], list[str], list[bool]]:
+    """The structure blocks in the body of a text, its lines without blocks, and which lines are body.
+
+    ``distribution=False`` takes the whole text for the body.
+    """
+    plain = decode_lines(text)
+    if "<" in plain:
+        plain = _HIDDEN.sub(_hollow, plain)
+    blocks, rest = _split(plain)
+    keep = body_lines(line_sizes(plain)) if distribution else [True] * len(rest)
+    return [b for b in blocks if any(keep[b.line : b.line + 1 + b.more])], rest, keep
+
+
 def clean_text(text: str | None) -> str | None:
     """The text without markup residue; headings, items, code and formulas keep a plain form.
 
@@ -254,17 +296,15 @@ def clean_text(text: str | None) -> str | None:
     """
     if text is None:
         return None
-    blocks, rest = split_blocks(text)
-    prose = [squeeze(clean_inline(line)) if line else "" for line in rest]
-    structure = frozenset(i for i, (raw, line) in enumerate(zip(text.split("\n"), prose)) if not line and raw and squeeze(clean_inline(raw)))
-    keep = body_lines(prose, structure=structure)
+    blocks, rest, keep = structure(text)
     out: list[str] = []
     at = 0
     forms = {HEADING: "# {}", LIST_ITEM: "- {}", CODE: "```\n{}\n```", FORMULA: "$$ {} $$"}
-    for i, line in enumerate(prose):
+    for i, line in enumerate(rest):
         while at < len(blocks) and blocks[at].line <= i:
             out.append(forms[blocks[at].kind].format(blocks[at].text))
             at += 1
+        line = squeeze(clean_inline(line)) if line else ""
         if line and (keep[i] or sentence_like(line)):
             out.append(line)
     return "\n".join(out)

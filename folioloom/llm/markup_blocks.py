@@ -19,13 +19,13 @@ def _texts(texts: DataFrame) -> DataFrame:
 
 
 def blocks(texts: DataFrame) -> DataFrame:
-    """(part, id, line_no, block_kind, block_text) of every structure block."""
+    """(part, id, line_no, block_kind, block_text) of every structure block in the body of a text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for part, key, text in zip(batch["part"], batch["id"], batch["text"]):
-                rows += [(part, key, b.line + 1, b.kind, b.text) for b in markup.split_blocks(text)[0]]
+                rows += [(part, key, b.line + 1, b.kind, b.text) for b in markup.structure(text)[0]]
             yield pd.DataFrame(rows, columns=["part", "id", "line_no", "block_kind", "block_text"])
 
     chosen = _texts(texts).where(F.col("text").isNotNull() & (F.length("text") > 0))

@@ -52,8 +52,26 @@ def test_clean_text():
     assert markup.clean_text(None) is None and markup.clean_text("") == ""
 
 
+def body(*lines):
+    return markup.body_lines(markup.line_sizes("\n".join(lines)))
+
+
+def test_line_sizes():
+    assert markup.line_sizes("<p>a b</p>\n* * *\n\n<b\n>x1</b>\n字字") == [2, 0, 0, 0, 2, 6]
+
+
 def test_body_lines():
-    assert markup.body_lines(["menu", "", "", "x" * 100, "y" * 100, "", "", "", "foot"]) == [False, False, False, True, True, False, False, False, False]
+    assert body("menu", "", "", "", "", "", "x" * 100, "y" * 100, "", "", "", "foot") == [False] * 6 + [True, True] + [False] * 4
+    assert body("Chapter 1", "", "x" * 100) == [True] * 3  # a short line next to the surge
+    assert body("", "* * *") == [False, False] and body() == [False]
+
+
+def test_blocks_come_from_the_body_only():
+    text = "- Home\n- Top\n\n\n\n\n\n\n## One\n" + "<p>" + "The long river went on. " * 8 + "</p>\n- item\n\n\n\n\n## Share"
+    assert [b.text for b in markup.structure(text)[0]] == ["One", "item"]
+    assert [b.text for b in markup.structure(text, distribution=False)[0]] == ["Home", "Top", "One", "item", "Share"]
+    code = "\n\n\n\n<pre>\n\n\n\n\n" + "let x = 1; " * 20 + "\n</pre>"
+    assert [b.kind for b in markup.structure(code)[0]] == ["code"]  # a block counts if one of its lines is body
 
 
 ENGLISH = "<p>The long river went on past the mill, and nobody in the village could say where it ended or why.</p>"
@@ -70,9 +88,9 @@ def test_no_paragraph_of_a_chapter_is_lost(paragraph, between):
 
 
 def test_structure_is_neutral_and_menus_still_go():
-    assert markup.body_lines(["x" * 100, "", "", "", "verse of the song"], structure=frozenset({2})) == [True, False, False, False, True]
-    assert markup.body_lines(["x" * 100, "", "", "", "verse"]) == [True, False, False, False, False]
-    assert markup.clean_text("Home\n\n\n" + ENGLISH + "\n\n\n\nTop").split("\n") == [ENGLISH[3:-4]]
+    assert body("x" * 100, "", "- item", "", "verse of the song") == [True] * 5
+    assert body("x" * 100, "", "", "", "verse") == [True, False, False, False, False]
+    assert markup.clean_text("Home\n\n\n\n\n\n" + ENGLISH + "\n\n\n\nTop").split("\n") == [ENGLISH[3:-4]]
 
 
 @settings(max_examples=200, deadline=None)

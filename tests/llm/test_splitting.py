@@ -28,7 +28,7 @@ def test_pieces_rebuild_the_text(limit, overlap):
     whole = ""
     for p in pieces:
         assert p.char_count == len(bare(p.html)) <= limit
-        assert p.overlap == (min(overlap, limit // 2) if p.piece_no > 1 else 0)
+        assert p.overlap == (min(overlap, limit - 1, pieces[p.piece_no - 2].char_count) if p.piece_no > 1 else 0)
         assert bare(p.html)[: p.overlap] == whole[len(whole) - p.overlap :]
         whole += bare(p.html)[p.overlap :]
     assert whole == bare(text)
@@ -52,6 +52,37 @@ def test_headings():
     assert S.heading_lines(listed) == [3, 5]
 
 
+def test_long_headings_and_sections_without_text():
+    long = "<h2>" + "The very long title of a chapter " * 4 + "</h2>"
+    assert S.heading_lines("\n".join(["Part One", long, "It rained."])) == [0, 1]
+    # a list of titles without a name of its own, its lines come again with text
+    listed = "\n".join(["Chapter 1", "Chapter 2", "Chapter 3", "Chapter 1", "a b.", "Chapter 2", "c d.", "Chapter 3", "e f."])
+    assert S.heading_lines(listed) == [3, 5, 7]
+    assert S.heading_lines("\n".join(["I", "It rained.", "I", "It stopped."])) == [0, 2]
+
+
+def test_the_sections_are_chosen_by_the_program(monkeypatch):
+    listed = "\n".join(["Contents", "Chapter 1", "Chapter 2", "Chapter 1", "It rained.", "Chapter 2", "It stopped."])
+    monkeypatch.setattr(S, "section_starts", lambda shapes, plain, prose: shapes)
+    assert S.heading_lines(listed) == [1, 2, 3, 5]
+
+
+def test_cut_lines_keep_their_tags():
+    text = '<p>one <b>two <a href="x">three four</a> five</b> six &amp; seven<br/>eight</p>'
+    pieces = S.split_text(text, 12, 0)
+    assert "".join(bare(p.html) for p in pieces) == bare(text)
+    for p in pieces:
+        tags = re.findall(r"<(/?)(\w+)[^<>/]*(?:/)?>", p.html.replace("<br/>", ""))
+        stack = []
+        for close, name in tags:
+            if close:
+                assert stack.pop() == name
+            else:
+                stack.append(name)
+        assert not stack and p.html.startswith("<p>") and p.html.endswith("</p>")
+    assert any('<b>' in p.html and 'href="x"' in p.html for p in pieces) and "&amp;" in "".join(p.html for p in pieces)
+
+
 def test_table(spark):
     text = body()
     rows = [(1, text, 200, 20, "x", 9), (1, text, 200, 20, "x", 9), (2, None, 200, 20, None, None), (3, "", 200, None, None, None), (4, "<p>short</p>", 200, None, None, None), (5, text, None, 3, None, None), (6, "y" * 50_000, 900, 50, None, None)]

@@ -81,13 +81,23 @@ def _char_class(codes: list[int]) -> str:
 
 _MARKS = list(range(0x300, 0x370))
 _CJK = [k for k in TABLE if 0x2E80 <= k <= 0x2FDF or 0xF900 <= k <= 0xFAFF or 0x2F800 <= k <= 0x2FA1F]
-ODD_LETTER_CLASS = _char_class([k for k, v in TABLE.items() if v != " " and k not in set(_CJK)] + _MARKS)
+#: Letters of the scripts whose letters may look like Latin ones.
+SCRIPTS = {
+    name: frozenset(chr(c) for c in range(low, high) if unicodedata.category(chr(c)).startswith("L"))
+    for name, low, high in (("greek", 0x370, 0x400), ("cyrillic", 0x400, 0x530), ("armenian", 0x530, 0x590))
+}
+_FOREIGN = [ord(ch) for letters in SCRIPTS.values() for ch in letters]
+ODD_LETTER_CLASS = _char_class(sorted({k for k, v in TABLE.items() if v != " " and k not in set(_CJK)} | set(_MARKS) | set(_FOREIGN)))
 ODD_CJK_CLASS = _char_class(_CJK)
 BLANK_CLASS = _char_class([ord(ch) for ch in BLANKS])
-#: Any character that ``fold`` changes, or that may compose with its neighbour.
+#: Any character that ``fold`` may change, that may compose with its neighbour, or of another script with look-alikes.
 ODD = re.compile(f"[{ODD_LETTER_CLASS}{ODD_CJK_CLASS}{BLANK_CLASS}]")
 #: A letter run with at least one odd character in it, one odd ideograph, or one odd blank.
 ODD_TOKEN = re.compile(f"[0-9A-Za-zÀ-ɏ]*+[{ODD_LETTER_CLASS}][0-9A-Za-zÀ-ɏ{ODD_LETTER_CLASS}]*+|[{ODD_CJK_CLASS}][{_char_class([ord(c) for c in IGNORABLE])}]*+|[{BLANK_CLASS}]")
+#: Letter runs of plain text, cut as ``ODD_TOKEN`` cuts.
+PLAIN_WORD = re.compile("[0-9A-Za-zÀ-ɏ]+")
+#: What the letters of each script look like, and the letters themselves.
+_READABLE = {name: letters | {part for ch in letters for part in TABLE.get(ord(ch), ch)} for name, letters in SCRIPTS.items()}
 
 
 def unescape(text: str) -> str:
@@ -110,6 +120,20 @@ def fold_token(token: str) -> str:
     return unicodedata.normalize("NFC", token.translate(TABLE))
 
 
+@lru_cache(maxsize=1 << 16)
+def native_script(token: str) -> str | None:
+    """The script that all letters of a token belong to, if it is one with look-alikes and nothing else is in the token."""
+    letters = [ch for ch in token if not ch.isdigit()]
+    return next((name for name, own in SCRIPTS.items() if letters and own.issuperset(letters)), None)
+
+
+@lru_cache(maxsize=1 << 16)
+def may_be_native(skeleton: str) -> bool:
+    """Whether one of the other scripts can write something of this table skeleton."""
+    letters = {ch for ch in skeleton if not ch.isdigit()}
+    return bool(letters) and any(readable.issuperset(letters) for readable in _READABLE.values())
+
+
 @lru_cache(maxsize=1 << 16)
 def char_class(ch: str) -> str:
     """The look-alike class of one character, named by its table image."""

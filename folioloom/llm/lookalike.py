@@ -1,14 +1,19 @@
 """Texts that look the same but differ in their characters, brought to one form.
 
-Method. The spellings that the corpus itself writes with unambiguous characters form a
-vocabulary, kept in tries. A token with odd characters is traversed through a trie by a
+Method. The spellings of the corpus form a vocabulary, kept in tries: words of Latin
+letters from every text, and words written wholly in another script that has look-alikes
+(Greek, Cyrillic, Armenian). A token with odd characters is traversed through a trie by a
 weighted edit automaton in which look-alike substitutions and ignorable characters cost
-nothing; among the spellings reached the most frequent is the canonical one. A token
-that reaches none is normalised by the table of ``charforms``.
+nothing. Among the spellings reached one in Latin letters comes first, since texts without
+odd characters hold it as it is; else the most frequent is canonical, so that a native word
+keeps its script. A token that reaches none is normalised by the table of ``charforms``, as
+are single ideographs and blanks.
 
-Zero-cost spellings share one table skeleton, so vocabulary and odd tokens are sharded
-by a hash of the skeleton: no trie holds the whole vocabulary and nothing is broadcast
-by hand.
+Zero-cost spellings share one table skeleton, so vocabulary and odd tokens are sharded by a
+hash of the skeleton, with as many shards as their number asks for; nothing is broadcast by
+hand. A text's key is a fingerprint mod 2^127 - 1 of its canonical form that can be put
+together from the fingerprints of its parts, so no text is shuffled: only texts with tokens
+that another script could write wait for their canonical spellings, as fingerprints.
 
 Defined results: null and empty texts have no form and take part in nothing; a repeated
 row counts once; extra columns are ignored; texts are processed whole.
@@ -17,7 +22,6 @@ row counts once; extra columns are ignored; texts are processed whole.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,16 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioloom.llm import charforms
+from folioloom.operators.layout import once
 from folioloom.session import materialise
 
-#: Shards of the vocabulary; each is one trie in one task.
-SHARDS = 48
+#: Distinct odd tokens of one shard, about.
+SHARD_TOKENS = 100_000
 #: Distinct tokens a task holds before it hands its counts on.
 VOCABULARY_FLUSH = 200_000
 
-_SCAN_SCHEMA = "kind string, part string, id string, variant string, pos int, token string, skeleton string, n long"
-
-_WORD = re.compile(r"[0-9A-Za-z\u00c0-\u024f\u0370-\u03ff\u0400-\u04ff]+")
+_COLUMNS = ["kind", "part", "id", "variant", "key", "prints", "sizes", "tokens", "token", "skeleton", "n"]
+_SCAN_SCHEMA = "kind string, part string, id string, variant string, key string, prints array<string>, sizes array<long>, tokens array<string>, token string, skeleton string, n long"
 
 
 class LookalikeTrie:
@@ -88,87 +92,120 @@ class LookalikeTrie:
         return [(cost, count, spelling) for spelling, (cost, count) in found.items()]
 
     def canonical(self, token: str) -> str | None:
-        """The canonical spelling: least cost, then most frequent, then first in order."""
+        """The canonical spelling: least cost, then without odd characters, then most frequent, then first in order."""
         reached = self.search(token)
         if not reached:
             return None
-        return min(reached, key=lambda x: (x[0], -x[1], x[2]))[2]
+        return min(reached, key=lambda x: (x[0], bool(charforms.ODD.search(x[2])), -x[1], x[2]))[2]
 
 
 def _digest(text: str) -> str:
     return hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+_MODULUS = (1 << 127) - 1
+
+
+def fingerprint(text: str) -> tuple[int, int]:
+    """(value mod 2^127 - 1, length) of a text's bytes read as one number to base 256."""
+    raw = text.encode("utf-8", "surrogatepass")
+    return int.from_bytes(raw, "big") % _MODULUS, len(raw)
+
+
+def joined(parts: list[tuple[int, int]]) -> str:
+    """The key of the text whose parts have these fingerprints, one after the other."""
+    value = size = 0
+    for part, length in parts:
+        value = (value * pow(256, length, _MODULUS) + part) % _MODULUS
+        size += length
+    return f"{value:032x}-{size:x}"
+
+
+def _open(token: str) -> bool:
+    """Whether the canonical spelling of an odd token may differ from its table skeleton."""
+    return charforms.may_be_native(charforms.fold_token(token))
+
+
+def cut_open(text: str) -> tuple[list[str], list[str]]:
+    """A decoded text with its odd tokens folded, cut at those whose spelling is open: (stretches, open tokens)."""
+    stretches, tokens, current, at = [], [], [], 0
+    for match in charforms.ODD_TOKEN.finditer(text):
+        current.append(text[at : match.start()])
+        token = match.group()
+        if _open(token):
+            stretches.append("".join(current))
+            tokens.append(token)
+            current = []
+        else:
+            current.append(charforms.fold_token(token))
+        at = match.end()
+    stretches.append("".join([*current, text[at:]]))
+    return stretches, tokens
+
+
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One pass over the texts: keys of plain texts, pieces of odd ones, vocabulary counts."""
-    counts: Counter[str] = Counter()
-    singles: Counter[str] = Counter()
-
-    def vocabulary() -> pd.DataFrame:
-        total: Counter[str] = Counter()
-        for word, n in counts.items():
-            for part in word_runs(word):
-                total[part] += n
-        for ch, n in singles.items():
-            if ch > "⹿" and ch not in charforms.BLANKS:
-                total[ch] += n
-        counts.clear()
-        singles.clear()
-        return _frame([("vocab", None, None, None, None, t, charforms.fold_token(t), n) for t, n in total.items()])
+    """One pass over the texts: keys, parts of texts with open tokens, odd tokens and vocabulary counts."""
+    pieces: Counter[str] = Counter()
+    odd: Counter[str] = Counter()
+
+    def words() -> pd.DataFrame:
+        vocabulary: Counter[str] = Counter()
+        for piece, n in pieces.items():
+            for word in charforms.PLAIN_WORD.findall(piece):
+                vocabulary[word] += n
+        rows = [_word_row("vocab", w, w, n) for w, n in vocabulary.items()]
+        for token, n in odd.items():
+            skeleton = charforms.fold_token(token)
+            rows.append(_word_row("odd", token, skeleton, n))
+            if charforms.native_script(token):
+                rows.append(_word_row("vocab", token, skeleton, n))
+        pieces.clear()
+        odd.clear()
+        return _frame(rows)
 
     for batch in batches:
         rows: list[tuple] = []
         for part, key, text in zip(batch["part"], batch["id"], batch["text"]):
             decoded = charforms.unescape(text)
             variant = _digest(text)
-            ascii_only = decoded.isascii()
-            if (ascii_only and "\t" not in decoded) or not charforms.ODD.search(decoded):
-                rows.append(("key", part, key, variant, None, variant if decoded == text else _digest(decoded), None, None))
-                counts.update(decoded.split())
-                if not ascii_only:
-                    singles.update(decoded)
+            if (decoded.isascii() and "\t" not in decoded) or not charforms.ODD.search(decoded):
+                pieces.update(decoded.split())
+                rows.append(("key", part, key, variant, joined([fingerprint(decoded)]), *_NO_PARTS))
                 continue
-            at = pos = 0
-            for match in charforms.ODD_TOKEN.finditer(decoded):
-                if match.start() > at:
-                    rows.append(("plain", part, key, variant, pos, decoded[at : match.start()], None, None))
-                    pos += 1
-                token = match.group()
-                rows.append(("odd", part, key, variant, pos, token, charforms.fold_token(token), None))
-                pos += 1
-                at = match.end()
-            if at < len(decoded):
-                rows.append(("plain", part, key, variant, pos, decoded[at:], None, None))
+            odd.update(t for t in charforms.ODD_TOKEN.findall(decoded) if len(t) > 1 or t.isalpha() and t < "\u2e80")
+            pieces.update(charforms.ODD_TOKEN.sub(" ", decoded).split())
+            stretches, tokens = cut_open(decoded)
+            if tokens:
+                prints = [fingerprint(s) for s in stretches]
+                rows.append(("open", part, key, variant, None, [f"{v:x}" for v, _ in prints], [n for _, n in prints], tokens, None, None, None))
+            else:
+                rows.append(("key", part, key, variant, joined([fingerprint(stretches[0])]), *_NO_PARTS))
         yield _frame(rows)
-        if len(counts) + len(singles) > VOCABULARY_FLUSH:
-            yield vocabulary()
-    yield vocabulary()
+        if len(pieces) + len(odd) > VOCABULARY_FLUSH:
+            yield words()
+    yield words()
+
 
+_NO_PARTS = (None, None, None, None, None, None)
 
-def word_runs(word: str) -> list[str]:
-    """The letter runs of one blank-delimited piece, by the alphabet of ``charforms``."""
-    return _WORD.findall(word)
+
+def _word_row(kind: str, token: str, skeleton: str, n: int) -> tuple:
+    return (kind, None, None, None, None, None, None, None, token, skeleton, n)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["kind", "part", "id", "variant", "pos", "token", "skeleton", "n"])
-    out["pos"] = out["pos"].astype("Int32")
+    out = pd.DataFrame(rows, columns=_COLUMNS)
     out["n"] = out["n"].astype("Int64")
     return out
 
 
-import re  # noqa: E402
-
-_WORD = re.compile(r"[0-9A-Za-zÀ-ɏͰ-ϿЀ-ӿ]+")
-
-
 def _resolve(odd: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
     """Canonical spellings of the odd tokens of one shard."""
     trie = LookalikeTrie()
     for spelling, n in zip(vocabulary["spelling"], vocabulary["uses"]):
         trie.add(spelling, int(n))
     tokens = odd["odd_token"].tolist()
-    return pd.DataFrame({"token": tokens, "canonical": [trie.canonical(t) or charforms.fold_token(t) for t in tokens]})
+    return pd.DataFrame({"token": tokens, "skeleton": odd["odd_skeleton"], "canonical": [trie.canonical(t) or charforms.fold_token(t) for t in tokens]})
 
 
 def scan_texts(texts: DataFrame) -> DataFrame:
@@ -180,35 +217,46 @@ def scan_texts(texts: DataFrame) -> DataFrame:
 
 
 def canonical_spellings(scan: DataFrame) -> DataFrame:
-    """(token, canonical) of every odd token of a scan."""
-    shard = F.pmod(F.xxhash64("skeleton"), F.lit(SHARDS))
-    odd = scan.where("kind = 'odd'").select("token", "skeleton").distinct()
-    wanted = odd.select(F.col("skeleton").alias("wanted")).distinct()
+    """(token, skeleton, canonical) of every odd token of a scan."""
+    odd = materialise(scan.where("kind = 'odd'").select(F.col("token").alias("odd_token"), F.col("skeleton").alias("odd_skeleton")).distinct(), "odd")
+    shards = odd.count() // SHARD_TOKENS + odd.sparkSession.sparkContext.defaultParallelism
+    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
+    wanted = odd.select(F.col("odd_skeleton").alias("wanted")).distinct()
     vocabulary = (
         scan.where("kind = 'vocab'")
-        .groupBy("token", "skeleton")
-        .agg(F.sum("n").alias("n"))
         .join(wanted, F.col("skeleton") == F.col("wanted"), "left_semi")
-        .select(shard.alias("v_shard"), F.col("token").alias("spelling"), F.col("n").alias("uses"))
+        .groupBy("token", "skeleton")
+        .agg(F.sum("n").alias("uses"))
+        .select(shard("skeleton").alias("v_shard"), F.col("token").alias("spelling"), "uses")
     )
-    tokens = odd.select(shard.alias("o_shard"), F.col("token").alias("odd_token"))
+    tokens = odd.select(shard("odd_skeleton").alias("o_shard"), "odd_token", "odd_skeleton")
     return (
         tokens.groupBy("o_shard")
         .cogroup(vocabulary.groupBy("v_shard"))
-        .applyInPandas(_resolve, "token string, canonical string")
+        .applyInPandas(_resolve, "token string, skeleton string, canonical string")
     )
 
 
-def canonical_texts(scan: DataFrame) -> DataFrame:
-    """(part, id, variant, canonical) of the odd texts of a scan; plain ones are canonical as they are."""
-    pieces = scan.where("kind in ('odd', 'plain')").select("kind", "part", "id", "variant", "pos", "token")
-    joined = pieces.join(canonical_spellings(scan).withColumn("kind", F.lit("odd")), ["kind", "token"], "left")
-    ordered = F.sort_array(F.collect_set(F.struct("pos", F.coalesce("canonical", "token").alias("piece"))))
-    return (
-        joined.groupBy("part", "id", "variant")
-        .agg(ordered.alias("pieces"))
-        .select("part", "id", "variant", F.array_join(F.col("pieces.piece"), "").alias("canonical"))
-    )
+def _spelled(scan: DataFrame) -> DataFrame:
+    """The texts of a scan with open tokens, each with its (token, canonical) pairs where the table doesn't give the spelling."""
+    texts = scan.where("kind = 'open'").select("part", "id", "variant", "prints", "sizes", "tokens")
+    differs = materialise(canonical_spellings(scan).where("canonical != skeleton").select(F.col("token").alias("c_token"), "canonical"), "spellings")
+    held = texts.select("part", "id", "variant", F.explode(F.array_distinct("tokens")).alias("token")).join(differs, F.col("token") == F.col("c_token"))
+    pairs = held.groupBy(F.col("part").alias("s_part"), F.col("id").alias("s_id"), F.col("variant").alias("s_variant")).agg(F.map_from_entries(F.collect_set(F.struct("token", "canonical"))).alias("spellings"))
+    same = (F.col("part") == F.col("s_part")) & (F.col("id") == F.col("s_id")) & (F.col("variant") == F.col("s_variant"))
+    return texts.join(pairs, same, "left").drop("s_part", "s_id", "s_variant")
+
+
+def _put_together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        keys = []
+        for prints, sizes, tokens, spellings in zip(batch["prints"], batch["sizes"], batch["tokens"], batch["spellings"]):
+            known = dict(spellings) if spellings is not None else {}
+            parts = [(int(prints[0], 16), int(sizes[0]))]
+            for token, value, size in zip(tokens, prints[1:], sizes[1:]):
+                parts += [fingerprint(known.get(token) or charforms.fold_token(token)), (int(value, 16), int(size))]
+            keys.append(joined(parts))
+        yield pd.DataFrame({"part": batch["part"], "id": batch["id"], "variant": batch["variant"], "key": keys})
 
 
 def lookalike_keys(texts: DataFrame) -> DataFrame:
@@ -217,9 +265,27 @@ def lookalike_keys(texts: DataFrame) -> DataFrame:
     ``variant`` tells the stored strings apart. One row per distinct (id, string).
     """
     scan = scan_texts(texts)
-    plain = scan.where("kind = 'key'").select("part", "id", "variant", F.col("token").alias("key")).distinct()
-    odd = canonical_texts(scan).select("part", "id", "variant", F.md5("canonical").alias("key"))
-    return materialise(plain.unionByName(odd), "keys")
+    closed = scan.where("kind = 'key'").select("part", "id", "variant", "key")
+    opened = _spelled(scan).mapInPandas(_put_together, "part string, id string, variant string, key string")
+    return materialise(closed.unionByName(opened).distinct(), "keys")
+
+
+def canonical_texts(texts: DataFrame) -> DataFrame:
+    """(part, id, canonical): every non-empty text in its one form, once per id; texts without open tokens are folded where they are."""
+    spellings = _spelled(scan_texts(texts)).where("spellings is not null").select(F.col("part").alias("o_part"), F.col("id").alias("o_id"), "spellings").dropDuplicates(["o_part", "o_id"])
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text, known in zip(batch["text"], batch["spellings"]):
+                stretches, tokens = cut_open(charforms.unescape(text))
+                spelled = dict(known) if known is not None else {}
+                out.append("".join([stretches[0], *[(spelled.get(t) or charforms.fold_token(t)) + s for t, s in zip(tokens, stretches[1:])]]))
+            yield pd.DataFrame({"part": batch["part"], "id": batch["id"], "canonical": out})
+
+    rows = texts.select(F.concat_ws("\u0001", "part", "id").alias("row_key"), *(F.col(c).cast("string").alias(c) for c in ("part", "id", "text"))).where("text != '' and id is not null")
+    joined_rows = once(rows, "row_key").join(spellings, (F.col("part") == F.col("o_part")) & (F.col("id") == F.col("o_id")), "left")
+    return joined_rows.select("part", "id", "text", "spellings").mapInPandas(write, "part string, id string, canonical string")
 
 
 def lookalike_classes(keys: DataFrame) -> DataFrame:
@@ -243,12 +309,3 @@ def lookalike_pairs(keys: DataFrame) -> DataFrame:
     a = rows.select("part", "key", F.col("id").alias("id_a"), F.col("variant").alias("va"))
     b = rows.select("part", "key", F.col("id").alias("id_b"), F.col("variant").alias("vb"))
     return a.join(b, ["part", "key"]).where("id_a < id_b and va != vb").select("id_a", "id_b").distinct()
-
-
-def canonical_all(texts: DataFrame) -> DataFrame:
-    """(part, id, canonical): every non-empty text in its one form."""
-    scan = scan_texts(texts)
-    odd = canonical_texts(scan).select("part", "id", "canonical")
-    plain = scan.where("kind = 'key'").select("part", "id").distinct()
-    base = texts.select(F.col("part").cast("string").alias("part"), F.col("id").cast("string").alias("id"), F.col("text").alias("canonical"))
-    return odd.unionByName(base.join(plain, ["part", "id"], "left_semi").dropDuplicates(["part", "id"]))

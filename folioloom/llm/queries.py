@@ -26,6 +26,11 @@ def p1_classes(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.lookalike_classes(lookalike.lookalike_keys(_chapter_texts(spark, d)))
 
 
+def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Every chapter in its one form."""
+    return lookalike.canonical_texts(_chapter_texts(spark, d))
+
+
 def _site_documents(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "chapters").select("site", "id", "title", F.col("html_content").alias("text"))
 
@@ -128,5 +133,5 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(mixing.mix(read_table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p3_found": p3_found, "p3_clean": p3_clean, "p3_blocks": p3_blocks, "p4_found": p4_found, "p4_levels": p4_levels, "p4_checks": p4_checks, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_clean": p3_clean, "p3_blocks": p3_blocks, "p4_found": p4_found, "p4_levels": p4_levels, "p4_checks": p4_checks, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

@@ -70,6 +70,43 @@ def test_classes_long_and_empty(spark):
     assert pairs(spark, []) == set()
 
 
-def test_canonical_all(spark):
-    got = {r.id: r.canonical for r in lookalike.canonical_all(frame(spark, [("a", "tһe fox"), ("b", "the fox"), ("c", None)])).collect()}
-    assert got == {"a": "the fox", "b": "the fox"}
+def canonical(spark, texts):
+    return {r.id: r.canonical for r in lookalike.canonical_texts(frame(spark, texts)).collect()}
+
+
+def test_canonical_texts(spark):
+    assert canonical(spark, [("a", "tһe\u00a0fox &amp; ⼈"), ("a", "tһe\u00a0fox &amp; ⼈"), ("b", "the fox"), ("c", None)]) == {"a": "the fox & 人", "b": "the fox"}
+
+
+NATIVE = [("a", "Москва и Волга"), ("b", "Mосква и Bолга"), ("c", "Μосква и Волга!"), ("d", "Σοφία"), ("e", "Σoφία\u200b")]
+
+
+def test_native_words_keep_their_script(spark):
+    got = canonical(spark, NATIVE)
+    assert got["a"] == got["b"] == "Москва и Волга" and got["c"] == "Москва и Волга!" and got["d"] == got["e"] == "Σοφία"
+    assert pairs(spark, NATIVE) == {("a", "b"), ("d", "e")}
+
+
+def test_the_trie_decides_and_not_the_table(spark, monkeypatch):
+    spelled = lambda: {r.token: r.canonical for r in lookalike.canonical_spellings(lookalike.scan_texts(frame(spark, NATIVE))).collect()}
+    assert spelled()["Mосква"] == "Москва"
+    monkeypatch.setattr(lookalike, "_resolve", lambda odd, vocabulary: lookalike.pd.DataFrame({"token": odd["odd_token"], "skeleton": odd["odd_skeleton"], "canonical": odd["odd_skeleton"]}))
+    assert spelled()["Mосква"] == "Mockвa"
+
+
+def test_a_latin_spelling_comes_first_where_the_corpus_has_it(spark):
+    texts = [("a", "COH here"), ("b", "СОН here"), ("c", "СОН дома"), ("d", "СОН дома."), ("e", "а man"), ("f", "a man"), ("g", "хор"), ("h", "xoр")]
+    assert pairs(spark, texts) == {("a", "b"), ("e", "f"), ("g", "h")}
+    assert canonical(spark, texts)["g"] == "хор"
+
+
+def test_keys_are_those_of_the_whole_text():
+    text = "Москва — the сity, Σοφία и́ Boлга; plain end"
+    stretches, tokens = lookalike.cut_open(text)
+    assert tokens and len(stretches) == len(tokens) + 1
+    parts = [lookalike.fingerprint(stretches[0])]
+    for token, stretch in zip(tokens, stretches[1:]):
+        parts += [lookalike.fingerprint(charforms.fold_token(token)), lookalike.fingerprint(stretch)]
+    whole = "".join([stretches[0], *[charforms.fold_token(t) + s for t, s in zip(tokens, stretches[1:])]])
+    assert lookalike.joined(parts) == lookalike.joined([lookalike.fingerprint(whole)])
+    assert lookalike.joined([lookalike.fingerprint("\0a")]) != lookalike.joined([lookalike.fingerprint("a")])

@@ -1,17 +1,21 @@
 """Documents of several sources combined so that each source gives a target share.
 
-Method. Temperature mixing: the weights of the sources are their target shares raised to
-an exponent (times their available shares raised to the rest) and normalised; the
-exponent is found by bisection, as the largest that a repetition limit allows, or as the
-one that meets a target entropy. Without a total asked for, the total is the largest at
-which the targets themselves (exponent 1) are within reach. The weights are realised as
-budgeted block permutations: every source's texts stand in a fixed pseudo-random order
-of blocks; whole passes repeat all texts, the last pass takes blocks up to the budget,
-then texts of the block at the budget, and last the one text left that fits the rest best.
-
-Equal texts are one text: it is used at most ``max_repeats`` times under one of its ids.
-Sizes are tokens of a public tokenizer. Only sums by source and by (source, block) reach
-the driver or one task; a block holds about 1/``BLOCKS`` of a source.
+Method. Temperature mixing: the weights of the sources are token shares raised to an
+exponent and normalised; the exponent is found by bisection. With a target entropy it is
+that of the natural token shares at which the weights reach it (``entropy_weights``). With
+stated target shares the weights are these, tempered towards the shares of the room that
+the repetition limits leave as far as the total asked for needs (``plan``): exponent 1 is
+the targets themselves and holds while no limit is met; a larger total lowers it. Without a
+total asked for, the total is the largest at which exponent 1 is within reach. The weights
+are realised as budgeted block permutations: every source's texts stand in a fixed
+pseudo-random order of blocks; whole passes repeat all texts, the last pass takes blocks up
+to the budget, then texts of the block at the budget, and last the one text left that fits
+the rest best.
+
+Equal texts are one text: it is used at most ``max_repeats`` times under its least id, and
+copies are left out before anything is encoded. Sizes are tokens of a public tokenizer.
+Only sums by source reach the driver; a block holds about ``BLOCK_TEXTS`` texts whatever
+the size of its source, and only the block at the budget is ordered.
 
 Defined results: null, empty and blank texts are not chosen; source names are compared
 without case and outer blanks; a source without texts gets nothing and its share is
@@ -30,7 +34,8 @@ from pyspark.sql.window import Window
 from folioloom.llm import tokenizer
 from folioloom.session import materialise
 
-BLOCKS = 1024
+#: Texts of one block, about.
+BLOCK_TEXTS = 1024
 
 
 def tempered(base: dict[str, float], pull: dict[str, float], exponent: float) -> dict[str, float]:
@@ -61,8 +66,8 @@ def entropy_weights(natural: dict[str, float], target_entropy: float) -> dict[st
     return tempered(natural, flat, exponent)
 
 
-def plan(tokens: dict[str, int], target: dict[str, float], repeats: dict[str, int], total: float | None = None) -> dict[str, float]:
-    """Token budget of each source."""
+def plan(tokens: dict[str, int], target: dict[str, float], repeats: dict[str, int], total: float | None = None, stretch: float = 1.0) -> dict[str, float]:
+    """Token budget of each source; ``stretch`` multiplies the total that is within reach, where none is asked for."""
     room = {s: tokens.get(s, 0) * max(0, repeats[s]) for s in target}
     live = {s: target[s] for s in target if target[s] > 0 and room[s] > 0}
     whole = sum(live.values())
@@ -70,7 +75,7 @@ def plan(tokens: dict[str, int], target: dict[str, float], repeats: dict[str, in
         return {s: 0.0 for s in target}
     live = {s: p / whole for s, p in live.items()}
     reach = min(room[s] / live[s] for s in live)
-    total = min(total or reach, sum(room[s] for s in live))
+    total = min(total or reach * stretch, sum(room[s] for s in live))
     pull = {s: room[s] / sum(room[x] for x in live) for s in live}
     exponent = bisect_exponent(lambda e: all(total * w <= room[s] * (1 + 1e-9) for s, w in tempered(live, pull, e).items()))
     weights = tempered(live, pull, exponent)
@@ -78,38 +83,55 @@ def plan(tokens: dict[str, int], target: dict[str, float], repeats: dict[str, in
 
 
 def _texts(documents: DataFrame, targets: DataFrame, tokenizers: str) -> DataFrame:
-    """(source, doc_id, text_key, n_tokens, block, place): each distinct text of the target sources once."""
+    """(source, doc_id, text_key, n_tokens): each distinct text of the target sources once, under its least id."""
     wanted = targets.select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats").where("source is not null").dropDuplicates(["source"])
-    named = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.trim("source")).alias("in_source"), "text").where("trim(text) != ''")
-    own = named.join(wanted.select("source"), F.col("in_source") == F.col("source"), "left_semi")
-    keyed = own.select("doc_id", F.concat_ws("\u0001", "in_source", F.md5("text")).alias("tag"), "text")
-    sized = tokenizer.encode_tagged(keyed, tokenizers)
+    named = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.trim("source")).alias("in_source"), "text").where("trim(text) != '' and doc_id is not null")
+    own = named.join(wanted.select("source"), F.col("in_source") == F.col("source"), "left_semi").withColumn("text_key", F.md5("text"))
+    ids = own.select("doc_id", "text_key")
+    several = ids.groupBy(F.col("text_key").alias("s_key")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
+    copies = ids.join(several, F.col("text_key") == F.col("s_key")).where("doc_id != least").select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).distinct()
+    firsts = own.join(copies, (F.col("doc_id") == F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left_anti")
+    sized = tokenizer.encode_tagged(firsts.select("doc_id", F.concat_ws("\u0001", "in_source", "text_key").alias("tag"), "text"), tokenizers)
     parts = F.split("tag", "\u0001")
     rows = sized.select("doc_id", parts[0].alias("source"), parts[1].alias("text_key"), F.size("ids").cast("long").alias("n_tokens")).where("n_tokens > 0")
-    once = rows.groupBy("text_key").agg(F.min_by(F.struct("source", "doc_id", "n_tokens"), "doc_id").alias("x"))
-    order = F.xxhash64("text_key", F.lit(20))
-    return once.select("x.source", "x.doc_id", "text_key", "x.n_tokens", F.pmod(order, F.lit(BLOCKS)).cast("int").alias("block"), order.alias("place"))
+    once = rows.groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("x"))
+    return once.select("x.source", "x.doc_id", "text_key", "x.n_tokens")
 
 
-def mix(documents: DataFrame, targets: DataFrame, total: float | None = None, tokenizers: str = tokenizer.TOKENIZERS) -> DataFrame:
-    """(doc_id, source, n_tokens, repeats, target_share, reached_share) of the chosen documents."""
-    texts = materialise(_texts(documents, targets, tokenizers), "mix")
-    aims = {r.source: r for r in targets.select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats").where("source is not null and target_share is not null").dropDuplicates(["source"]).collect()}
+def mix(
+    documents: DataFrame, targets: DataFrame, total: float | None = None, tokenizers: str = tokenizer.TOKENIZERS, stretch: float = 1.0, target_entropy: float | None = None
+) -> DataFrame:
+    """(doc_id, source, n_tokens, repeats, target_share, reached_share) of the chosen documents.
+
+    ``target_entropy`` takes weights of that entropy from the natural token shares in place of
+    the stated shares; ``target_share`` is then the weight.
+    """
     spark = documents.sparkSession
-    by_block = materialise(texts.groupBy("source", "block").agg(F.sum("n_tokens").alias("tokens")), "blocks")
-    tokens = {r.source: r.tokens for r in by_block.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()}
-    budgets = plan(tokens, {s: float(a.target_share) for s, a in aims.items()}, {s: int(a.max_repeats or 1) for s, a in aims.items()}, total)
+    sized = materialise(_texts(documents, targets, tokenizers), "mix")
+    aims = {r.source: r for r in targets.select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats").where("source is not null and target_share is not null").dropDuplicates(["source"]).collect()}
+    sums = {r.source: r for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("texts")).collect()}
+    tokens = {s: r.tokens for s, r in sums.items()}
+    shares = {s: float(a.target_share) for s, a in aims.items()}
+    if target_entropy is not None:
+        whole = sum(tokens.get(s, 0) for s in aims) or 1
+        shares = entropy_weights({s: tokens.get(s, 0) / whole for s in aims}, target_entropy)
+    caps = {s: 1 if a.max_repeats is None else int(a.max_repeats) for s, a in aims.items()}
+    budgets = plan(tokens, shares, caps, total, stretch)
     rows = []
     for s, budget in budgets.items():
         passes = int((budget + 0.5) // tokens[s]) if tokens.get(s) else 0
-        rows.append((s, float(aims[s].target_share), passes, max(0.0, budget - passes * tokens.get(s, 0)), int(aims[s].max_repeats or 1)))
-    budget_rows = spark.createDataFrame(rows, "b_source string, target_share double, passes int, rest double, cap int") if rows else None
-    if budget_rows is None:
-        return texts.select("doc_id", "source", "n_tokens", F.lit(0).alias("repeats"), F.lit(0.0).alias("target_share"), F.lit(0.0).alias("reached_share")).limit(0)
+        blocks = sums[s].texts // BLOCK_TEXTS + 1 if s in sums else 1
+        rows.append((s, shares[s], passes, max(0.0, budget - passes * tokens.get(s, 0)), caps[s], blocks))
+    if not rows:
+        return sized.select("doc_id", "source", "n_tokens", F.lit(0).alias("repeats"), F.lit(0.0).alias("target_share"), F.lit(0.0).alias("reached_share")).limit(0)
+    budget_rows = F.broadcast(spark.createDataFrame(rows, "b_source string, target_share double, passes int, rest double, cap int, blocks long"))  # one row per target source
 
+    order = F.xxhash64("text_key", F.lit(20))
+    texts = sized.join(budget_rows, F.col("source") == F.col("b_source")).withColumn("place", order).withColumn("block", F.pmod(order, F.col("blocks")))
+    by_block = texts.groupBy("source", "block").agg(F.sum("n_tokens").alias("tokens"))
     before = F.sum("tokens").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     placed = by_block.select(F.col("source").alias("k_source"), F.col("block").alias("k_block"), F.col("tokens").alias("block_tokens"), F.coalesce(before, F.lit(0)).alias("start"))
-    joined = texts.join(placed, (F.col("source") == F.col("k_source")) & (F.col("block") == F.col("k_block"))).join(F.broadcast(budget_rows), F.col("source") == F.col("b_source"))  # one row per target source
+    joined = texts.join(placed, (F.col("source") == F.col("k_source")) & (F.col("block") == F.col("k_block")))
     whole_block = F.col("start") + F.col("block_tokens") <= F.col("rest")
     split_block = ~whole_block & (F.col("start") < F.col("rest"))
     marked = joined.withColumn("whole", whole_block).withColumn("edge", split_block)

@@ -127,11 +127,23 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
 
+def p9_mix_stretched(spark: SparkSession, d: str) -> DataFrame:
+    """A mix half as large again as the targets allow: weights tempered towards what the repetition limits leave."""
+    return mixing.mix(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"), stretch=1.5)
+
+
+def p9_mix_entropy(spark: SparkSession, d: str) -> DataFrame:
+    """A mix whose weights are the natural token shares raised to the exponent that gives them the entropy of the targets."""
+    targets = read_table(spark, d, "mix_targets")
+    shares = {r.source: r.target_share for r in targets.where("target_share is not null").collect()}  # one row per source
+    return mixing.mix(read_table(spark, d, "documents"), targets, target_entropy=mixing.entropy(shares))
+
+
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Shares that the mix reaches."""
     targets = read_table(spark, d, "mix_targets")
     return mixing.reached_shares(mixing.mix(read_table(spark, d, "documents"), targets), targets)
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_clean": p3_clean, "p3_blocks": p3_blocks, "p4_found": p4_found, "p4_levels": p4_levels, "p4_checks": p4_checks, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_clean": p3_clean, "p3_blocks": p3_blocks, "p4_found": p4_found, "p4_levels": p4_levels, "p4_checks": p4_checks, "p5_found": p5_found, "p5_clean": p5_clean, "p2_found": p2_found, "p2_pieces": p2_pieces, "p6_found": p6_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_mix_stretched": p9_mix_stretched, "p9_mix_entropy": p9_mix_entropy, "p8_ids": p8_ids, "p10_found": p10_found, "p10_composition": p10_composition}
 SQL: dict[str, str] = {}

@@ -51,3 +51,35 @@ def test_mix(spark, mixed_tables):
 def test_empty(spark, mixed_tables):
     docs, aims = mixed_tables
     assert M.mix(docs.limit(0), aims).count() == 0 and M.mix(docs, aims.limit(0)).count() == 0
+
+
+def reached(mixed):
+    return {r.source: r.reached_share for r in mixed.collect()}
+
+
+def test_a_total_beyond_reach_bisects_the_exponent(spark, mixed_tables, monkeypatch):
+    docs, _ = mixed_tables
+    aims = spark.createDataFrame([("hot", 0.2, 1), ("cold", 0.8, 1)], AIMS)
+    exact, more = reached(M.mix(docs, aims)), reached(M.mix(docs, aims, stretch=1.4))
+    assert abs(exact["cold"] - 0.8) < 0.002 and 0.3 < more["cold"] < 0.6
+    assert max(r.repeats for r in M.mix(docs, aims, stretch=1.4).collect()) == 1
+    monkeypatch.setattr(M, "bisect_exponent", lambda fits, low=0.0, high=1.0, rounds=60: high)
+    assert abs(reached(M.mix(docs, aims, stretch=1.4))["cold"] - more["cold"]) > 0.01
+
+
+def test_a_target_entropy(spark, mixed_tables):
+    docs, aims = mixed_tables
+    for aim in (0.4, 0.6):
+        shares = reached(M.mix(docs, aims, target_entropy=aim))
+        assert abs(M.entropy(shares) - aim) < 0.01 and shares["hot"] > shares["cold"]
+
+
+def test_copies_and_blocks(spark, mixed_tables, monkeypatch):
+    docs, aims = mixed_tables
+    used = {r.doc_id for r in M.mix(docs, aims).collect()}
+    assert not any(2000 <= i < 2100 for i in used)  # the least id of equal texts
+    again = docs.unionByName(docs.where("doc_id < 50"))
+    assert {r.doc_id for r in M.mix(again, aims).collect()} == used
+    monkeypatch.setattr(M, "BLOCK_TEXTS", 16)
+    shares = reached(M.mix(docs, aims))
+    assert abs(shares["hot"] - 0.3) < 0.001

@@ -1,11 +1,17 @@
 """Spellings of names as people type them, linked to the listed name they mean.
 
-Method. A symmetric-delete neighbourhood index: the last name or place of every listed
-name, and every token of every typed name, are spread to the forms with at most one
-letter deleted; equal forms meet in an equi-join, which finds all tokens within one edit
-without comparing all pairs. The candidates' tokens are then aligned by optimal
-assignment, permitting initials, abbreviations, nicknames and one edit. A misspelt last
-name is no link if other records use that spelling for someone who is not listed.
+Method. A symmetric-delete neighbourhood index on tokens: the distinct tokens of typed names
+and the last words of listed names are spread to their forms with one letter deleted, or
+two in long tokens; equal forms meet in an equi-join, which finds all tokens within so many
+edits without comparing all pairs. Names that hold such a token are candidates for the
+listed name, and their tokens are aligned by optimal assignment, permitting initials,
+abbreviations, nicknames and edits. The alignment asks for the last word of a listed name,
+so an index of last words misses nothing that it could accept.
+
+A misspelt last name is no link if that spelling is another family's: if names that mean
+nobody listed have it as their last name, at least ``OTHER_SHARE`` as many as have the
+listed last name in its agreed spelling. Both counts grow with the corpus, so a stray typo
+elsewhere takes no link away.
 
 Only distinct spellings are aligned; records join their spelling's link in the end.
 
@@ -29,14 +35,21 @@ from folioloom.functions.chinese import simplify
 from folioloom.llm import charforms
 from folioloom.session import materialise
 
-MIN_EDIT_LENGTH = 4
-MAX_COST = 2.0
+#: Least letters of a token that may have one edit and two, and most edits of a name.
+ONE_EDIT_LENGTH, TWO_EDITS_LENGTH, MAX_EDITS = 4, 8, 2
+#: Least letters of the tokens of a name with more than one edit.
+LONG_LENGTH = 6
+MAX_COST = 2.5
+#: Share of a listed last name's own uses that makes a misspelling of it another family's name.
+OTHER_SHARE = 0.02
 YEARS_APART = 3
 
 # Titles and roles that are no part of a name.
 TITLES = frozenset("mr mrs ms miss dr prof rev sir lady lord capt col gen fr sr jr esq the of and by author editor translator ed eds trans et al ii iii iv".split())
 # Placeholders for an unknown name.
 PLACEHOLDERS = frozenset("unknown anonymous anon various na none null nil untitled 佚名 无名氏 不详 未知 阙名".split())
+# Words by which an organisation is told from a person.
+ORGANISATION_WORDS = frozenset(("society", "company", "institute", "association", "university", "college", "academy", "club", "committee", "council", "department", "ministry", "museum", "library", "press", "church", "bureau", "union", "league"))
 # Full first names and their familiar forms.
 NICKNAMES = {
     "alexander": "alec alex sandy al xander", "andrew": "andy drew", "anne": "annie nan nancy", "anthony": "tony", "augusta": "gussie gus",
@@ -66,13 +79,14 @@ def bare(text: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFD", text.lower()) if not unicodedata.combining(ch))
 
 
-def parse_name(name: str | None) -> tuple[str, list[str], int | None, int | None]:
-    """(kind, tokens, birth, death) of a typed name; kind is latin, zh or none.
+def parse_name(name: str | None) -> tuple[str, list[str], str | None, int | None, int | None]:
+    """(kind, tokens, last name, birth, death) of a typed name; kind is latin, zh or none.
 
-    A token that ends with a full stop is an initial or an abbreviation.
+    A token that ends with a full stop is an initial or an abbreviation. The last name is
+    the last token, or the last before a comma.
     """
     if not name:
-        return ("none", [], None, None)
+        return ("none", [], None, None, None)
     text = charforms.fold(charforms.unescape(name)).strip()
     birth = death = None
     if found := _YEARS.search(text):
@@ -83,33 +97,52 @@ def parse_name(name: str | None) -> tuple[str, list[str], int | None, int | None
         core = re.sub(r"[\s\W]+", "", _ZH_BEFORE.sub("", simplify(re.sub(r"\s+", "", text))))
         if len(core) > 2:
             core = _ZH_AFTER.sub("", core) or core
-        return ("none", [], birth, death) if not core or core in PLACEHOLDERS else ("zh", [core], birth, death)
-    tokens = []
-    for piece in _PIECES.findall(_DOTS.sub(". ", text)):
-        token = bare(piece)
-        if token.rstrip(".") not in TITLES:
-            tokens.append(token)
+        return ("none", [], None, birth, death) if not core or core in PLACEHOLDERS else ("zh", [core], core, birth, death)
+    parts = [_tokens(part) for part in text.split(",")]
+    tokens = [t for part in parts for t in part]
     if not tokens or all(t.rstrip(".") in PLACEHOLDERS for t in tokens):
-        return ("none", [], birth, death)
-    return ("latin", tokens, birth, death)
+        return ("none", [], None, birth, death)
+    last = parts[0][-1] if parts[0] and len(parts) > 1 and any(parts[1:]) else tokens[-1]
+    return ("latin", tokens, last.rstrip("."), birth, death)
 
 
-def deletes(token: str) -> set[str]:
-    """The token and, if long enough for an edit, its forms with one letter deleted."""
-    if len(token) < MIN_EDIT_LENGTH:
-        return {token}
-    return {token} | {token[:i] + token[i + 1 :] for i in range(len(token))}
+def _tokens(text: str) -> list[str]:
+    found = map(bare, _PIECES.findall(_DOTS.sub(". ", text)))
+    return [t for t in found if t.rstrip(".") not in TITLES]
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether two different strings are one substitution, insertion, deletion or swap of neighbours apart."""
-    if abs(len(a) - len(b)) > 1 or a == b:
-        return False
-    if len(a) == len(b):
-        off = [i for i in range(len(a)) if a[i] != b[i]]
-        return len(off) == 1 or (len(off) == 2 and off[1] == off[0] + 1 and a[off[0]] == b[off[1]] and a[off[1]] == b[off[0]])
-    short, long = sorted((a, b), key=len)
-    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+def is_organisation(name: str) -> bool:
+    """Whether a listed name is that of an organisation."""
+    words = set(re.findall(r"[^\W\d_]+", name.lower()))
+    return bool(words & ORGANISATION_WORDS) or " of " in name
+
+
+def edits_allowed(token: str) -> int:
+    """Edits that a token of this length may have."""
+    return 0 if len(token) < ONE_EDIT_LENGTH else 1 if len(token) < TWO_EDITS_LENGTH else 2
+
+
+def deletes(token: str, most: int | None = None) -> set[str]:
+    """The token and its forms with up to ``most`` letters deleted (``edits_allowed`` by default)."""
+    forms = last = {token}
+    for _ in range(edits_allowed(token) if most is None else most):
+        last = {f[:i] + f[i + 1 :] for f in last for i in range(len(f))}
+        forms = forms | last
+    return forms
+
+
+@lru_cache(maxsize=1 << 16)
+def edits_apart(a: str, b: str) -> int:
+    """Substitutions, insertions, deletions and swaps of neighbours between two strings, each letter edited once."""
+    before: list[int] = []
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, last, row = row, before, [i] + [0] * len(b)
+        for j, y in enumerate(b, 1):
+            row[j] = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                row[j] = min(row[j], last[j - 2] + 1)
+    return row[-1]
 
 
 @lru_cache(maxsize=1 << 16)
@@ -128,33 +161,36 @@ def token_cost(typed: str, listed: str, place: str) -> tuple[float, int] | None:
             return (0.3, 0)
         if typed.endswith(".") and listed.startswith(plain):
             return (0.3, 0)
-    if len(plain) >= MIN_EDIT_LENGTH and len(listed) >= MIN_EDIT_LENGTH and one_edit(plain, listed):
-        return (1.0, 1)
+    most = min(edits_allowed(plain), edits_allowed(listed))
+    if most and abs(len(plain) - len(listed)) <= most and 0 < (n := edits_apart(plain, listed)) <= most:
+        return (float(n), n)
     return None
 
 
-def align(typed: list[str], listed: list[str], organisation: bool) -> tuple[float, int, bool] | None:
-    """(cost, edits, last name misspelt) of the best assignment of typed tokens to listed ones.
+def align(typed: list[str], listed: list[str], organisation: bool) -> tuple[float, int, str | None] | None:
+    """(cost, edits, misspelt last name or None) of the best assignment of typed tokens to listed ones.
 
     Every typed token needs a partner. Of a person the first and the last name need one,
-    a middle name may be left out; of an organisation every word needs one. At most one
-    edit in all, and a misspelt last name needs the first name in full.
+    a middle name may be left out; of an organisation every word needs one. At most
+    ``MAX_EDITS`` edits in all, more than one only where all typed tokens but initials are
+    long; a misspelt last name needs the first name in full.
     """
     places = ["any"] * len(listed) if organisation else ["first", *["middle"] * (len(listed) - 2), "last"]
     places[-1] = "last"
     if len(typed) > len(listed) or len(typed) < (len(listed) if organisation else min(2, len(listed))):
         return None
-    ways: dict[int, tuple[float, int, bool, bool]] = {0: (0.0, 0, False, True)}
+    most = MAX_EDITS if all(len(t.rstrip(".")) >= LONG_LENGTH or len(t.rstrip(".")) == 1 for t in typed) else 1
+    ways: dict[int, tuple[float, int, str, bool]] = {0: (0.0, 0, "", True)}
     for token in typed:
-        nxt: dict[int, tuple[float, int, bool, bool]] = {}
+        nxt: dict[int, tuple[float, int, str, bool]] = {}
         for used, (cost, edits, wrong_last, full_first) in ways.items():
             for k, word in enumerate(listed):
-                if used >> k & 1 or (step := token_cost(token, word, places[k])) is None or edits + step[1] > 1:
+                if used >> k & 1 or (step := token_cost(token, word, places[k])) is None or edits + step[1] > most:
                     continue
                 way = (
                     cost + step[0],
                     edits + step[1],
-                    wrong_last or (places[k] == "last" and step[1] > 0),
+                    token.rstrip(".") if places[k] == "last" and step[1] else wrong_last,
                     full_first and not (places[k] == "first" and len(token.rstrip(".")) == 1),
                 )
                 if used | 1 << k not in nxt or way < nxt[used | 1 << k]:
@@ -162,30 +198,31 @@ def align(typed: list[str], listed: list[str], organisation: bool) -> tuple[floa
         ways = nxt
     need = (1 << len(listed)) - 1 if organisation else 1 | 1 << (len(listed) - 1)
     good = [(cost + 0.1 * (len(listed) - bin(used).count("1")), edits, wrong) for used, (cost, edits, wrong, full) in ways.items() if used & need == need and (full or not wrong)]
-    return min(good) if good else None
+    if not good:
+        return None
+    cost, edits, wrong = min(good)
+    return (cost, edits, wrong or None)
 
 
-_PARSED = "name string, kind string, tokens array<string>, name_birth int, name_death int"
+_PARSED = "name string, kind string, tokens array<string>, own_last string, name_birth int, name_death int"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [(n, *parse_name(n)) for n in batch["name"]]
-        out = pd.DataFrame(rows, columns=["name", "kind", "tokens", "name_birth", "name_death"])
+        out = pd.DataFrame(rows, columns=["name", "kind", "tokens", "own_last", "name_birth", "name_death"])
         yield out.astype({"name_birth": "Int32", "name_death": "Int32"})
 
 
-def _spread(frame: DataFrame, key: str, tokens: str) -> DataFrame:
-    """(key, form): the deletion neighbourhood of each token."""
-    token = F.explode(F.array_distinct(F.col(tokens))).alias("token")
-    long = frame.select(key, "kind", token).select(key, "kind", F.regexp_replace("token", r"\.$", "").alias("token"))
-    spread = F.when((F.col("kind") == "zh") | (F.length("token") < MIN_EDIT_LENGTH), F.array("token")).otherwise(
-        F.concat(
-            F.array("token"),
-            F.transform(F.sequence(F.lit(1), F.length("token")), lambda i: F.concat(F.substring("token", F.lit(1), i - 1), F.substring("token", i + 1, F.length("token")))),
-        )
-    )
-    return long.select(key, F.explode(F.array_distinct(spread)).alias("form")).distinct()
+def _spread(tokens: DataFrame, token: str) -> DataFrame:
+    """(token, form): the deletion neighbourhood of each of the distinct tokens (token, kind)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(t, f) for t, kind in zip(batch[token], batch["kind"]) for f in (deletes(t) if kind == "latin" else {t})]
+            yield pd.DataFrame(rows, columns=[token, "form"])
+
+    return tokens.select(token, "kind").distinct().mapInPandas(run, f"{token} string, form string")
 
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -196,51 +233,65 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ):
             tokens, listed = list(tokens), list(listed)
             if kind == "zh":
-                found = (0.0, 0, False) if tokens == listed else None
+                found = (0.0, 0, None) if tokens == listed else None
             else:
                 found = align(tokens, listed, bool(organisation))
             if found and found[0] <= MAX_COST:
-                rows.append((name, author, found[0], found[1], tokens_last(tokens, listed) if found[2] else None))
-        yield pd.DataFrame(rows, columns=["name", "author_id", "cost", "edits", "wrong_last"])
+                rows.append((name, author, listed[-1], *found))
+        yield pd.DataFrame(rows, columns=["name", "author_id", "listed_last", "cost", "edits", "wrong_last"])
 
 
-def tokens_last(tokens: list[str], listed: list[str]) -> str:
-    """The typed token that stands for the listed last name with an edit."""
-    return next(t for t in (x.rstrip(".") for x in tokens) if one_edit(t, listed[-1]))
+def typed_names(records: DataFrame) -> DataFrame:
+    """The distinct names of records, parsed; placeholders and names without letters are left out."""
+    return materialise(records.select("name").distinct().mapInPandas(_parse, _PARSED).where("kind != 'none'"), "names")
 
 
-def link_names(records: DataFrame, authors: DataFrame) -> DataFrame:
-    """(record_table, record_key, author_id) of records (record_table, record_key, name, birth_year, death_year)
-    that mean a row of authors (id, name, birth_year, death_year)."""
-    once = records.select("record_table", "record_key", "name", "birth_year", "death_year").where(F.col("name").isNotNull() & (F.trim("name") != "")).distinct()
-    typed = materialise(once.select("name").distinct().mapInPandas(_parse, _PARSED).where("kind != 'none'"), "names")
+def listed_names(authors: DataFrame) -> DataFrame:
+    """(author_id, kind, listed, last, organisation, a_birth, a_death) of authors (id, name, birth_year, death_year)."""
     listed = (
         authors.select(F.col("name"), F.col("id").cast("string").alias("author_id"), "birth_year", "death_year")
         .dropDuplicates(["author_id"])
         .where("name is not null")
     )
     parsed = listed.select("name").distinct().mapInPandas(_parse, _PARSED).where("kind != 'none'")
-    parsed = parsed.select(F.col("name").alias("p_name"), "kind", F.col("tokens").alias("listed"), F.element_at("tokens", -1).alias("last"))
+    parsed = parsed.select(F.col("name").alias("p_name"), "kind", F.col("tokens").alias("listed"), F.regexp_replace(F.element_at("tokens", -1), r"\.$", "").alias("last"))
+    organisation = F.udf(is_organisation, "boolean", useArrow=False)
     listed = listed.join(parsed, F.col("name") == F.col("p_name")).select(
-        "author_id", "kind", "listed", F.array("last").alias("last"), F.col("name").contains(" of ").alias("organisation"),
-        F.col("birth_year").alias("a_birth"), F.col("death_year").alias("a_death"),
+        "author_id", "kind", "listed", "last", organisation("name").alias("organisation"), F.col("birth_year").alias("a_birth"), F.col("death_year").alias("a_death")
     )
-    listed = materialise(listed, "listed")
-    left = _spread(typed, "name", "tokens")
-    right = _spread(listed, "author_id", "last").withColumnRenamed("form", "a_form")
-    pairs = left.join(right, F.col("form") == F.col("a_form")).select(F.col("name").alias("c_name"), F.col("author_id").alias("c_author")).distinct()
+    return materialise(listed, "listed")
+
+
+def aligned_names(typed: DataFrame, listed: DataFrame) -> DataFrame:
+    """(name, author_id, listed_last, cost, edits, wrong_last) of typed and listed names that an alignment brings together."""
+    held = typed.select("name", "kind", F.explode(F.array_distinct(F.transform("tokens", lambda t: F.regexp_replace(t, r"\.$", "")))).alias("token"))
+    left, right = _spread(held, "token"), _spread(listed, "last")
+    near = left.join(right.withColumnRenamed("form", "l_form"), F.col("form") == F.col("l_form")).select(F.col("token").alias("n_token"), F.col("last").alias("n_last")).distinct()
+    pairs = held.join(near, F.col("token") == F.col("n_token")).select(F.col("name").alias("c_name"), "n_last").distinct()
     candidates = (
         pairs.join(typed, F.col("c_name") == F.col("name"))
-        .join(listed.select("author_id", "listed", "organisation", F.col("kind").alias("a_kind")), F.col("c_author") == F.col("author_id"))
+        .join(listed.select("author_id", "listed", "organisation", "last", F.col("kind").alias("a_kind")), F.col("n_last") == F.col("last"))
         .where("kind = a_kind")
         .select("name", "kind", "tokens", "author_id", "listed", "organisation")
+        .distinct()
     )
-    aligned = materialise(candidates.mapInPandas(_align, "name string, author_id string, cost double, edits int, wrong_last string"), "aligned")
+    return candidates.mapInPandas(_align, "name string, author_id string, listed_last string, cost double, edits int, wrong_last string")
+
+
+def link_names(records: DataFrame, authors: DataFrame) -> DataFrame:
+    """(record_table, record_key, author_id) of records (record_table, record_key, name, birth_year, death_year)
+    that mean a row of authors (id, name, birth_year, death_year)."""
+    once = records.select("record_table", "record_key", "name", "birth_year", "death_year").where(F.col("name").isNotNull() & (F.trim("name") != "")).distinct()
+    typed, listed = typed_names(once), listed_names(authors)
+    aligned = materialise(aligned_names(typed, listed), "aligned")
 
     known = aligned.select(F.col("name").alias("k_name")).distinct()
-    others = typed.where("kind = 'latin'").join(known, F.col("name") == F.col("k_name"), "left_anti")
-    own_spelling = others.select(F.explode("tokens").alias("token")).select(F.regexp_replace("token", r"\.$", "").alias("other_last")).distinct()
-    kept = aligned.join(own_spelling, F.col("wrong_last") == F.col("other_last"), "left_anti")
+    others = typed.where("kind = 'latin'").join(known, F.col("name") == F.col("k_name"), "left_anti").groupBy(F.col("own_last").alias("other_last")).agg(F.count("*").alias("other_uses"))
+    agreed = typed.where("kind = 'latin'").groupBy(F.col("own_last").alias("agreed_last")).agg(F.count("*").alias("agreed_uses"))
+    misspelt = aligned.where("wrong_last is not null").select("wrong_last", "listed_last").distinct()
+    weighed = misspelt.join(others, F.col("wrong_last") == F.col("other_last")).join(agreed, F.col("listed_last") == F.col("agreed_last"), "left")
+    foreign = weighed.where(F.col("other_uses") >= F.lit(OTHER_SHARE) * F.coalesce("agreed_uses", F.lit(0))).select(F.col("wrong_last").alias("f_wrong"), F.col("listed_last").alias("f_listed"))
+    kept = aligned.join(foreign, (F.col("wrong_last") == F.col("f_wrong")) & (F.col("listed_last") == F.col("f_listed")), "left_anti")
 
     years = listed.select(F.col("author_id").alias("y_author"), "a_birth", "a_death")
     of_name = typed.select(F.col("name").alias("t_name"), "name_birth", "name_death")

@@ -31,6 +31,51 @@ def test_own_surname_is_no_typo(spark):
     assert links(spark, rows) == {"3": "a6"}
 
 
+def test_edits():
+    assert [N.edits_apart("dickens", x) for x in ("dickens", "dickns", "dikcens", "dicekns", "dckns", "xxxxxxx")] == [0, 1, 1, 1, 2, 7]
+    for a, b in (("zelquist", "zlequsit"), ("zelquist", "zequis"), ("norovan", "norvan"), ("halgill", "helgill")):
+        assert N.deletes(a) & N.deletes(b)
+    assert N.deletes("ann") == {"ann"} and N.deletes("anne") == {"anne", "nne", "ane", "ann"}
+
+
+@pytest.mark.parametrize("name, wanted", [("Nathanel Zelqist", "a1"), ("Zelqust, Natahniel", "a1"), ("Nathaniel Zlequsit", "a1"), ("Thmas Norvan", None), ("Nathanel Zlequsit", None), ("N. Zelqist", None), ("Royal Hortcultural Socity of Halgill", None)])
+def test_two_edits_in_long_names_only(spark, name, wanted):
+    assert links(spark, [("books", "1", name, None, None)]).get("1") == wanted
+
+
+def test_a_stray_token_elsewhere_takes_no_link_away(spark):
+    jane = [("j", "Jane Marianne Austen", None, None)]
+    rows = [("books", "1", "Jane Austin", None, None), ("books", "2", "Austin Dobson", None, None)]
+    assert links(spark, rows, jane) == {"1": "j"}  # a first name is no last name
+    agreed = [("g", f"g{i}", f"Jane {'M. ' * (i % 2)}Austen, {1700 + i}-{1800 + i}", None, None) for i in range(120)]
+    assert links(spark, [*rows, *agreed, ("books", "3", "Robert Austin", None, None)], jane).get("1") == "j"  # one against 120
+    others = [("books", f"o{i}", f"{n} Austin", None, None) for i, n in enumerate(("Robert", "Philip", "Mark", "Ada"))]
+    assert "1" not in links(spark, [*rows, *agreed, *others], jane)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_index_misses_nothing_that_the_alignment_accepts(spark, sf):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    if not Path(f"/root/testdata/{sf}").exists():
+        pytest.skip("no test data here")
+    read = lambda t: spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet")
+    names = read("books").select(F.col("author").alias("name")).union(read("gutendex_authors").select("name")).union(read("zh_sources").select("author"))
+    typed, listed = N.typed_names(names.where("name is not null")), N.listed_names(read("authors"))
+    got = {(r.name, r.author_id) for r in N.aligned_names(typed, listed).collect()}
+    authors = [(r.author_id, r.kind, list(r.listed), r.organisation) for r in listed.collect()]
+    # every third name against every author: the brute-force side is in this test only
+    for r in sorted(typed.collect(), key=lambda r: r.name)[:: 1 if sf == "sf0.001" else 3]:
+        wanted = set()
+        for author, kind, words, organisation in authors:
+            found = None if kind != r.kind else ((0.0, 0, None) if list(r.tokens) == words else None) if kind == "zh" else N.align(list(r.tokens), words, organisation)
+            if found and found[0] <= N.MAX_COST:
+                wanted.add((r.name, author))
+        assert wanted == {g for g in got if g[0] == r.name}
+
+
 def test_years_decide_ties(spark):
     two = [("x", "Ann Norovan", 1700, 1750), ("y", "Ann Norovan", 1800, 1850)]
     assert links(spark, [("g", "1", "Ann Norovan", 1801, None), ("g", "2", "Ann Norovan", None, None)], two) == {"1": "y"}

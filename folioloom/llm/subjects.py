@@ -11,9 +11,11 @@ its sentences. Every sentence of every document goes to its nearest centroid, an
 document has the areas that hold at least ``MIN_SHARE`` of its sentences.
 
 Bounds. The classifier (weights' label side, decomposition, centroids) is fitted on at
-most about ``MAX_LABELLED`` labelled documents, chosen by a hash of their id, over at
-most ``MAX_TERMS`` terms; document frequencies and the assignment cover all documents.
-The model that is sent to the workers has at most ``MAX_TERMS`` x ``RANK`` numbers.
+most about ``MAX_LABELLED`` labelled documents, chosen by a hash of their id; document
+frequencies and the assignment cover all documents. Its terms are all those that at least
+``MIN_TERM_DOCUMENTS`` of these documents hold, so the sample bounds them too, and the
+decomposition works on the sparse matrix itself, whatever their number. The model is
+broadcast to the workers once.
 
 Defined results: null, empty and blank texts, and texts without a weighted term, have no
 area; labelled documents count as all others do; a repeated label counts once; without
@@ -36,7 +38,8 @@ from pyspark.sql import functions as F
 from folioloom.llm import charforms
 
 MAX_LABELLED = 6000
-MAX_TERMS = 8192
+#: Least documents of the sample that hold a term.
+MIN_TERM_DOCUMENTS = 3
 RANK = 160
 SEEDS_PER_AREA = 8
 ROUNDS = 12
@@ -75,11 +78,12 @@ def sentences(text: str) -> list[list[str]]:
     return [pieces for s in _SENTENCE.split(text.lower()) if (pieces := s.split()) and any(map(_WORD.search, pieces))]
 
 
-def document_frequencies(documents: DataFrame) -> DataFrame:
-    """(term, documents) over all documents, counted map-side first."""
+def document_frequencies(documents: DataFrame, wanted: set[str] | None = None) -> DataFrame:
+    """(term, documents) over all documents, counted map-side first; only of the wanted terms, if given."""
+    index = documents.sparkSession.sparkContext.broadcast({t: t for t in wanted}) if wanted is not None else None
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = Terms(), Counter()
+        cache, seen = Terms(index.value if index else None), Counter()
         for batch in batches:
             for text in batch["text"]:
                 seen.update(set().union(*map(cache.__getitem__, set(text.lower().split()))))
@@ -156,16 +160,7 @@ def fit_subjects(texts: list[str], labels: list[set[str]], frequencies: dict[str
     weights, area_of = weight[chosen].astype(np.float32), of[chosen]
     split = [[[place[t] for t in s if t in place] for s in doc] for doc in split]
 
-    gram = np.zeros((len(chosen), len(chosen)), np.float32)
-    for start in range(0, len(split), 512):
-        part = np.zeros((min(512, len(split) - start), len(chosen)), np.float32)
-        for d, doc in enumerate(split[start : start + 512]):
-            for s in doc:
-                np.add.at(part[d], s, 1)
-        part = np.log1p(part) * weights
-        part /= np.linalg.norm(part, axis=1, keepdims=True) + 1e-9
-        gram += part.T @ part
-    base = _subspace(gram, min(RANK, len(chosen)))
+    base = _subspace(_SparseRows(split, weights), min(RANK, len(chosen)))
     vectors = (base * weights[:, None]).astype(np.float32)
 
     rows, owner = [], []
@@ -209,12 +204,50 @@ def fit_subjects(texts: list[str], labels: list[set[str]], frequencies: dict[str
     return SubjectModel(areas, {names[t]: k for t, k in place.items()}, weights, vectors, centroids.astype(np.float32), speaks_for)
 
 
-def _subspace(gram: np.ndarray, rank: int, rounds: int = 8) -> np.ndarray:
-    """The leading singular directions of a Gram matrix by subspace iteration."""
-    basis = np.random.default_rng(11).standard_normal((len(gram), min(len(gram), rank + 16))).astype(np.float32)
+class _SparseRows:
+    """Documents as unit rows of weighted terms, log(1 + count) * weight, with products from both sides."""
+
+    CHUNK = 1 << 16
+
+    def __init__(self, documents: list[list[list[int]]], weights: np.ndarray) -> None:
+        rows, terms, values = [], [], []
+        for d, doc in enumerate(documents):
+            counts = Counter(t for s in doc for t in s)
+            if counts:
+                held = np.fromiter(counts, np.int64, len(counts))
+                value = np.log1p(np.fromiter(counts.values(), np.float32, len(counts))) * weights[held]
+                rows.append(np.full(len(held), d))
+                terms.append(held)
+                values.append(value / (np.linalg.norm(value) + 1e-9))
+        empty = [np.zeros(0, np.int64)]
+        self.rows, self.terms = np.concatenate(rows or empty), np.concatenate(terms or empty)
+        self.values = np.concatenate(values or [np.zeros(0)]).astype(np.float32)
+        self.shape = (len(documents), len(weights))
+        self.by_term = np.argsort(self.terms, kind="stable")
+
+    def _product(self, out_of: np.ndarray, into: np.ndarray, values: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
+        """Sum of values * right[out_of] by ``into``, which is in order."""
+        out = np.zeros((size, right.shape[1]), np.float32)
+        for start in range(0, len(into), self.CHUNK):
+            part = slice(start, start + self.CHUNK)
+            keys, first = np.unique(into[part], return_index=True)
+            out[keys] += np.add.reduceat(values[part, None] * right[out_of[part]], first, axis=0)
+        return out
+
+    def gram(self, right: np.ndarray) -> np.ndarray:
+        """(transpose of the matrix) * matrix * right."""
+        left = self._product(self.terms, self.rows, self.values, right, self.shape[0])
+        order = self.by_term
+        return self._product(self.rows[order], self.terms[order], self.values[order], left, self.shape[1])
+
+
+def _subspace(matrix: _SparseRows, rank: int, rounds: int = 6) -> np.ndarray:
+    """The leading right singular directions of a matrix by subspace iteration."""
+    size = matrix.shape[1]
+    basis = np.random.default_rng(11).standard_normal((size, min(size, rank + 16))).astype(np.float32)
     for _ in range(rounds):
-        basis, _ = np.linalg.qr(gram @ basis)
-    values, turn = np.linalg.eigh(basis.T @ gram @ basis)
+        basis, _ = np.linalg.qr(matrix.gram(basis))
+    values, turn = np.linalg.eigh(basis.T @ matrix.gram(basis))
     return basis @ turn[:, np.argsort(-values)[:rank]]
 
 
@@ -233,17 +266,17 @@ def train(documents: DataFrame, labels: DataFrame) -> SubjectModel:
     cache, seen = Terms(), Counter()
     for text in texts:
         seen.update(set().union(*map(cache.__getitem__, set(text.lower().split()))))
-    wanted = [t for t, n in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if n >= 3][:MAX_TERMS]
-    spark = documents.sparkSession
-    terms = spark.createDataFrame(pd.DataFrame({"wanted": wanted or [""]}))
-    frequencies = document_frequencies(held).join(terms, F.col("term") == F.col("wanted")).select("term", "documents").toPandas()
+    wanted = {t for t, n in seen.items() if n >= MIN_TERM_DOCUMENTS}
+    frequencies = document_frequencies(held, wanted).toPandas()  # of the sample's terms
     return fit_subjects(texts, marks, dict(zip(frequencies["term"], frequencies["documents"].astype(int))), held.count())
 
 
 def assign(documents: DataFrame, model: SubjectModel) -> DataFrame:
     """(doc_id, area, share) of every document and area that holds enough of its sentences."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
         cache = Terms(model.index)
         for batch in batches:
             rows, owners = [], []

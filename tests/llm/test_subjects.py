@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from folioloom.llm import subjects as S
 
 DOCS = "doc_id long, text string, area string"
@@ -58,3 +60,28 @@ def test_empty(spark):
 def test_frequencies(spark):
     df = spark.createDataFrame([("A fox, a FOX.",), ("the fox",), ("古井灯火",)], "text string")
     assert {r.term: r.documents for r in S.document_frequencies(df).collect()} == {"a": 1, "fox": 2, "the": 1, "古井": 1, "井灯": 1, "灯火": 1}
+
+
+def test_only_wanted_terms_are_counted(spark):
+    df = spark.createDataFrame([("A fox, a FOX.",), ("the fox",), (" ",)], "text string")
+    assert {r.term: r.documents for r in S.document_frequencies(df, {"fox", "gone"}).collect()} == {"fox": 2}
+
+
+def test_the_sparse_decomposition_equals_the_dense_one():
+    rng = np.random.default_rng(5)
+    docs = [[rng.integers(0, 40, rng.integers(0, 9)).tolist() for _ in range(rng.integers(0, 5))] for _ in range(70)]
+    weights = rng.random(40).astype(np.float32) + 0.1
+    dense = np.zeros((70, 40))
+    for d, doc in enumerate(docs):
+        for s in doc:
+            np.add.at(dense[d], s, 1)
+    dense = np.log1p(dense) * weights
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True) + 1e-9
+    matrix = S._SparseRows(docs, weights)
+    matrix.CHUNK = 64
+    right = rng.standard_normal((40, 6)).astype(np.float32)
+    assert np.allclose(matrix.gram(right), dense.T @ (dense @ right), atol=1e-3)
+    base = S._subspace(matrix, 5, rounds=40)
+    values = np.linalg.svd(dense, compute_uv=False)[:5]
+    assert np.allclose(np.linalg.norm(dense @ base, axis=0), values, rtol=1e-2)
+    assert S._SparseRows([[], [[]]], weights).gram(right).sum() == 0

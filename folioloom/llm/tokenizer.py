@@ -3,8 +3,11 @@
 Method. The distinct pieces of a batch (the split pattern's words) are laid into padded
 numpy matrices, one per length bucket. Each round looks up every adjacent pair of every
 row in a hashed pair table, merges each row's leftmost pair of minimum rank, and drops
-the freed column; rows without a pair left are compacted away. A batch's texts are then
-gathered from the encoded pieces.
+the freed column; rows without a pair left are compacted away. A piece longer than the
+widest bucket is a matrix of one row whose rounds merge, from the left, all pairs of the
+minimum rank that do not overlap; where that makes a pair of lower rank still, the round
+merges the leftmost pair only, so the order of merges that matter stays the same. A
+batch's texts are then gathered from the encoded pieces.
 
 Defined results: null and empty texts encode to an empty list; strings that look like
 special tokens are ordinary text; every document is encoded whole; a repeated document
@@ -14,7 +17,6 @@ counts once.
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,10 +26,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioloom.operators.layout import once
+
 #: Where the public vocabularies are; never copied into the repository.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k"
-#: Widths of the length buckets, in bytes; longer pieces are merged with a heap.
+#: Widths of the length buckets, in bytes; longer pieces are rows of their own.
 BUCKETS = (4, 6, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128, 256)
 #: Rows of one matrix, and distinct pieces kept from batch to batch.
 MATRIX_ROWS, CACHE_PIECES = 1 << 15, 1 << 19
@@ -91,7 +95,6 @@ class Vocabulary:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a, b] = rank
-        self.pairs = pairs
         self.table = PairTable(pairs)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
@@ -142,27 +145,40 @@ class Vocabulary:
                 ranks[here[right], at[right]] = self.table.look_up(ids[here[right], at[right]], ids[here[right], at[right] + 1])
 
     def _encode_long(self, piece: bytes) -> np.ndarray:
-        """One very long piece: the same merges from a heap of (rank, place)."""
-        ids = self.of_byte[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pairs = self.pairs
-        heap = [(r, i) for i in range(n - 1) if (r := pairs.get((ids[i], ids[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] < 0 or j >= n or pairs.get((ids[i], ids[j])) != rank:
-                continue
-            ids[i], ids[j] = rank, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            if before[i] >= 0 and (r := pairs.get((ids[before[i]], rank))) is not None:
-                heapq.heappush(heap, (r, before[i]))
-            if after[i] < n and (r := pairs.get((rank, ids[after[i]]))) is not None:
-                heapq.heappush(heap, (r, i))
-        return np.array([x for x in ids if x >= 0], np.int32)
+        """One row wider than the buckets: each round merges all pairs of minimum rank, leftmost first."""
+        ids = self.of_byte[np.frombuffer(piece, np.uint8)]
+        ranks = self.table.look_up(ids[:-1], ids[1:])
+        while len(ranks) and (least := ranks.min()) != _NONE:
+            at = np.flatnonzero(ranks == least)
+            # in a run of overlapping pairs every second one merges, from the left
+            starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            at = at[(np.arange(len(at)) - np.repeat(starts, np.diff(np.append(starts, len(at))))) % 2 == 0]
+            new_ids, new_ranks, touched = self._merged(ids, ranks, at, least)
+            if len(at) > 1 and ((new_ranks[touched] < least).any() or self._meets_lower(ids, at, least)):
+                new_ids, new_ranks, _ = self._merged(ids, ranks, at[:1], least)
+            ids, ranks = new_ids, new_ranks
+        return ids
+
+    def _meets_lower(self, ids: np.ndarray, at: np.ndarray, new: np.int32) -> bool:
+        """Whether one of the merges at ``at``, done alone, makes a pair of lower rank with a neighbour."""
+        left, right = ids[at[at > 0] - 1], ids[at[at + 2 < len(ids)] + 2]
+        ranks = (self.table.look_up(left, np.full_like(left, new)), self.table.look_up(np.full_like(right, new), right))
+        return any((r < new).any() for r in ranks)
+
+    def _merged(self, ids: np.ndarray, ranks: np.ndarray, at: np.ndarray, new: np.int32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and ranks of neighbours once the pairs at ``at`` are merged, and the places of the ranks that are new."""
+        keep = np.ones(len(ids), bool)
+        keep[at + 1] = False
+        ids = ids.copy()
+        ids[at] = new
+        ids = ids[keep]
+        places = at - np.arange(len(at))
+        # the pair at place i starts with id i, so the ranks go with the ids that stay
+        ranks = ranks[keep[:-1]][: max(0, len(ids) - 1)]
+        touched = np.unique(np.concatenate([places - 1, places]))
+        touched = touched[(touched >= 0) & (touched < len(ranks))]
+        ranks[touched] = self.table.look_up(ids[touched], ids[touched + 1])
+        return ids, ranks, touched
 
 
 @lru_cache(maxsize=4)
@@ -171,6 +187,15 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _grown(buffer: np.ndarray, size: int) -> np.ndarray:
+    """The buffer, or one of twice the size needed with its content."""
+    if size <= len(buffer):
+        return buffer
+    out = np.empty(2 * size, buffer.dtype)
+    out[: len(buffer)] = buffer
+    return out
+
+
 class Encoder:
     """Encodes lists of texts; keeps the ids of pieces seen before."""
 
@@ -181,9 +206,20 @@ class Encoder:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat = np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
+        self.flat, self.filled = np.empty(1 << 16, np.int32), 0
+        self.starts = np.empty(1 << 14, np.int64)
+        self.sizes = np.empty(1 << 14, np.int64)
+
+    def _keep(self, coded: list[np.ndarray], first: int) -> None:
+        """Appends encoded pieces to buffers that double when they are full."""
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        ends = np.cumsum(sizes)
+        self.flat = _grown(self.flat, self.filled + int(ends[-1]))
+        self.starts, self.sizes = _grown(self.starts, first + len(coded)), _grown(self.sizes, first + len(coded))
+        self.flat[self.filled : self.filled + int(ends[-1])] = np.concatenate(coded)
+        self.starts[first : first + len(coded)] = self.filled + ends - sizes
+        self.sizes[first : first + len(coded)] = sizes
+        self.filled += int(ends[-1])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, offsets) of the texts."""
@@ -193,13 +229,9 @@ class Encoder:
         index = self.index
         new = list({w for ws in words for w in ws if w not in index})
         if new:
-            coded = self.vocabulary.encode_pieces([w.encode("utf-8", "replace") for w in new])
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            starts = len(self.flat) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            index.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-            self.flat = np.concatenate([self.flat, *coded])
-            self.starts = np.concatenate([self.starts, starts])
-            self.sizes = np.concatenate([self.sizes, sizes])
+            first = len(index)
+            self._keep(self.vocabulary.encode_pieces([w.encode("utf-8", "replace") for w in new]), first)
+            index.update(zip(new, range(first, first + len(new))))
         counts = np.fromiter(map(len, words), np.int64, len(words))
         at = np.fromiter((index[w] for ws in words for w in ws), np.int64, int(counts.sum()))
         sizes = self.sizes[at]
@@ -210,15 +242,6 @@ class Encoder:
         return flat, offsets
 
 
-def _once(documents: DataFrame) -> DataFrame:
-    """The documents with each id once; shuffles texts only where an id recurs."""
-    recurring = documents.groupBy(F.col("doc_id").alias("recurring_id")).count().where("count > 1").select("recurring_id")
-    if recurring.isEmpty():
-        return documents
-    again = F.col("doc_id").eqNullSafe(F.col("recurring_id"))
-    return documents.join(recurring, again, "left_anti").unionByName(documents.join(recurring, again, "left_semi").dropDuplicates(["doc_id"]))
-
-
 def encode_tagged(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY) -> DataFrame:
     """(doc_id, tag, ids) of rows (doc_id, tag, text), as they come."""
     path = f"{tokenizers}/{name}.tiktoken"
@@ -237,7 +260,7 @@ def encode_tagged(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str
 
 def encode_documents(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = VOCABULARY, text: str = "text") -> DataFrame:
     """(doc_id, ids) of every document."""
-    chosen = _once(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")))
+    chosen = once(documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), "doc_id")
     tagged = chosen.select("doc_id", F.lit("").alias("tag"), "text")
     return encode_tagged(tagged, tokenizers, name).select("doc_id", "ids")
 

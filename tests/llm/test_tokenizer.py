@@ -67,3 +67,25 @@ def test_pair_table():
     left, right = (np.array([p[k] for p in pairs], np.int32)[None, :] for k in (0, 1))
     assert table.look_up(left, right).ravel().tolist() == list(pairs.values())
     assert table.look_up(left, right + 60).ravel().tolist() == [K._NONE] * 200
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="abething Tx", min_size=300, max_size=1500).map(lambda t: t.replace(" ", "")), st.integers(1, 9))
+def test_long_pieces(public, own, text, times):
+    text = text[: 40 * times] * (8 // times + 1)
+    flat, _ = own.encode([text])
+    assert flat.tolist() == public.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 100_000, "ab" * 50_000, "的" * 30_000, "theabsolutelyinevitable" * 4000, "=-" * 999 + "=" * 5000])
+def test_very_long_pieces(public, own, text):
+    flat, _ = own.encode([text])
+    assert flat.tolist() == public.encode_ordinary(text)
+
+
+def test_kept_pieces_survive_growth(public):
+    own = K.Encoder(FILE)
+    texts = [f"piece{i} other{i * 7} x{i % 13}" for i in range(30_000)]
+    for start in range(0, len(texts), 5000):
+        flat, offsets = own.encode(texts[start : start + 5000])
+    assert [flat[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [public.encode_ordinary(t) for t in texts[-5000:]]

@@ -160,6 +160,34 @@ def test_packed_values(spark):
     assert P.unpack_fields(df.drop("field_name").limit(0), "id", ["field"]).count() == 0
 
 
+def unpacked(spark, fields, **kw):
+    df = spark.createDataFrame([(str(i), f) for i, f in enumerate(fields)], "id string, field string")
+    got: dict = {}
+    for r in P.unpack_fields(df, "id", ["field"]).collect():
+        got.setdefault(int(r.id), {})[r.value_no] = r.packed_value
+    return {k: [v[n] for n in sorted(v)] for k, v in got.items()}
+
+
+def test_values_longer_than_the_lattice(spark):
+    nine = "a1, b2, c3, d4, e5, f6, g7, h8, i9"
+    got = unpacked(spark, [f'"{nine}";x{i}' for i in range(21)] + [f"{nine};Fables", f"Fables; {nine}", nine + ", j10", "a1, b2"])
+    assert got[21] == [nine, "Fables"] and got[22] == ["Fables", nine] and got[0] == [nine, "x0"]
+    assert got[23] == [nine, "j10"] and got[24] == ["a1", "b2"]
+    assert P.head_of(nine) == "a1, b2, c3, d4, e5, f6, g7, h8"
+
+
+def test_rounds_end_when_the_weights_stay(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(P, "materialise", lambda df, name, f=P.materialise: names.append(name) or f(df, name))
+    fields = ["Law, civil; Orphans", '"Law, civil"', "Orphans", "Law, civil", "Orphans, Fables", "Fables"]
+    assert unpacked(spark, fields)[0] == ["Law, civil", "Orphans"] and unpacked(spark, fields)[4] == ["Orphans", "Fables"]
+    assert "packed2" in names and f"packed{P.ROUNDS}" not in names
+
+
+def test_a_very_long_field(spark):
+    assert [len(v) for v in unpacked(spark, [";".join(f"v{i}" for i in range(5000))]).values()] == [5000]
+
+
 def test_packed_posteriors_sum_to_one():
     size, segments = P.lattice("a, b, c")
     scored = [(i, j, P._log_score(t, n, x, y, 0.1)) for i, j, t, n, x, y in segments]

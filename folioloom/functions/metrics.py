@@ -5,8 +5,10 @@ Null input gives null unless a docstring says otherwise.
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -141,6 +143,16 @@ def normalize_ascii(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]+", " "), r"\s+", " "))
 
 
+def normalize_compatible(text: Column) -> Column:
+    """``normalize_ascii`` of the compatibility form (NFKC), which Spark has no function for (Arrow batches)."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+    return normalize_ascii(run(text))
+
+
 # Broad categories and the parts of subjects that speak for them; first match decides.
 CATEGORIES = (
     ("Science Fiction", ("science fiction", "dystopi")), ("Fantasy", ("fantasy", "fairy tale")), ("Mystery & Detective", ("mystery", "detective")),

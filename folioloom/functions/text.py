@@ -1,4 +1,4 @@
-"""Column functions over plain text and HTML; all stay in the JVM.
+"""Column functions over plain text and HTML; all but ``clean_dom`` stay in the JVM.
 
 White space and word boundaries follow the ECMAScript definitions, spelled out as
 character classes, because Java's and RE2's shorthands differ.
@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from html.parser import HTMLParser
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -272,3 +274,117 @@ def needs_punctuation(text: Column) -> Column:
 def chunks(text: Column, size: int = 2000) -> Column:
     """Consecutive pieces of ``size`` characters; empty text gives one empty piece."""
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(size)), lambda at: F.substring(text, at, F.lit(size)))
+
+
+# Dynasties and the look of a cover for each.
+COVER_STYLES = (
+    ("先秦", "ancient Chinese bronze and jade aesthetic, archaic oracle bone motifs"),
+    ("两汉", "Han dynasty lacquerware style, flowing silk painting aesthetic"),
+    ("魏晋南北朝", "ethereal landscape, bamboo forest, scholar-recluse atmosphere"),
+    ("唐", "Tang dynasty golden age, vibrant colors, peony and crane motifs"),
+    ("宋", "Song dynasty refined ink wash painting, misty mountains, minimalist elegance"),
+    ("元", "Yuan dynasty steppe meets Chinese garden, bold brushwork"),
+    ("明", "Ming dynasty blue and white porcelain aesthetic, garden architecture"),
+    ("清", "Qing dynasty elaborate detail, imperial garden, traditional painting"),
+    ("民国", "Republican era art deco meets Chinese modernism, vintage book cover style"),
+)
+COVER_STYLE = "classical Chinese ink wash painting, elegant brushwork"
+COVER_RULES = (
+    "No text, no letters, no words, no title on the image.",
+    "Portrait orientation, 1600x2400 pixels, high resolution.",
+    "Rich color palette with harmonious tones, detailed and atmospheric composition.",
+)
+
+
+def cover_prompt(title: Column, author: Column, dynasty: Column, subjects: Column) -> Column:
+    """The request for a cover picture; dynasty and subjects (an array) may be null or empty."""
+    named = F.when(F.coalesce(dynasty, F.lit("")) != "", dynasty)
+    style = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in COVER_STYLES for x in pair]), named), F.lit(COVER_STYLE))
+    opening = F.concat(F.lit('A book cover illustration for "'), F.coalesce(title, F.lit("")), F.lit('" by '), F.coalesce(author, F.lit("")), F.coalesce(F.concat(F.lit(", "), named, F.lit(" period")), F.lit("")), F.lit("."))
+    themes = F.when(F.size(subjects) > 0, F.concat(F.lit("Thematic elements: "), F.array_join(subjects, ", "), F.lit(".")))
+    return F.concat_ws(" ", opening, F.concat(F.lit("Style: "), style, F.lit(".")), *[F.lit(r) for r in COVER_RULES], themes)
+
+
+def json_in_answer(answer: Column, schema: str) -> Column:
+    """The object from the first opening to the last closing brace of an answer, by a schema; null if there is none that can be read."""
+    return F.from_json(F.nullif(F.regexp_extract(answer, r"(?s)\{.*\}", 0), F.lit("")), schema)
+
+
+def source_kind(source_type: Column) -> Column:
+    """Kind of a source in the receiving catalogue."""
+    return F.when(source_type == "haodoo", "HAODOO").when(source_type == "wenshuoge", "WENSHUOGE").otherwise("USER_UPLOAD")
+
+
+def iso_time(ts: Column) -> Column:
+    """A time in ISO form with milliseconds and ``Z``."""
+    return F.date_format(ts.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def between_markers(text: Column, publisher: Publisher) -> Column:
+    """The text between the first START and END lines of three asterisks; from the beginning or to the end where one is missing."""
+    line = rf"(?is)\*\*\*\s*{{0}} OF (?:THE |THIS )?(?:{re.escape(publisher.name)} )?EBOOK.*?\*\*\*"
+    after = F.element_at(F.split(text, line.format("START"), 2), -1)
+    return F.element_at(F.split(after, line.format("END"), 2), 1)
+
+
+def internal_key(path: Column) -> Column:
+    """A storage key without ``../`` and leading slashes."""
+    return F.regexp_replace(F.replace(path, F.lit("../"), F.lit("")), "^/+", "")
+
+
+class _Kept(HTMLParser):
+    """Writes HTML again without script, style and link elements."""
+
+    GONE = ("script", "style")
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=False)
+        self.out: list[str] = []
+        self.inside = 0
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in self.GONE:
+            self.inside += 1
+        elif tag != "link" and not self.inside:
+            self.out.append(self.get_starttag_text())
+
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        if tag not in (*self.GONE, "link") and not self.inside:
+            self.out.append(self.get_starttag_text())
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in self.GONE:
+            self.inside = max(0, self.inside - 1)
+        elif tag != "link" and not self.inside:
+            self.out.append(f"</{tag}>")
+
+    def handle_data(self, data: str) -> None:
+        if not self.inside:
+            self.out.append(data)
+
+    def handle_entityref(self, name: str) -> None:
+        self.handle_data(f"&{name};")
+
+    def handle_charref(self, name: str) -> None:
+        self.handle_data(f"&#{name};")
+
+    def handle_comment(self, data: str) -> None:
+        self.handle_data(f"<!--{data}-->")
+
+
+def rewrite_dom(html: str) -> str:
+    """One text parsed and written again without script, style and link elements."""
+    parser = _Kept()
+    parser.feed(html)
+    parser.close()
+    return "".join(parser.out)
+
+
+def clean_dom(html: Column) -> Column:
+    """``rewrite_dom`` as a Column function (Arrow batches). Null stays null."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(rewrite_dom, na_action="ignore")
+
+    return run(html)

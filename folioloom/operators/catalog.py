@@ -68,6 +68,38 @@ def upsert(stored: DataFrame, patch: DataFrame, key: str) -> DataFrame:
     return joined.select(F.coalesce(key, "p_key").alias(key), *merged)
 
 
+def partial_update(stored: DataFrame, patch: DataFrame, key: str, allowed: list[str]) -> DataFrame:
+    """Stored rows with the allowed columns of a patch merged in by key; nulls keep what is stored, unknown keys and other columns are ignored."""
+    given = [c for c in allowed if c in patch.columns and c in stored.columns and c != key]
+    p = patch.dropDuplicates([key]).select(F.col(key).alias("p_key"), *[F.col(c).alias(f"p_{c}") for c in given])
+    joined = stored.join(p, F.col(key) == F.col("p_key"), "left")
+    return joined.select(*[F.coalesce(f"p_{c}", c).alias(c) if c in given else F.col(c) for c in stored.columns])
+
+
+def with_log(stored: DataFrame, patch: DataFrame, key: str, fields: list[str], stamp: Column) -> tuple[DataFrame, DataFrame]:
+    """The stored rows after a patch, and one log row (key, field, old_value, new_value, at) for each field that it changes."""
+    return partial_update(stored, patch, key, fields), change_log(stored, patch, key, fields).withColumn("at", stamp)
+
+
+def new_rows(keys: DataFrame, active: DataFrame, key: str, **values: Column) -> DataFrame:
+    """Rows with a fresh id and the given values for every key that no active row holds, each key once."""
+    fresh = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    open_keys = active.select(F.col(key).alias("a_key")).distinct()
+    return fresh.join(open_keys, F.col(key) == F.col("a_key"), "left_anti").select(F.uuid().alias("id"), key, *[v.alias(n) for n, v in values.items()])
+
+
+def within_budget(rows: DataFrame, page: str, order: list[str], budget: int) -> DataFrame:
+    """The first rows in page order that a budget leaves, with ``budget_before``, what was left when their page began.
+
+    Pages are counted first, so only rows of pages that the budget reaches are numbered.
+    """
+    sizes = rows.groupBy(F.col(page).alias("s_page")).agg(F.count("*").alias("on_page"))
+    before = F.coalesce(F.sum("on_page").over(Window.orderBy("s_page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per page
+    reached = sizes.withColumn("budget_before", F.lit(budget) - before).where("budget_before > 0").drop("on_page")
+    place = F.row_number().over(Window.partitionBy(page).orderBy(*order))
+    return rows.join(reached, F.col(page) == F.col("s_page")).drop("s_page").withColumn("place", place).where("place <= budget_before").drop("place")
+
+
 def insert_ignore(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Stored rows and those of the batch whose key is new; of equal new keys one stays."""
     fresh = batch.dropDuplicates([key]).join(stored.select(F.col(key).alias("s_key")), F.col(key) == F.col("s_key"), "left_anti")
@@ -173,6 +205,22 @@ def multiset_difference(left: DataFrame, right: DataFrame, group: str, item: str
     return both.groupBy(F.coalesce("a_group", "b_group").alias(group)).agg((F.sum(F.abs(x - y)) / F.sum(x + y)).alias("difference"))
 
 
+def gap_bonus(counts: DataFrame, targets: DataFrame, key: str, count: str, target: str, most: int = 300) -> DataFrame:
+    """(key, bonus) of the categories below their share of the targets: ``most`` times the part of the share that is missing, rounded.
+
+    Categories without a count have none yet; those at or above their share are left out.
+    ``counts`` and ``targets`` have one row per category.
+    """
+    total = counts.agg(F.sum(count).alias("total"))
+    whole = targets.agg(F.sum(target).alias("whole"))
+    named = targets.select(F.col(key).alias("g_key"), F.col(target).alias("g_target"))
+    joined = named.join(counts, F.col("g_key") == F.col(key), "left").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(whole))  # one row of totals each
+    aim = F.lit(100.0) / (F.col("whole") / F.col("g_target"))
+    gap = F.greatest(F.lit(0.0), aim - F.coalesce(count, F.lit(0)) * 100.0 / F.col("total"))
+    bonus = F.floor(gap / aim * most + F.lit(0.5))
+    return joined.select(F.col("g_key").alias(key), F.least(bonus, F.lit(most)).cast("long").alias("bonus")).where("bonus > 0")
+
+
 def segment_ends(df: DataFrame, group: str, offset: str, total: Column) -> DataFrame:
     """Each offset with the next larger one of its group, or the total; equal offsets share an end."""
     own = df.select(F.col(group).alias("e_group"), F.col(offset).alias("e_offset")).distinct()

@@ -6,9 +6,14 @@ repeated item follow, then one row-wise expression per score; no group is collec
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioloom.functions import chinese
 from folioloom.functions import metrics as M
 from folioloom.functions import text as X
 from folioloom.functions.text import round_half_up
@@ -221,8 +226,6 @@ def vocabulary_levels(texts: DataFrame, vocabulary: DataFrame, longest: int = 4)
     at each place the longest listed word, else one character. The words reach the workers
     with the task and must fit in memory (at most ``MAX_VOCABULARY`` rows, checked).
     """
-    import pandas as pd
-
     rows = vocabulary.groupBy("word").agg(F.min("level").alias("level")).limit(MAX_VOCABULARY + 1).collect()
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"the vocabulary has more than {MAX_VOCABULARY} words")
@@ -312,20 +315,96 @@ def chinese_checks(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
     return out.drop("r_book", "dup_titles", "dup_paragraphs").na.fill(0, ["dup_chapters"])
 
 
+_HEADING = re.compile(r"<h[1-6][^>]*>(.*?)</h[1-6]>", re.S | re.I)
+_PARAGRAPH = re.compile(r"<p[^>]*>(.*?)</p>", re.S | re.I)
+
+
 def detected_chapters(texts: DataFrame) -> DataFrame:
-    """(key, position, title, pattern) of Chinese chapter titles in HTML (key, html): headings, else short paragraphs."""
-
-    def found(expression: str, longest: int | None) -> DataFrame:
-        parts = F.regexp_extract_all("html", F.lit(expression), F.lit(1))
-        rows = texts.select("key", F.posexplode(parts).alias("position", "raw")).select("key", "position", X.strip_tags_decode(F.col("raw")).alias("title"))
-        if longest:
-            rows = rows.where(F.length("title").between(1, longest))
-        return rows.withColumn("pattern", M.zh_title_pattern(F.col("title"))).where("pattern is not null")
-
-    headings = found(r"(?is)<h[1-6][^>]*>(.*?)</h[1-6]>", None)
-    with_heading = headings.select(F.col("key").alias("h_key")).distinct()
-    short = found(r"(?is)<p[^>]*>(.*?)</p>", 50)
-    return headings.unionByName(short.join(with_heading, F.col("key") == F.col("h_key"), "left_anti"))
+    """(key, position, title, pattern) of Chinese chapter titles in HTML (key, html): headings, else paragraphs of 1 to 50 characters.
+
+    ``position`` is the offset of the element in the text.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, html in zip(batch["key"], batch["html"]):
+                rows += [(key, True, m.start(), m[1]) for m in _HEADING.finditer(html)]
+                rows += [(key, False, m.start(), m[1]) for m in _PARAGRAPH.finditer(html)]
+            yield pd.DataFrame(rows, columns=["key", "is_heading", "position", "raw"])
+
+    kind = texts.schema["key"].dataType.simpleString()
+    elements = texts.where("html is not null").select("key", "html").mapInPandas(run, f"key {kind}, is_heading boolean, position int, raw string")
+    title = X.strip_tags_decode(F.col("raw"))
+    named = elements.select("key", "is_heading", "position", title.alias("title")).where(F.col("is_heading") | F.length("title").between(1, 50))
+    found = materialise(named.withColumn("pattern", M.zh_title_pattern(F.col("title"))).where("pattern is not null"), "titles")
+    with_heading = found.where("is_heading").select(F.col("key").alias("h_key")).distinct()
+    short = found.where("not is_heading").join(with_heading, F.col("key") == F.col("h_key"), "left_anti")
+    return found.where("is_heading").unionByName(short).select("key", "position", "title", "pattern")
+
+
+def clean_chinese(texts: DataFrame, split_over: int = 10_000, least: int = 50) -> DataFrame:
+    """(key, order_num, title, html, characters, script, needs_punctuation) of Chinese books of one text (key, title, html).
+
+    Scripts, styles and links go; a text whose first 2,000 characters are traditional becomes
+    simplified; a text of more than ``split_over`` characters is cut at the chapter titles
+    found in it, pieces of fewer than ``least`` characters go, and if one piece or none is
+    left the text stays whole. Null texts give no rows.
+    """
+    plain = X.strip_html(F.col("html"))
+    script = F.when(chinese.is_traditional(F.left(plain, F.lit(2000))), "traditional").otherwise("simplified")
+    html = X.drop_active_tags(F.col("html"))
+    base = texts.where("html is not null").select("key", F.col("title").alias("book_title"), html.alias("html"), script.alias("script"))
+    base = base.withColumn("html", F.when(F.col("script") == "traditional", chinese.to_simplified(F.col("html"))).otherwise(F.col("html")))
+    base = materialise(base.withColumn("characters", X.count_nonspace(X.strip_html(F.col("html")))), "zh_texts")
+    large = base.where(F.col("characters") > split_over).select("key", "html")
+    marks = detected_chapters(large).withColumnRenamed("key", "d_key")
+    spans = marks.withColumn("until", F.lead("position").over(Window.partitionBy("d_key").orderBy("position")))
+    cut = base.join(spans, F.col("key") == F.col("d_key"))
+    piece = F.substring("html", F.col("position") + 1, F.coalesce(F.col("until"), F.length("html")) - F.col("position"))
+    pieces = cut.select("key", "script", "position", "title", piece.alias("html")).withColumn("characters", X.count_nonspace(X.strip_html(F.col("html")))).where(F.col("characters") >= least)
+    many = F.count("*").over(Window.partitionBy("key"))
+    pieces = materialise(C.renumber(pieces.withColumn("many", many).where("many > 1"), "key", F.col("position"), name="order_num"), "zh_pieces")
+    whole = base.join(pieces.select(F.col("key").alias("p_key")).distinct(), F.col("key") == F.col("p_key"), "left_anti")
+    out = whole.select("key", F.lit(1).alias("order_num"), F.col("book_title").alias("title"), "html", "characters", "script").unionByName(pieces.select("key", "order_num", "title", "html", "characters", "script"))
+    return out.withColumn("needs_punctuation", X.needs_punctuation(X.strip_html(F.col("html"))))
+
+
+def level_shares(levels: DataFrame) -> DataFrame:
+    """(key, tokens, level, unknown, distribution) from (key, level, n): mean level of known words, 6 without any, and counts by level."""
+    known = F.sum(F.when(F.col("level").isNotNull(), F.col("n")))
+    weighted = F.sum(F.col("level") * F.col("n"))
+    name = F.coalesce(F.col("level").cast("string"), F.lit("unknown"))
+    return levels.groupBy("key").agg(
+        F.sum("n").alias("tokens"),
+        F.coalesce(F.try_divide(weighted, known), F.lit(6.0)).alias("level"),
+        F.coalesce(F.sum(F.when(F.col("level").isNull(), F.col("n"))), F.lit(0)).alias("unknown"),
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct(name.alias("level"), "n")))).alias("distribution"),
+    )
+
+
+def process_chinese(texts: DataFrame, vocabulary: DataFrame, publisher: X.Publisher, least: int = 20) -> DataFrame:
+    """(book_id, chapter_count, characters, score, tier, issues, level, difficulty, minutes) of Chinese books of one text (key, title, html, has_cover).
+
+    Chapters come from ``clean_chinese``, those of fewer than ``least`` ideographs go; the
+    difficulty is that of the first 5,000 characters of the first three.
+    """
+    cleaned = clean_chinese(texts).withColumn("size", X.count_cjk(X.strip_html(F.col("html")))).where(F.col("size") >= least)
+    chapters = materialise(cleaned.select(F.concat_ws("/", "key", "order_num").alias("id"), F.col("key").alias("book_id"), "order_num", "title", F.col("html").alias("html_content"), F.col("size").cast("int").alias("word_count")), "zh_chapters")
+    scored = chinese_quality(texts.select(F.col("key").alias("book_id"), "has_cover").distinct(), chapters, publisher)
+    head = chapters.where("order_num <= 3").groupBy("book_id").agg(F.left(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("order_num", "html_content"))), lambda x: X.strip_html(x["html_content"])), " "), F.lit(5000)).alias("text"))
+    shares = level_shares(vocabulary_levels(head.select(F.col("book_id").alias("key"), "text"), vocabulary)).withColumnRenamed("key", "l_book")
+    sentences = F.greatest(F.size(M.zh_sentences(F.col("text"))), F.lit(1))
+    lengths = head.select(F.col("book_id").alias("s_book"), (X.count_nonspace(F.col("text")) / sentences).alias("sentence_length"))
+    sums = chapters.groupBy(F.col("book_id").alias("c_book")).agg(F.count("*").alias("chapter_count"), F.sum("word_count").alias("characters"))
+    out = scored.join(sums, F.col("book_id") == F.col("c_book"), "left").join(shares, F.col("book_id") == F.col("l_book"), "left").join(lengths, F.col("book_id") == F.col("s_book"), "left")
+    level = F.greatest(F.lit(1), F.least(F.lit(6), round_half_up(F.coalesce(F.col("level"), F.lit(6.0))))).cast("int")
+    unknown = F.coalesce(F.try_divide("unknown", "tokens"), F.lit(0.0))
+    return out.select(
+        "book_id", F.coalesce("chapter_count", F.lit(0)).alias("chapter_count"), F.coalesce("characters", F.lit(0)).alias("characters"), "score", "tier", "issues",
+        F.concat(F.lit("HSK"), level.cast("string")).alias("level"), M.zh_difficulty(F.coalesce(F.col("level"), F.lit(6.0)), unknown, F.coalesce("sentence_length", F.lit(0.0))).alias("difficulty"),
+        round_half_up(F.coalesce("characters", F.lit(0)) / 500).cast("long").alias("minutes"),
+    )
 
 
 def calibration(pairs: DataFrame, tolerance: float = 0.15, least: int = 80) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioloom.plans import catalog_queries, data_queries, flow_queries, pipeline_queries, text_queries  # noqa: F401  (all register with catalog_queries)
+from folioloom.plans import action_queries, catalog_queries, data_queries, flow_queries, pipeline_queries, text_queries  # noqa: F401  (all register with catalog_queries)
 
 QUERIES: dict = {**catalog_queries.QUERIES, **data_queries.QUERIES}
 SQL: dict[str, str] = {**catalog_queries.SQL}

@@ -52,21 +52,26 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new name under the shared folder, removed when the driver's JVM ends or by ``drop_intermediates``."""
+    path = f"{shared_folder(spark)}/folioloom-{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _WRITTEN.append((spark.sparkContext.applicationId, path))
+    return path
+
+
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage ends there.
 
     The table is removed when the driver's JVM ends, or by ``drop_intermediates``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/folioloom-{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    _WRITTEN.append((spark.sparkContext.applicationId, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,7 @@
 """EPUB archives as DataFrames: metadata, spine items, contents entries and chapters.
 
-``read_epubs`` lists archives with the binary file source and opens each one in a Python
-worker; everything after the archive is opened is rows. A damaged archive gives no rows.
+``epub_files`` lists archives with the binary file source; ``archive_items`` and ``chapters``
+open each one in a Python worker, where it is. A damaged archive gives one error row.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from collections.abc import Iterator
 from posixpath import dirname, join, normpath
 from urllib.parse import unquote
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioloom.functions import text as X
-from folioloom.operators import catalog as C
 
 _ITEMS = "archive string, kind string, position int, id string, href string, title string, media_type string, content binary"
 
@@ -67,24 +67,60 @@ def open_archive(content: bytes) -> list[tuple]:
     return rows
 
 
-def read_epubs(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of all archives under ``path``."""
+_NAMES = [c.split()[0] for c in _ITEMS.split(", ")]
+_BROKEN = (zipfile.BadZipFile, KeyError, StopIteration, ElementTree.ParseError, RuntimeError, ValueError, OSError, EOFError)
+
+
+def epub_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of all archives under ``path``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", "content")
+
+
+def archive_items(files: DataFrame) -> DataFrame:
+    """All rows of the archives (path, content); a damaged one gives one row of kind ``error`` with the reason as title."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                if content[:2] != b"PK":
-                    continue
                 try:
+                    if content is None or content[:2] != b"PK":
+                        raise zipfile.BadZipFile("no archive")
                     rows = [(name, *r) for r in open_archive(content)]
-                except (zipfile.BadZipFile, KeyError, StopIteration, ElementTree.ParseError, RuntimeError):
-                    continue
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in _ITEMS.split(", ")])
+                except _BROKEN as problem:
+                    rows = [(name, "error", 0, None, None, f"{type(problem).__name__}: {problem}", None, None)]
+                yield pd.DataFrame(rows, columns=_NAMES)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.epub").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInPandas(run, _ITEMS)
 
 
+def read_epubs(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of all archives under ``path``."""
+    return archive_items(epub_files(spark, path))
+
+
+def build_archive(meta: list[tuple[str, str]], pages: list[tuple[str, str | None]], toc: list[tuple[str, str]] = (), images: list[tuple[str, bytes]] = (), cover: bytes | None = None) -> bytes:
+    """An EPUB archive: metadata (tag, text), pages (file, HTML; null for a missing file), contents (title, href) and images."""
+    kinds = {"png": "image/png", "gif": "image/gif", "webp": "image/webp"}
+    items = [f'<item id="p{n}" href="{escape(f)}" media-type="application/xhtml+xml"/>' for n, (f, _) in enumerate(pages)]
+    items += [f'<item id="i{n}" href="{escape(f)}" media-type="{kinds.get(f.rsplit(".", 1)[-1], "image/jpeg")}"/>' for n, (f, _) in enumerate(images)]
+    items += ['<item id="cover-image" href="cover.jpg" media-type="image/jpeg" properties="cover-image"/>'] if cover is not None else []
+    head = "".join(f"<dc:{tag}>{escape(text)}</dc:{tag}>" for tag, text in meta)
+    opf = (
+        f'<package xmlns="http://www.idpf.org/2007/opf" xmlns:dc="http://purl.org/dc/elements/1.1/"><metadata>{head}</metadata><manifest>{"".join(items)}'
+        f'<item id="ncx" href="toc.ncx" media-type="application/x-dtbncx+xml"/></manifest><spine toc="ncx">{"".join(f"<itemref idref={chr(34)}p{n}{chr(34)}/>" for n in range(len(pages)))}</spine></package>'
+    )
+    points = "".join(f'<navPoint id="n{n}"><navLabel><text>{escape(title)}</text></navLabel><content src="{escape(href)}"/></navPoint>' for n, (title, href) in enumerate(toc))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="OEBPS/content.opf"/></rootfiles></container>')
+        z.writestr("OEBPS/content.opf", opf)
+        z.writestr("OEBPS/toc.ncx", f"<ncx><navMap>{points}</navMap></ncx>")
+        for name, content in [(f, h.encode("utf-8", "replace")) for f, h in pages if h is not None] + list(images) + ([("cover.jpg", cover)] if cover is not None else []):
+            z.writestr(f"OEBPS/{name}", content)
+    return out.getvalue()
+
+
 def metadata(items: DataFrame) -> DataFrame:
     """(archive, title, author, language, subjects, description) with the defaults for missing ones."""
     m = items.where("kind = 'meta'")
@@ -105,48 +141,212 @@ def anchor_slices(html: str, anchors: list[str]) -> list[str]:
     return ["" if a < 0 else html[a : next(x for x in marks if x > a)] for a in at]
 
 
-# Words of titles and files that are no chapters, and phrases of title pages.
+def before_anchors(html: str, anchors: list[str]) -> str | None:
+    """The piece of a file before the first located anchor; null if no anchor is found or none follows it."""
+    at = [html.rfind("<", 0, m.start()) for a in anchors if (m := re.search(rf"""id=["']?{re.escape(a)}["']?""", html))]
+    first = min((x for x in at if x >= 0), default=0)
+    return html[:first] if first > 0 else None
+
+
+# Words of titles that are no chapters, phrases of title pages, words of chapter titles, parts of file names.
 SKIPPED = ("colophon", "imprint", "license", "copyright", "uncopyright", "endnotes", "cover", "titlepage", r"cover\s+image", r"book\s+cover", r"front\s+cover")
-TITLE_PAGE = r"\bBY THE AUTHOR OF\b|\bPRINTED FOR\b|\bCOPYRIGHT\s+(?:BY|\d{4})|\bALL RIGHTS RESERVED\b|\bFIRST (?:PUBLISHED|EDITION|PRINTED)\b|\bPUBLISHED\s+(?:IN|BY)\b"
+SKIPPED_FILES = ("cover", "titlepage")
+NO_CONTINUATION = ("cover", "titlepage", "uncopyright", "colophon", "endnotes", "loi")
+TITLE_PAGE = (
+    r"\bBY THE AUTHOR OF\b",
+    r"\bPRINTED FOR\b",
+    r"\bCOPYRIGHT\s+(?:BY|\d{4})",
+    r"\bALL RIGHTS RESERVED\b",
+    r"\bFIRST (?:PUBLISHED|EDITION|PRINTED)\b",
+    r"\bPUBLISHED\s+(?:IN|BY)\b",
+)
+NUMBERED = r"\b(?:chapter|book|part|canto|act|scene|prologue|epilogue|introduction|preface|foreword)\s+(?:\d+|[ivxlcdm]+)\b"
+NARRATIVE = r"\b(?:chapter|book|part|prologue|epilogue|introduction|preface|foreword|appendix|act|scene|canto|volume|letter)\b"
+# Sizes in characters and words.
+LEAST_FILE, LEAST_PIECE, LEAST_ORPHAN = 100, 100, 50
+FRAGMENT_WORDS, BEFORE_WORDS, ORPHAN_WORDS, LONE_ORPHAN_WORDS, SHORT_WORDS, EDGE = 30, 50, 5, 200, 300, 3
+
+_SKIP_TITLE = r"(?i)(?<![A-Za-z0-9_])(?:" + "|".join(SKIPPED) + r")(?![A-Za-z0-9_])"
+_HEADINGS = re.compile(r"<h([1-3])\b[^>]*>(.*?)</h\1>", re.S | re.I)
+_CAPTION = re.compile("|".join(rf"""<{t}\b[^>]*class=["'][^"']*(?:caption|illustration)[^"']*["'][^>]*>.*?</{t}>""" for t in ("span", "div", "p", "figcaption", "small", "i", "em", "b")), re.S | re.I)
+_TAG = re.compile(r"<[^>]+>")
+
+
+def skippable(title: Column, href: Column) -> Column:
+    """Whether a title or file name says that it is no chapter."""
+    low = F.lower(F.coalesce(href, F.lit("")))
+    return F.coalesce(title, F.lit("")).rlike(_SKIP_TITLE) | F.contains(low, F.lit(SKIPPED_FILES[0])) | F.contains(low, F.lit(SKIPPED_FILES[1]))
+
+
+def front_matter(html: Column) -> Column:
+    """Whether a text is a fragment of less than ``FRAGMENT_WORDS`` words or begins like a title page."""
+    text = X.strip_html(html)
+    return (X.count_words(text) < FRAGMENT_WORDS) | F.upper(F.left(text, F.lit(500))).rlike("|".join(TITLE_PAGE))
+
 
+def heading_title(html: Column, publisher: X.Publisher) -> Column:
+    """Text of the first heading of level 1 to 3 that is neither a sign nor a notice, captions left out; null if there is none."""
+    bare = F.regexp_replace(html, "(?is)" + _CAPTION.pattern, "")
+    found = F.transform(F.regexp_extract_all(bare, F.lit(r"(?is)<h[1-3]\b[^>]*>(.*?)</h[1-3]>"), F.lit(1)), lambda h: X.trim_ws(F.regexp_replace(F.regexp_replace(h, "<[^>]+>", ""), rf"[{X.WS}]+", " ")))
+    notice = "(?i)ebook of|" + re.escape(publisher.name)
+    return F.try_element_at(F.filter(found, lambda h: h.rlike("[A-Za-z0-9]{2,}") & ~h.rlike(notice)), F.lit(1))
 
-def chapters(items: DataFrame) -> DataFrame:
-    """(archive, order_num, title, href, html_content, word_count) of each archive's chapters.
 
-    Contents entries that share a file are cut at their anchors; spine files that no entry
-    names join the chapter before them; title pages, skipped titles and repeated texts go;
-    short edge pieces without a chapter-like title are trimmed.
+def by_anchors(toc: list[tuple[str, str]]) -> bool:
+    """Whether the contents name many places of few files."""
+    files = {href.split("#")[0] for _, href in toc if href.split("#")[0]}
+    return bool(files) and len(toc) > 1.5 * len(files)
+
+
+class _Extraction:
+    """The chapters of one archive: sections named by the contents, files that continue them, edges and repeats gone."""
+
+    def __init__(self, spine: list[tuple[str, str, str]], toc: list[tuple[str, str]], publisher: X.Publisher) -> None:
+        self.spine, self.toc = spine, toc
+        self.notice = re.compile("ebook of|" + re.escape(publisher.name), re.I)
+        self.found: list[list] = []  # [title, href, html]
+        self.named: set[int] = set()
+        self.last_of: dict[int, int] = {}
+
+    @staticmethod
+    def plain(html: str) -> str:
+        text = re.sub(r"<(style|script)[^>]*>.*?</\1>", "", html, flags=re.S | re.I)
+        return " ".join(_TAG.sub(" ", text).split())
+
+    def heading(self, html: str) -> str | None:
+        for m in _HEADINGS.finditer(_CAPTION.sub("", html)):
+            text = " ".join(_TAG.sub("", m[2]).split())
+            if re.search("[A-Za-z0-9]{2,}", text) and not self.notice.search(text):
+                return text
+        return None
+
+    def place(self, href: str) -> int | None:
+        """The spine file that a contents entry means: the same name, or one that ends with it."""
+        base = href.split("#")[0]
+        return next((n for n, (_, file, _) in enumerate(self.spine) if base and (file == base or file.endswith(base))), None)
+
+    def add(self, title: str, href: str, html: str, at: int) -> None:
+        """A section, unless its title, file, size or beginning says that it is no chapter."""
+        if _skips(title, href) or len(html) < LEAST_PIECE:
+            return
+        title = self.heading(html) or title or f"Chapter {len(self.found) + 1}"
+        text = self.plain(html)
+        if _skips(title, href) or len(text.split()) < FRAGMENT_WORDS or any(re.search(p, text[:500].upper()) for p in TITLE_PAGE):
+            return
+        self.found.append([title, href, html])
+        self.last_of[at] = len(self.found) - 1
+
+    def sections_by_anchor(self) -> None:
+        numbered = [e for e in self.toc if re.search(NUMBERED, e[0] or "", re.I)]
+        used = numbered if len(numbered) >= 5 and len(numbered) < len(self.toc) / 2 else self.toc
+        files: dict[str, list[tuple[str, str]]] = {}
+        for title, href in used:
+            base, _, anchor = href.partition("#")
+            if base and anchor:
+                files.setdefault(base, []).append((title, href))
+        for base, entries in files.items():
+            at = self.place(base)
+            if at is None:
+                continue
+            self.named.add(at)
+            html = self.spine[at][2]
+            if len(html) < LEAST_FILE:
+                continue
+            anchors = [href.partition("#")[2] for _, href in entries]
+            pieces = anchor_slices(html, anchors)
+            before = before_anchors(html, anchors)
+            if before and len(words := self.plain(before).split()) >= BEFORE_WORDS and not self._is_notice(" ".join(words)[:500]):
+                if self.found:
+                    self.found[-1][2] += "\n" + before
+                elif pieces[0]:
+                    pieces[0] = before + pieces[0]
+            for (title, href), piece in zip(entries, pieces):
+                self.add(title, href, piece, at)
+
+    def _is_notice(self, text: str) -> bool:
+        return bool(self.notice.search(text) or re.search(r"\*\*\* (?:START|END) OF", text))
+
+    def sections_by_file(self) -> None:
+        for n, (title, href) in enumerate(self.toc or [("", file) for _, file, _ in self.spine]):
+            at = self.place(href)
+            if at is None or _skips(title, href):
+                continue
+            self.named.add(at)
+            self.add(title or f"Chapter {n + 1}", href, self.spine[at][2], at)
+
+    def join_orphans(self) -> None:
+        """Files that no entry names continue the chapter before them, or stand alone if they are long and come first."""
+        current, own = -1, []
+        for at, (key, href, html) in enumerate(self.spine):
+            if at in self.named:
+                current = self.last_of.get(at, current)
+                continue
+            low = href.lower()
+            if any(x in low for x in NO_CONTINUATION) or key in ("pg-header", "pg-footer") or low.endswith(("-h-0.htm.html", "-h-0.htm.xhtml")):
+                continue
+            text = self.plain(html)
+            words = len(text.split())
+            if len(html) < LEAST_ORPHAN or words < ORPHAN_WORDS or self.notice.search(text[:300]):
+                continue
+            if current >= 0:
+                self.found[current][2] += "\n" + html
+            elif words >= LONE_ORPHAN_WORDS:
+                own.append((at, href, html))
+        for at, href, html in own:
+            self.add("", href, html, at)
+
+    def chapters(self) -> list[tuple[int, str, str, str, int]]:
+        """(order_num, title, href, html, word_count)."""
+        if by_anchors(self.toc):
+            self.sections_by_anchor()
+        else:
+            self.sections_by_file()
+        self.join_orphans()
+        seen: set[str] = set()
+        kept = []
+        for title, href, html in self.found:
+            text = self.plain(html)
+            if text[:500] and text[:500] not in seen:
+                seen.add(text[:500])
+                kept.append((title, href, html, len(text.split())))
+        low, high = 0, len(kept)
+        if len(kept) > EDGE:
+            can_go = [c[3] < SHORT_WORDS and not re.search(NARRATIVE, c[0], re.I) and not re.fullmatch("[IVXLCDM]+", c[0].strip(), re.I) for c in kept]
+            while low < min(EDGE, len(kept) - 1) and can_go[low]:
+                low += 1
+            while high > max(len(kept) - EDGE, low + 1) and can_go[high - 1]:
+                high -= 1
+        return [(n, *c) for n, c in enumerate(kept[low:high], 1)]
+
+
+def _skips(title: str, href: str) -> bool:
+    return bool(title and re.search(_SKIP_TITLE, title)) or any(x in href.lower() for x in SKIPPED_FILES)
+
+
+_CHAPTERS = "archive string, order_num int, title string, href string, html_content string, word_count int"
+
+
+def chapters(files: DataFrame, publisher: X.Publisher) -> DataFrame:
+    """(archive, order_num, title, href, html_content, word_count) of the chapters of archives (path, content).
+
+    An archive is one value and is taken apart where it is, without a shuffle. Contents
+    entries that share files are cut at their anchors; text before the first anchor and
+    files that no entry names join the chapter before them; title pages, skipped titles and
+    repeated texts go; short edge pieces without a chapter-like title are trimmed.
+    Damaged archives give no chapters (``archive_items`` has their errors).
     """
-    toc = items.where("kind = 'toc'").select("archive", "position", F.substring_index("href", "#", 1).alias("file"), F.when(F.contains("href", F.lit("#")), F.substring_index("href", "#", -1)).alias("anchor"), "title")
-    spine = items.where("kind = 'spine'").select(F.col("archive").alias("s_archive"), F.col("href").alias("s_file"), F.col("position").alias("s_position"), F.decode("content", "utf-8").alias("html"))
-    per_file = toc.groupBy("archive", "file").agg(F.sort_array(F.collect_list(F.struct("position", "title", "anchor"))).alias("entries"))
-    placed = spine.join(per_file, (F.col("s_archive") == F.col("archive")) & (F.col("s_file") == F.col("file")), "left")
-    order = Window.partitionBy("s_archive").orderBy("s_position")
-    owner = F.last(F.when(F.col("entries").isNotNull(), F.col("s_position")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    named = placed.withColumn("owner", F.coalesce(owner, F.col("s_position")))
-    joined = named.groupBy("s_archive", "owner").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_position", "html"))), lambda x: x["html"]), "\n").alias("html"), F.min_by("s_file", "s_position").alias("href"), F.min_by("entries", "s_position").alias("entries"))
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for archive, position, html, href, entries in zip(batch["s_archive"], batch["owner"], batch["html"], batch["href"], batch["entries"]):
-                entries = [] if entries is None else list(entries)
-                if len(entries) > 1 and all(e["anchor"] for e in entries):
-                    pieces = anchor_slices(html, [e["anchor"] for e in entries])
-                    rows += [(archive, position * 10_000 + k, e["title"], href, p) for k, (e, p) in enumerate(zip(entries, pieces)) if p]
-                else:
-                    rows.append((archive, position * 10_000, entries[0]["title"] if entries else None, href, html))
-            yield pd.DataFrame(rows, columns=["archive", "place", "title", "href", "html_content"])
-
-    raw = joined.mapInPandas(cut, "archive string, place long, title string, href string, html_content string")
-    text = X.strip_html(F.col("html_content"))
-    heading = F.try_element_at(F.filter(F.transform(F.regexp_extract_all("html_content", F.lit(r"(?is)<h[1-3]\b[^>]*>(.*?)</h[1-3]>"), F.lit(1)), lambda h: F.trim(F.regexp_replace(h, "<[^>]+>", ""))), lambda h: h.rlike("[A-Za-z0-9]{2,}")), F.lit(1))
-    full = raw.select("archive", "place", F.coalesce(F.nullif("title", F.lit("")), heading, F.lit("")).alias("title"), "href", "html_content", text.alias("text")).withColumn("word_count", X.count_words(F.col("text")).cast("int"))
-    skip = F.col("title").rlike(r"(?i)(?<![A-Za-z0-9_])(?:" + "|".join(SKIPPED) + r")(?![A-Za-z0-9_])") | F.lower("href").rlike("cover|titlepage")
-    kept = full.where(~skip & (F.col("word_count") >= 30) & ~F.upper(F.left("text", F.lit(500))).rlike(TITLE_PAGE))
-    once = C.first_of_equal(kept, "archive", F.left("text", F.lit(500)), F.col("place"))
-    short = (F.col("word_count") < 300) & ~F.col("title").rlike(r"(?i)\b(chapter|book|part|letter|canto|act|scene|prologue|epilogue|introduction|preface)\b|^[IVXLC]+\b|^\d+")
-    trimmed = C.edge_trim(once, "archive", short, [F.col("place")])
-    numbered = C.renumber(trimmed, "archive", F.col("place"), name="order_num")
-    title = F.when(F.col("title") == "", F.concat(F.lit("Chapter "), F.col("order_num").cast("string"))).otherwise(F.col("title"))
-    return numbered.select("archive", "order_num", title.alias("title"), "href", "html_content", "word_count")
+            for name, content in zip(batch["path"], batch["content"]):
+                try:
+                    items = open_archive(content) if content is not None else []
+                except _BROKEN:
+                    continue
+                spine = [(key, href, (data or b"").decode("utf-8", "replace")) for kind, _, key, href, _, _, data in items if kind == "spine"]
+                toc = [(title or "", href) for kind, _, _, href, title, _, _ in items if kind == "toc"]
+                rows += [(name, *c) for c in _Extraction(spine, toc, publisher).chapters()]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _CHAPTERS.split(", ")])
+
+    return files.select("path", "content").mapInPandas(run, _CHAPTERS)

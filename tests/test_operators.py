@@ -131,7 +131,8 @@ def test_epub(spark, tmp_path, anchors):
     items = epub.read_epubs(spark, str(tmp_path)).cache()
     meta = epub.metadata(items).first()
     assert (meta.title, meta.author, meta.language, meta.subjects) == ("T", "Unknown", "en", ["s1", "s2"])
-    got = epub.chapters(items).orderBy("order_num").collect()
+    got = epub.chapters(epub.epub_files(spark, str(tmp_path)), PUBLISHER).orderBy("order_num").collect()
+    assert [r.archive.rsplit("/", 1)[-1] for r in items.where("kind = 'error'").collect()] == ["broken.epub"]
     assert [c.title for c in got] == (["Chapter 1", "Chapter 2", "Chapter 3"] if anchors else ["Chapter 1", "Chapter 3"])
     assert [c.order_num for c in got] == list(range(1, len(got) + 1))
     if not anchors:

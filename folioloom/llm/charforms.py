@@ -56,7 +56,8 @@ def _tables() -> dict[int, str]:
             table[code] = unicodedata.normalize("NFC", table[ord(base)] + "".join(marks))
     table.update({ord(ch): "" for ch in IGNORABLE})
     table[0x09] = table[0x0B] = table[0x0C] = " "
-    return table
+    # images are final: a mathematical Greek capital looks like what the Greek capital looks like
+    return {code: "".join(table.get(ord(ch), ch) for ch in image) for code, image in table.items()}
 
 
 TABLE = _tables()
@@ -92,6 +93,8 @@ ODD_CJK_CLASS = _char_class(_CJK)
 BLANK_CLASS = _char_class([ord(ch) for ch in BLANKS])
 #: Any character that ``fold`` may change, that may compose with its neighbour, or of another script with look-alikes.
 ODD = re.compile(f"[{ODD_LETTER_CLASS}{ODD_CJK_CLASS}{BLANK_CLASS}]")
+#: The same characters as a set.
+ODD_CHARS = frozenset({chr(k) for k in TABLE} | {chr(k) for k in _MARKS} | {chr(k) for k in _FOREIGN})
 #: A letter run with at least one odd character in it, one odd ideograph, or one odd blank.
 ODD_TOKEN = re.compile(f"[0-9A-Za-zÀ-ɏ]*+[{ODD_LETTER_CLASS}][0-9A-Za-zÀ-ɏ{ODD_LETTER_CLASS}]*+|[{ODD_CJK_CLASS}][{_char_class([ord(c) for c in IGNORABLE])}]*+|[{BLANK_CLASS}]")
 #: Letter runs of plain text, cut as ``ODD_TOKEN`` cuts.
@@ -105,13 +108,21 @@ def unescape(text: str) -> str:
     return html.unescape(text) if "&" in text else text
 
 
+def has_odd(text: str) -> bool:
+    """Whether a text holds a character that ``ODD`` finds; each distinct character is looked up once."""
+    return not ODD_CHARS.isdisjoint(set(text))
+
+
 def fold(text: str) -> str:
     """The table skeleton of a text; plain text comes back as it is."""
     if text.isascii():
         return text.replace("\t", " ") if "\t" in text else text
-    if not ODD.search(text):
+    odd = ODD_CHARS.intersection(set(text))
+    if not odd:
         return text
-    return unicodedata.normalize("NFC", text.translate(TABLE))
+    for ch in odd:  # a few distinct ones; no image in the table is odd itself
+        text = text.replace(ch, TABLE.get(ord(ch), ch))
+    return unicodedata.normalize("NFC", text)
 
 
 @lru_cache(maxsize=1 << 16)

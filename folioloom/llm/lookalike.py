@@ -96,7 +96,7 @@ class LookalikeTrie:
         reached = self.search(token)
         if not reached:
             return None
-        return min(reached, key=lambda x: (x[0], bool(charforms.ODD.search(x[2])), -x[1], x[2]))[2]
+        return min(reached, key=lambda x: (x[0], charforms.has_odd(x[2]), -x[1], x[2]))[2]
 
 
 def _digest(text: str) -> str:
@@ -168,7 +168,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, key, text in zip(batch["part"], batch["id"], batch["text"]):
             decoded = charforms.unescape(text)
             variant = _digest(text)
-            if (decoded.isascii() and "\t" not in decoded) or not charforms.ODD.search(decoded):
+            if (decoded.isascii() and "\t" not in decoded) or not charforms.has_odd(decoded):
                 pieces.update(decoded.split())
                 rows.append(("key", part, key, variant, joined([fingerprint(decoded)]), *_NO_PARTS))
                 continue

@@ -12,6 +12,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioloom.session import materialise
+
 
 def search(df: DataFrame, text: str, *columns: str) -> DataFrame:
     """Rows one of whose columns holds ``text``, letter case apart; ``%`` and ``_`` stay wildcards."""
@@ -196,6 +198,36 @@ def token_jaccard(left: DataFrame, left_key: str, right: DataFrame, right_key: s
     return shared.select(F.col("l").alias(left_key), F.col("r").alias(right_key), (F.col("both") / (F.col("ln") + F.col("rn") - F.col("both"))).alias("score"))
 
 
+def top_two_matches(items: DataFrame, key: str, tokens: str, steps: tuple[float, ...] = (0.5, 0.0)) -> DataFrame:
+    """(key, best, best_score, runner_up, runner_score): for each item the two others with the most similar token sets (Jaccard).
+
+    Exact, by prefix filtering: sets as similar as a bound share one of their rarest
+    ``n - bound * n + 1`` tokens, so only these meet in the equi-join. An item with two
+    matches at the first bound is done; the others go on to the next, the last being any
+    shared token. Common tokens thus bring pairs together only for items with nothing better.
+    """
+    spread = materialise(items.select(F.col(key).alias("item"), F.explode(F.array_distinct(tokens)).alias("token")), "tokens")
+    uses = spread.groupBy(F.col("token").alias("u_token")).agg(F.count("*").alias("uses"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("uses", "token"))), lambda x: x["token"])
+    sets = materialise(spread.join(uses, F.col("token") == F.col("u_token")).groupBy("item").agg(ordered.alias("held")), "sets")
+    right = sets.select(F.col("item").alias("other"), F.col("held").alias("other_held"))
+    left, found = sets, None
+    for at, bound in enumerate(steps):
+        prefix = lambda c, b=bound: F.explode(F.slice(c, 1, (F.size(c) - F.ceil(F.size(c) * F.lit(b)) + 1).cast("int")))
+        a, b = left.select("item", "held", prefix("held").alias("token")), right.select("other", "other_held", prefix("other_held").alias("o_token"))
+        pairs = a.join(b, (F.col("token") == F.col("o_token")) & (F.col("item") != F.col("other"))).select("item", "held", "other", "other_held").dropDuplicates(["item", "other"])
+        shared = F.size(F.array_intersect("held", "other_held"))
+        scored = pairs.select("item", "other", (shared / (F.size("held") + F.size("other_held") - shared)).alias("score"))
+        met = materialise(scored.where((F.col("score") >= bound) & (F.col("score") > 0)), f"matches{at}")
+        last = at == len(steps) - 1
+        done = met.groupBy(F.col("item").alias("d_item")).agg(F.count("*").alias("n")).where("n >= 2").select("d_item")
+        kept = met if last else met.join(done, F.col("item") == F.col("d_item"), "left_semi")
+        found = kept if found is None else found.unionByName(kept)
+        if not last:
+            left = left.join(done, F.col("item") == F.col("d_item"), "left_anti")
+    return best_and_runner_up(found, "item", "score", "other").withColumnRenamed("item", key)
+
+
 def multiset_difference(left: DataFrame, right: DataFrame, group: str, item: str) -> DataFrame:
     """(group, difference): sum of count differences over sum of counts of two multisets; 1 if both are empty."""
     a = left.groupBy(F.col(group).alias("a_group"), F.col(item).alias("a_item")).agg(F.count("*").alias("a"))

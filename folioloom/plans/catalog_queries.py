@@ -136,16 +136,6 @@ def flt_validate(s, d):
     return T(s, d, "books").select("id", F.array_join(issues, ",").alias("issues"))
 
 
-@query(
-    r"""SELECT p AS path, array_to_string(list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(string_split(p, '/'), lambda x: [x])),
-       lambda acc, y: CASE WHEN y[1] = '..' THEN acc[1:len(acc) - 1] WHEN y[1] IN ('.', '') THEN acc ELSE list_concat(acc, y) END), '/') AS clean
-       FROM (VALUES ('/content/a/../../b/./c'), ('a//b'), ('../x'), ('')) t(p)"""
-)
-def flt_sanitize_path(s, d):
-    df = s.createDataFrame([("/content/a/../../b/./c",), ("a//b",), ("../x",), ("",)], "path string")
-    return df.select("path", C.sanitize_path(F.col("path")).alias("clean"))
-
-
 @query(r"SELECT id, href FROM chapters WHERE regexp_matches(href, 'ch\d+\.')")
 def flt_regex(s, d):
     return T(s, d, "chapters").where(F.col("href").rlike(r"ch\d+\.")).select("id", "href")
@@ -305,11 +295,6 @@ def agg_dup_titles(s, d):
     return chapters(s, d, "title").select("book_id", t.alias("title")).where("title != ''").groupBy("book_id", "title").agg(F.count("*").alias("n")).where("n > 1")
 
 
-@query(f"SELECT book_id, round(count(*) FILTER (regexp_matches(html_content, '(?i)reading rooms')) / count(*), 6) AS residue FROM {CH('html_content')} GROUP BY book_id")
-def agg_residue(s, d):
-    return chapters(s, d, "html_content").groupBy("book_id").agg(F.round(F.count_if(F.col("html_content").rlike("(?i)reading rooms")) / F.count("*"), 6).alias("residue"))
-
-
 @query(f"SELECT book_id, count(*) FILTER (word_count < 50) AS empties FROM {CH('word_count')} GROUP BY book_id")
 def agg_empty(s, d):
     return chapters(s, d, "word_count").groupBy("book_id").agg(F.count_if(F.col("word_count") < 50).alias("empties"))
@@ -328,12 +313,6 @@ def agg_multiset_diff(s, d):
     return out.select("doc_id", F.round("difference", 6).alias("difference"))
 
 
-@query("SELECT cefr_level AS verdict, count(*) AS n, round(count(*) FILTER (flesch_score >= 60) / nullif(count(flesch_score), 0), 6) AS ok_rate FROM books WHERE cefr_level IS NOT NULL GROUP BY cefr_level")
-def agg_verdicts(s, d):
-    g = T(s, d, "books").where("cefr_level is not null").groupBy(F.col("cefr_level").alias("verdict"))
-    return g.agg(F.count("*").alias("n"), F.round(F.count_if(F.col("flesch_score") >= 60) / F.nullif(F.count("flesch_score"), F.lit(0)), 6).alias("ok_rate"))
-
-
 @query(
     """SELECT pipeline_version, round(ok / n, 6) AS rate, round(sum(ok) OVER w / sum(n) OVER w, 6) AS cumulative FROM (SELECT pipeline_version, count(*) AS n, count(*) FILTER (quality_score >= 80) AS ok
        FROM books WHERE pipeline_version IS NOT NULL GROUP BY 1) t WINDOW w AS (ORDER BY pipeline_version ROWS UNBOUNDED PRECEDING)"""
@@ -439,11 +418,6 @@ def win_early_stop(s, d):
     return C.stop_after_known(pages, "page", "known", 3)
 
 
-@query("SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS r FROM orders) t WHERE r <= 50")
-def win_remaining_budget(s, d):
-    return T(s, d, "orders").orderBy("o_orderdate", "o_orderkey").limit(50).select("o_orderkey")
-
-
 @query(
     """SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS signup FROM events"""
 )
@@ -497,11 +471,6 @@ def set_union_ids(s, d):
     return a.union(b).distinct()
 
 
-@query("SELECT id, status FROM books WHERE status = 'ready' UNION ALL SELECT id, status FROM books WHERE status = 'approved'")
-def set_union_status(s, d):
-    return T(s, d, "books").where(F.col("status").isin("ready", "approved")).select("id", "status")
-
-
 @query("SELECT pg_id AS id FROM gutendex_authors WHERE pg_id IS NOT NULL EXCEPT SELECT pg_id FROM books")
 def set_diff(s, d):
     return T(s, d, "gutendex_authors").select(F.col("pg_id").alias("id")).where("id is not null").subtract(T(s, d, "books").select(F.col("pg_id").alias("id")))
@@ -518,8 +487,7 @@ _TOK = r"""list_distinct(list_filter(string_split(trim(regexp_replace(regexp_rep
 )
 def fuzzy_jaccard(s, d):
     b = T(s, d, "books").where("title is not null").select("id", M.title_tokens(F.col("title")).alias("tokens")).dropDuplicates(["id"])
-    scored = C.token_jaccard(b, "id", b.select(F.col("id").alias("other"), "tokens"), "other").where("id != other")
-    top = C.best_and_runner_up(scored, "id", "score", "other")
+    top = C.top_two_matches(b, "id", "tokens")
     return top.select("id", "best", F.round("best_score", 6).alias("best_score"), "runner_up", F.round("runner_score", 6).alias("runner_score"))
 
 
@@ -551,14 +519,8 @@ def insert_ignore(s, d):
     return C.insert_ignore(n.where("n_nationkey < 10"), batch, "n_nationkey")
 
 
-@query("SELECT DISTINCT id, source_type, source_book_id FROM zh_sources WHERE id % 2 = 0 AND (source_type, source_book_id) IN (SELECT source_type, source_book_id FROM zh_sources WHERE id % 3 = 0)")
-def unique_conflicts(s, d):
-    z = T(s, d, "zh_sources").select("id", "source_type", "source_book_id").distinct()
-    return C.conflicts(z.where("id % 3 = 0").select("source_type", "source_book_id"), z.where("id % 2 = 0"), ["source_type", "source_book_id"])
-
-
 @query("SELECT DISTINCT id, source_type, source_book_id FROM zh_sources WHERE (source_type, source_book_id) IN (SELECT (source_type, source_book_id) FROM zh_sources WHERE source_type IS NOT NULL AND source_book_id IS NOT NULL GROUP BY source_type, source_book_id HAVING count(DISTINCT id) > 1)")
-def unique_conflicts_all(s, d):
+def unique_conflicts(s, d):
     return C.shared_keys(T(s, d, "zh_sources").select("id", "source_type", "source_book_id").distinct(), "id", ["source_type", "source_book_id"])
 
 
@@ -571,17 +533,6 @@ def replace_chapters(s, d):
     return C.replace_children(T(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), batch, "l_orderkey")
 
 
-@query(
-    """WITH o AS (SELECT DISTINCT id, title, author, dynasty FROM zh_sources), n AS (SELECT id, trim(replace(title, '【全】', '')) AS title, nullif(trim(author), '') AS author FROM o)
-       SELECT * FROM (SELECT o.id, 'title' AS field, o.title AS old_value, n.title AS new_value FROM o JOIN n USING (id) UNION ALL SELECT o.id, 'author', o.author, n.author FROM o JOIN n USING (id)) t
-       WHERE new_value IS NOT NULL AND old_value IS DISTINCT FROM new_value"""
-)
-def change_log(s, d):
-    old = T(s, d, "zh_sources").select("id", "title", "author", "dynasty").distinct()
-    new = old.select("id", F.trim(F.replace("title", F.lit("【全】"), F.lit(""))).alias("title"), F.nullif(F.trim("author"), F.lit("")).alias("author"))
-    return C.change_log(old, new, "id", ["title", "author"])
-
-
 @query("SELECT id, 'books/' || book_id || '/chapters/' || id || '.html' AS content_key, 'images/' || regexp_replace(split_part(href, '/', -1), '[^a-zA-Z0-9.\\-_]', '_', 'g') AS image_key FROM chapters")
 def key_layout(s, d):
     key = F.format_string("books/%s/chapters/%s.html", "book_id", "id")
@@ -597,9 +548,3 @@ def sync_projection(s, d):
     return T(s, d, "chapters").select("id", url.alias("url"), F.left("title", F.lit(255)).alias("title"))
 
 
-@query(
-    """SELECT id, CASE WHEN json_valid(subjects) AND json_type(subjects) = 'ARRAY' THEN array_to_string(from_json(subjects, '["VARCHAR"]'), '|') END AS values FROM books WHERE subjects IS NOT NULL AND left(subjects, 2) = '["'"""
-)
-def json_arrays(s, d):
-    df = T(s, d, "books").where("subjects is not null and left(subjects, 2) = '[\"'")
-    return df.select("id", F.array_join(F.from_json("subjects", "array<string>", {"allowSingleQuotes": "false"}), "|").alias("values"))

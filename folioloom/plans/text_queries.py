@@ -237,35 +237,13 @@ def normalize_audit(s, d):
     return docs(s, d).where("lang = 'en'").select("doc_id", F.md5(M.normalize_ascii(F.col("text"))).alias("digest"))
 
 
-@query(
-    r"""SELECT doc_id, CASE WHEN length(text) > 600 THEN CASE WHEN contains(lower(text), lower(substr(text, 201, 200))) THEN 'OK' ELSE 'MISS' END ELSE 'NA' END AS alignment FROM documents WHERE text IS NOT NULL"""
-)
-def align_check(s, d):
-    ours = F.lower(F.substring("text", 201, 200))
-    out = F.when(F.length("text") > 600, F.when(F.contains(F.lower("text"), ours), "OK").otherwise("MISS")).otherwise("NA")
-    return docs(s, d).select("doc_id", out.alias("alignment"))
-
-
-@query(rf"SELECT doc_id, trim(regexp_replace('x *** START OF THE TEXT ***' || chr(10) || text || chr(10) || '*** END OF THE TEXT *** y', '(?s)^.*?\*\*\* ?START OF[^*]*\*\*\*(.*?)\*\*\* ?END OF.*$', '\1')) = trim(chr(10) || text || chr(10)) AS same FROM {_DOC} AND NOT contains(text, '***') AND trim(text) <> ''")
-def strip_text_markers(s, d):
-    df = docs(s, d).where("not contains(text, '***') and trim(text) != ''")
-    framed = F.concat(F.lit("x *** START OF THE TEXT ***\n"), "text", F.lit("\n*** END OF THE TEXT *** y"))
-    inner = F.trim(F.regexp_replace(framed, r"(?s)^.*?\*\*\* ?START OF[^*]*\*\*\*(.*?)\*\*\* ?END OF.*$", "$1"))
-    return df.select("doc_id", (inner == F.trim(F.concat(F.lit("\n"), "text", F.lit("\n")))).alias("same"))
-
-
-@query("SELECT record_id, CASE WHEN download_count >= 1000000 THEN printf('%.1fM', download_count / 1000000) WHEN download_count >= 1000 THEN printf('%.1fK', download_count / 1000) ELSE download_count::VARCHAR END AS shown FROM gutendex_authors WHERE download_count < 1000 OR download_count % 100 = 0")
-def format_number(s, d):
-    return format_number_all(s, d, "download_count < 1000 or download_count % 100 = 0")
-
-
 @query(
     """SELECT record_id, CASE WHEN download_count >= 1000000 THEN CASE WHEN download_count % 1000000 = 250000 THEN printf('%d.3M', download_count // 1000000) ELSE printf('%.1fM', download_count / 1000000) END
        WHEN download_count >= 1000 THEN CASE WHEN download_count % 1000 = 250 THEN printf('%d.3K', download_count // 1000) ELSE printf('%.1fK', download_count / 1000) END ELSE download_count::VARCHAR END AS shown FROM gutendex_authors"""
 )
-def format_number_all(s, d, which: str = "true"):
+def format_number(s, d):
     """Every record; printf takes exact ties to the even digit, the operator up, so the SQL states the one tie that differs."""
-    return T(s, d, "gutendex_authors").where(which).select("record_id", X.short_number(F.col("download_count")).alias("shown"))
+    return T(s, d, "gutendex_authors").select("record_id", X.short_number(F.col("download_count")).alias("shown"))
 
 
 @query(r"SELECT id, coalesce(nullif(lower(regexp_extract(href, '\.([a-zA-Z0-9]+)(?:\?[^/]*)?$', 1)), ''), 'epub') AS ext FROM chapters")
@@ -290,44 +268,13 @@ def content_hash(s, d):
     return docs(s, d).select("doc_id", F.sha1("text").alias("sha"), F.md5("text").alias("digest"))
 
 
-@query("SELECT id, md5(left(" + STRIP + ", 500)) AS head, len(regexp_extract_all(" + STRIP + rf", '[^{_WS}]+')) < 30 AS fragment FROM {_H}")
-def front_matter(s, d):
-    text = X.strip_html(F.col("h"))
-    return html(s, d).select("id", F.md5(F.left(text, F.lit(500))).alias("head"), (X.count_words(text) < 30).alias("fragment"))
-
-
-@query(r"SELECT id, regexp_matches(coalesce(title, ''), '(?i)(^|[^A-Za-z0-9_])(contents|index|copyright|notes|title page)($|[^A-Za-z0-9_])') OR contains(lower(coalesce(href, '')), 'cover') AS skip FROM chapters")
-def skippable(s, d):
-    word = F.coalesce("title", F.lit("")).rlike(r"(?i)(^|[^A-Za-z0-9_])(contents|index|copyright|notes|title page)($|[^A-Za-z0-9_])")
-    return T(s, d, "chapters").select("id", (word | F.contains(F.lower(F.coalesce("href", F.lit(""))), F.lit("cover"))).alias("skip"))
-
-
-@query(r"SELECT id, coalesce(list_filter(list_transform(regexp_extract_all(html_content, '(?is)<h[1-3]\b[^>]*>(.*?)</h[1-3]>', 1), lambda x: trim(regexp_replace(x, '<[^>]+>', '', 'g'))), lambda x: regexp_matches(x, '[A-Za-z0-9]{2,}'))[1], '') AS heading FROM " + _H)
-def extract_title(s, d):
-    found = F.transform(F.regexp_extract_all("h", F.lit(r"(?is)<h[1-3]\b[^>]*>(.*?)</h[1-3]>"), F.lit(1)), lambda x: F.trim(F.regexp_replace(x, "<[^>]+>", "")))
-    first = F.try_element_at(F.filter(found, lambda x: x.rlike("[A-Za-z0-9]{2,}")), F.lit(1))
-    return html(s, d).select("id", F.coalesce(first, F.lit("")).alias("heading"))
-
-
-@query(rf"SELECT doc_id, md5(regexp_replace(replace(text, '-', '--'), ' ?-- ?', chr(8288) || chr(8212), 'g')) AS digest FROM {_DOC} AND NOT contains(text, chr(8212)) AND NOT contains(text, chr(8288))")
-def em_dashes(s, d):
-    df = docs(s, d).where(~F.contains("text", F.lit("—")) & ~F.contains("text", F.lit("⁠")))
-    return df.select("doc_id", F.md5(typography.em_dashes(F.replace(F.col("text"), F.lit("-"), F.lit("--")))).alias("digest"))
-
-
 @query(rf"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(replace(text, '-', '--'), ' ?-- ?', chr(8288) || chr(8212), 'g'), ' ?' || chr(8212) || ' ?', chr(8212), 'g'), chr(8288) || '?' || chr(8212), chr(8288) || chr(8212), 'g')) AS digest FROM {_DOC}")
-def em_dashes_all(s, d):
+def em_dashes(s, d):
     return docs(s, d).select("doc_id", F.md5(typography.em_dashes(F.replace(F.col("text"), F.lit("-"), F.lit("--")))).alias("digest"))
 
 
-@query("SELECT x, regexp_replace(x, '(\\d)[\\s]*-[\\s]*(\\d)', '\\1' || chr(8288) || chr(8211) || chr(8288) || '\\2', 'g') AS y FROM (VALUES ('pages 10-20 and 1-2-3'), ('1 - 2'), ('a-b')) t(x)")
-def en_dashes(s, d):
-    df = s.createDataFrame([("pages 10-20 and 1-2-3",), ("1 - 2",), ("a-b",)], "x string")
-    return df.select("x", typography.en_dashes(F.col("x")).alias("y"))
-
-
 @query(rf"SELECT id, md5(regexp_replace(html_content, '(\d)[{_WS}]*-[{_WS}]*(\d)', '\1' || chr(8288) || chr(8211) || chr(8288) || '\2', 'g')) AS digest FROM {_H}")
-def en_dashes_all(s, d):
+def en_dashes(s, d):
     return html(s, d).select("id", F.md5(typography.en_dashes(F.col("h"))).alias("digest"))
 
 

@@ -172,7 +172,7 @@ def test_format_number_sees_every_record(spark, tmp_path):
 
     counts = [7, 1234, 1450, 606_512, 2_250_000]
     spark.createDataFrame(list(enumerate(counts)), "record_id long, download_count long").write.parquet(f"{tmp_path}/gutendex_authors.parquet")
-    rows = registry.QUERIES["format_number_all"](spark, str(tmp_path)).orderBy("record_id").collect()
+    rows = registry.QUERIES["format_number"](spark, str(tmp_path)).orderBy("record_id").collect()
     assert [r.shown for r in rows] == ["7", "1.2K", "1.4K", "606.5K", "2.3M"]
 
 
@@ -195,8 +195,8 @@ def test_dashes_of_every_row(spark, tmp_path):
 
     cases = {"a — b": f"a{WJ}—b", f"a{WJ}—b": f"a{WJ}—b", "a—b - c": f"a{WJ}—b{WJ}—c", "no dash": "no dash"}
     spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    rows = registry.QUERIES["em_dashes_all"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    rows = registry.QUERIES["em_dashes"](spark, str(tmp_path)).orderBy("doc_id").collect()
     assert [r.digest for r in rows] == [md5(x.encode()).hexdigest() for x in cases.values()]
     spark.createDataFrame([("c", "pages 10 - 20, a-b", "t"), ("n", None, "t")], "id string, html_content string, title string").write.parquet(f"{tmp_path}/chapters.parquet")
-    rows = registry.QUERIES["en_dashes_all"](spark, str(tmp_path)).collect()
+    rows = registry.QUERIES["en_dashes"](spark, str(tmp_path)).collect()
     assert [r.digest for r in rows] == [md5(f"pages 10{WJ}–{WJ}20, a-b".encode()).hexdigest()]

@@ -216,7 +216,7 @@ def test_suffix_join_matches_every_book(spark, tmp_path):
     spark.createDataFrame([("b1", 4), ("b3", 6), ("b2", 6), ("b9", 1234), ("n", None)], "id string, pg_id int").write.parquet(f"{tmp_path}/books.parquet")
     hrefs = [("c1", "text/ch004.xhtml"), ("c2", "ch006.xhtml"), ("c2", "ch006.xhtml"), ("c3", "a/b/ch1234.xhtml"), ("c4", "xch006.xhtml"), ("c5", None), ("c6", "ch006.xhtml/")]
     spark.createDataFrame(hrefs, "id string, href string").write.parquet(f"{tmp_path}/chapters.parquet")
-    rows = registry.QUERIES["suffix_join_all"](spark, str(tmp_path)).collect()
+    rows = registry.QUERIES["suffix_join"](spark, str(tmp_path)).collect()
     assert {(r.id, r.book) for r in rows} == {("c1", "b1"), ("c2", "b2"), ("c3", "b9")} and len(rows) == 3
 
 
@@ -227,11 +227,11 @@ def test_unique_conflicts_of_every_row(spark, tmp_path):
 
     rows = [(1, "a", "x"), (5, "a", "x"), (5, "a", "x"), (6, "b", "x"), (6, "b", "x"), (7, "a", None), (8, "a", None), (4, "c", "y"), (9, "c", "y"), (11, "c", "z")]
     spark.createDataFrame(rows, "id long, source_type string, source_book_id string").write.parquet(f"{tmp_path}/zh_sources.parquet")
-    got = registry.QUERIES["unique_conflicts_all"](spark, str(tmp_path)).collect()
+    got = registry.QUERIES["unique_conflicts"](spark, str(tmp_path)).collect()
     assert sorted(r.id for r in got) == [1, 4, 5, 9]
     duck = duckdb.connect()
     duck.execute(f"create view zh_sources as select * from '{tmp_path}/zh_sources.parquet/*.parquet'")
-    assert sorted(r[0] for r in duck.execute(registry.SQL["unique_conflicts_all"]).fetchall()) == [1, 4, 5, 9]
+    assert sorted(r[0] for r in duck.execute(registry.SQL["unique_conflicts"]).fetchall()) == [1, 4, 5, 9]
 
 
 def test_intermediates_can_be_dropped(spark):
@@ -243,3 +243,19 @@ def test_intermediates_can_be_dropped(spark):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     left = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
     assert not any("droptest" in f.getPath().getName() for f in left)
+
+
+def test_top_two_matches_against_all_pairs(spark):
+    import random
+
+    rng = random.Random(7)
+    sets = {f"i{n:02}": sorted(rng.sample("abcdefghij", rng.randint(0, 5))) for n in range(60)}
+    got = {r.id: (r.best, r.best_score, r.runner_up, r.runner_score) for r in C.top_two_matches(spark.createDataFrame(list(sets.items()), "id string, t array<string>"), "id", "t").collect()}
+    score = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b)) if a and b else 0.0
+    for key, held in sets.items():
+        ranked = sorted(((-score(held, other), k) for k, other in sets.items() if k != key and score(held, other) > 0))[:2]
+        if not ranked:
+            assert key not in got
+            continue
+        wanted = (ranked[0][1], -ranked[0][0], *((ranked[1][1], -ranked[1][0]) if len(ranked) > 1 else (None, None)))
+        assert got[key] == wanted

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import deque
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -181,25 +182,47 @@ def _fill(best: dict[int, float], total: int, reach: int, places: list[int] | No
 
 
 def best_cuts(total: int, cuts: list[tuple[int, float]], limit: int, overlap: int) -> list[int]:
-    """The chosen cut positions by dynamic programming."""
+    """The chosen cut positions by dynamic programming.
+
+    For each place the places before it are tried from the one that makes an even piece
+    outwards, until the imbalance alone costs more than what is found, beside the least cost
+    in reach (kept in a sliding window).
+    """
     if total <= limit:
         return []
     reach = limit - overlap
     pieces = 1 + max(1, -(-(total - limit) // reach))
     even = total / pieces
+    scale = BALANCE / (even * even)
     places = [0, *[p for p, _ in cuts], total]
     fee = [0.0, *[f for _, f in cuts], 0.0]
-    cost = [0.0] + [float("inf")] * (len(places) - 1)
-    back = [0] * len(places)
+    never = float("inf")
+    cost, back = [0.0] + [never] * (len(places) - 1), [0] * len(places)
+    low, least = 1, deque()  # places in reach after the first, those of rising cost
     for j in range(1, len(places)):
-        first = bisect_left(places, places[j] - limit)
-        for i in range(first, j):
-            length = places[j] - places[i]
-            if (i and length > reach) or cost[i] == float("inf"):
-                continue
-            way = cost[i] + fee[j] + BALANCE * ((length - even) / even) ** 2
-            if way < cost[j]:
-                cost[j], back[j] = way, i
+        at = places[j]
+        if j > 1:
+            while least and cost[least[-1]] >= cost[j - 1]:
+                least.pop()
+            least.append(j - 1)
+        while at - places[low] > reach and low < j:
+            low += 1
+        while least and least[0] < low:
+            least.popleft()
+        best, way = never, 0
+        if at <= limit:  # the first piece repeats nothing
+            best = scale * (at - even) ** 2
+        if least:
+            floor = cost[least[0]]
+            ideal = bisect_left(places, at - even, low, j)
+            for side in (range(ideal, j), range(ideal - 1, low - 1, -1)):
+                for i in side:
+                    off = scale * (at - places[i] - even) ** 2
+                    if floor + off >= best:
+                        break
+                    if cost[i] + off < best:
+                        best, way = cost[i] + off, i
+        cost[j], back[j] = best + fee[j], way
     chosen, j = [], back[-1]
     while j > 0:
         chosen.append(places[j])

@@ -1,5 +1,6 @@
 """p2: pieces under a limit, cut at natural places."""
 
+import random
 import re
 
 import pytest
@@ -52,6 +53,39 @@ def test_headings():
     assert S.heading_lines(listed) == [3, 5]
 
 
+def plain_program(total, cuts, limit, overlap):
+    """The least cost of cuts, every pair of places tried."""
+    reach = limit - overlap
+    even = total / (1 + max(1, -(-(total - limit) // reach)))
+    places, fee = [0, *[p for p, _ in cuts], total], [0.0, *[f for _, f in cuts], 0.0]
+    cost = [0.0] + [float("inf")] * (len(places) - 1)
+    for j in range(1, len(places)):
+        for i in range(j):
+            if places[j] - places[i] <= (reach if i else limit):
+                cost[j] = min(cost[j], cost[i] + fee[j] + S.BALANCE * ((places[j] - places[i] - even) / even) ** 2)
+    return cost[-1]
+
+
+def cost_of(chosen, total, cuts, limit, overlap):
+    even = total / (1 + max(1, -(-(total - limit) // (limit - overlap))))
+    marks, fees = [0, *chosen, total], dict(cuts)
+    assert all(b - a <= (limit - overlap if a else limit) for a, b in zip(marks, marks[1:]))
+    return sum(fees.get(b, 0.0) + S.BALANCE * ((b - a - even) / even) ** 2 for a, b in zip(marks, marks[1:]))
+
+
+def test_cuts_are_the_best_ones():
+    rng = random.Random(2)
+    for _ in range(150):
+        total, limit = rng.randint(50, 900), rng.randint(12, 200)
+        overlap = rng.choice((0, rng.randint(0, limit - 1)))
+        places = sorted({*rng.sample(range(1, total), min(total - 1, rng.randint(0, 60))), *range(limit - overlap, total, max(1, (limit - overlap) // 2))})
+        cuts = [(p, rng.choice((0.0, 1.0, 3.0, 8.0))) for p in places]
+        chosen = S.best_cuts(total, cuts, limit, overlap)
+        wanted = plain_program(total, cuts, limit, overlap) if total > limit else 0.0
+        if wanted < float("inf") and total > limit:
+            assert abs(cost_of(chosen, total, cuts, limit, overlap) - wanted) < 1e-6
+
+
 def test_long_headings_and_sections_without_text():
     long = "<h2>" + "The very long title of a chapter " * 4 + "</h2>"
     assert S.heading_lines("\n".join(["Part One", long, "It rained."])) == [0, 1]

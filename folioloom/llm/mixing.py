@@ -89,7 +89,8 @@ def _texts(documents: DataFrame, targets: DataFrame, tokenizers: str) -> DataFra
     own = named.join(wanted.select("source"), F.col("in_source") == F.col("source"), "left_semi").withColumn("text_key", F.md5("text"))
     ids = own.select("doc_id", "text_key")
     several = ids.groupBy(F.col("text_key").alias("s_key")).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least != most")
-    copies = ids.join(several, F.col("text_key") == F.col("s_key")).where("doc_id != least").select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).distinct()
+    # as a table its size is known, so few copies cost no shuffle of the texts
+    copies = materialise(ids.join(several, F.col("text_key") == F.col("s_key")).where("doc_id != least").select(F.col("doc_id").alias("c_id"), F.col("text_key").alias("c_key")).distinct(), "copies")
     firsts = own.join(copies, (F.col("doc_id") == F.col("c_id")) & (F.col("text_key") == F.col("c_key")), "left_anti")
     sized = tokenizer.encode_tagged(firsts.select("doc_id", F.concat_ws("\u0001", "in_source", "text_key").alias("tag"), "text"), tokenizers)
     parts = F.split("tag", "\u0001")

@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -106,7 +107,7 @@ class SubjectModel:
     centroids: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     speaks_for: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
-    def sentence_areas(self, rows: list[list[int]]) -> np.ndarray:
+    def sentence_areas(self, rows: list[tuple[int, ...]]) -> np.ndarray:
         """Area number of each sentence of term numbers; -1 for none."""
         out = np.full(len(rows), -1, np.int64)
         able = [k for k, r in enumerate(rows) if r]
@@ -120,13 +121,41 @@ class SubjectModel:
         return out
 
 
-def _sums(vectors: np.ndarray, weights: np.ndarray, rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Unit sums of term vectors and sums of weights, of non-empty rows of term numbers."""
+class SentenceAreas(dict):
+    """Term numbers of a sentence -> its area, kept while seen often; new ones are worked out together."""
+
+    LIMIT = 1 << 18
+
+    def __init__(self, model: SubjectModel) -> None:
+        super().__init__()
+        self.model = model
+
+    def of(self, rows: list[tuple[int, ...]]) -> list[int]:
+        if len(self) > self.LIMIT:
+            self.clear()
+        new = list({r for r in rows if r not in self})
+        if new:
+            self.update(zip(new, self.model.sentence_areas(new).tolist()))
+        return [self[r] for r in rows]
+
+
+def _sums(vectors: np.ndarray, weights: np.ndarray, rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """Unit sums of term vectors and sums of weights, of non-empty rows of term numbers; one pass for each place in a row."""
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     flat = np.fromiter((t for r in rows for t in r), np.int64, int(sizes.sum()))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    summed = np.add.reduceat(vectors[flat], starts, axis=0)
-    return summed / (np.linalg.norm(summed, axis=1, keepdims=True) + 1e-9), np.add.reduceat(weights[flat], starts)
+    order = np.argsort(-sizes, kind="stable")
+    sizes_down, starts_down = sizes[order], starts[order]
+    summed, weight = vectors[flat[starts_down]], weights[flat[starts_down]]
+    for place in range(1, int(sizes_down[0]) if len(rows) else 0):
+        many = int(np.searchsorted(-sizes_down, -place, side="left"))  # rows with more than ``place`` terms
+        terms = flat[starts_down[:many] + place]
+        summed[:many] += vectors[terms]
+        weight[:many] += weights[terms]
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    summed, weight = summed[back], weight[back]
+    return summed / (np.linalg.norm(summed, axis=1, keepdims=True) + 1e-9), weight
 
 
 def fit_subjects(texts: list[str], labels: list[set[str]], frequencies: dict[str, int], n_documents: int) -> SubjectModel:
@@ -277,19 +306,19 @@ def assign(documents: DataFrame, model: SubjectModel) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        cache = Terms(model.index)
+        cache, areas = Terms(model.index), SentenceAreas(model)
         for batch in batches:
             rows, owners = [], []
             counts = np.zeros(len(batch), np.int64)
             for d, text in enumerate(batch["text"]):
-                for pieces in sentences(text):
-                    counts[d] += 1
-                    terms = [t for p in pieces for t in cache[p]]
+                split = sentences(text)
+                counts[d] = len(split)
+                for pieces in split:
+                    terms = tuple(chain.from_iterable(map(cache.__getitem__, pieces)))
                     if terms:
                         rows.append(terms)
                         owners.append(d)
-            area = model.sentence_areas(rows)
-            held: Counter = Counter((d, int(a)) for d, a in zip(owners, area) if a >= 0)
+            held: Counter = Counter((d, a) for d, a in zip(owners, areas.of(rows)) if a >= 0)
             ids = batch["doc_id"].tolist()
             out = [(ids[d], model.areas[a], n / counts[d]) for (d, a), n in held.items() if n >= MIN_SHARE * counts[d]]
             yield pd.DataFrame(out, columns=["doc_id", "area", "share"])

@@ -49,9 +49,10 @@ LEVELS = ("A1", "A2", "B1", "B2", "C1", "C2")
 # Abbreviations whose stop ends no sentence.
 ABBREVIATIONS = ("Mr.", "Mrs.", "Ms.", "Dr.", "Prof.", "Sr.", "Jr.", "St.", "vs.", "etc.", "Vol.", "No.", "e.g.", "i.e.")
 # Connectives that open or join clauses.
-CONNECTIVES = frozenset(
-    "and but or nor yet so because although though while whereas unless until since if when after before therefore however moreover meanwhile later presently once".split()
-)
+CONNECTIVES = frozenset((
+    "and", "but", "or", "nor", "yet", "so", "because", "although", "though", "while", "whereas", "unless", "until", "since", "if", "when", "after",
+    "before", "therefore", "however", "moreover", "meanwhile", "later", "presently", "once",
+))
 
 _BITS = 24
 _ENDS = re.compile(r"[.!?]+")
@@ -75,6 +76,22 @@ def syllables(word: str) -> int:
     return max(n, 1)
 
 
+class _LineEnds(dict):
+    """Token -> how a line that ends with it closes: 0 look further back, 1 a sentence without a stop, 2 nothing to add."""
+
+    def __missing__(self, token: str) -> int:
+        pieces = _ENDS.split(_ABBREVIATION.sub("", token))
+        stops = len(_ENDS.split(_ABBREVIATION.sub(lambda m: m[0].replace(".", ""), token))) > 1
+        if stops:
+            value = 1 if re.search(r"\w", pieces[-1]) else 2
+        else:
+            value = 1 if re.search(r"\w", token) else 0
+        if len(self) >= TokenCounts.LIMIT:
+            self.clear()
+        self[token] = value
+        return value
+
+
 class TokenCounts(dict):
     """Blank-delimited token -> its counts packed into one integer.
 
@@ -87,6 +104,7 @@ class TokenCounts(dict):
     def __init__(self, common: frozenset[str] = frozenset()) -> None:
         super().__init__()
         self.common = common
+        self.ends = _LineEnds()
 
     def __missing__(self, token: str) -> int:
         letters = bool(_LETTER.search(token))
@@ -124,14 +142,11 @@ def line_counts(line: str, counts: TokenCounts) -> tuple[int, int, int, int, int
     total = sum(map(counts.__getitem__, tokens))
     sentences = total >> 2 * _BITS & _MASK
     for token in reversed(tokens):
-        if counts[token] >> 2 * _BITS & _MASK:
-            if re.search(r"\w", _ENDS.split(_ABBREVIATION.sub("", token))[-1]):
-                sentences += 1
-            break
-        if re.search(r"\w", token):
-            sentences += 1
+        close = counts.ends[token]
+        if close:
+            sentences += close == 1
             break
-    types = len(set(map(str.lower, tokens)))
+    types = len(set(line.lower().split()))
     return (total & _MASK, total >> _BITS & _MASK, sentences, total >> 3 * _BITS & _MASK, total >> 4 * _BITS & _MASK, total >> 5 * _BITS & _MASK, types)
 
 
@@ -150,6 +165,18 @@ def prose_rows(text: str, keys: list, counts: TokenCounts) -> list[tuple]:
     return rows
 
 
+_BETWEEN = bytes(i if i > 127 or chr(i).isalpha() or chr(i) in "'-" else 32 for i in range(256))
+
+
+def distinct_words(text: str) -> set[bytes]:
+    """The distinct words of a text with its markup in lower case, as bytes."""
+    low = text.lower()
+    if not low.isascii():
+        for sign in "“”—…":
+            low = low.replace(sign, " ")
+    return set(low.encode("utf-8", "surrogatepass").translate(_BETWEEN).split())
+
+
 def common_words(documents: DataFrame, min_share: float = COMMON_SHARE) -> frozenset[str]:
     """The words that at least ``min_share`` of all documents (id, text) hold.
 
@@ -157,27 +184,20 @@ def common_words(documents: DataFrame, min_share: float = COMMON_SHARE) -> froze
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        bare: dict[str, str] = {}
+        seen: Counter[bytes] = Counter()
 
         def held() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            words: Counter[str] = Counter()
+            for word, n in seen.items():
+                words[bare_word(word.decode("utf-8", "surrogatepass"))] += n
             seen.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = set()
-                for token in set(text.lower().split()):
-                    word = bare.get(token)
-                    if word is None:
-                        word = bare[token] = bare_word(token)
-                    words.add(word)
-                seen.update(words)
+                seen.update(distinct_words(text))
             if len(seen) > 300_000:
                 yield held()
-            if len(bare) > 1 << 18:
-                bare.clear()
         yield held()
 
     texts = documents.select("text").where(F.col("text").isNotNull())

@@ -45,24 +45,68 @@ OTHER_SHARE = 0.02
 YEARS_APART = 3
 
 # Titles and roles that are no part of a name.
-TITLES = frozenset("mr mrs ms miss dr prof rev sir lady lord capt col gen fr sr jr esq the of and by author editor translator ed eds trans et al ii iii iv".split())
+TITLES = frozenset((
+    "mr", "mrs", "ms", "miss", "dr", "prof", "rev", "sir", "lady", "lord", "capt", "col", "gen", "fr", "sr", "jr", "esq", "the", "of", "and", "by",
+    "author", "editor", "translator", "ed", "eds", "trans", "et", "al", "ii", "iii", "iv",
+))
 # Placeholders for an unknown name.
-PLACEHOLDERS = frozenset("unknown anonymous anon various na none null nil untitled 佚名 无名氏 不详 未知 阙名".split())
+PLACEHOLDERS = frozenset((
+    "unknown", "anonymous", "anon", "various", "na", "none", "null", "nil", "untitled", "佚名", "无名氏", "不详", "未知", "阙名",
+))
 # Words by which an organisation is told from a person.
 ORGANISATION_WORDS = frozenset(("society", "company", "institute", "association", "university", "college", "academy", "club", "committee", "council", "department", "ministry", "museum", "library", "press", "church", "bureau", "union", "league"))
 # Full first names and their familiar forms.
 NICKNAMES = {
-    "alexander": "alec alex sandy al xander", "andrew": "andy drew", "anne": "annie nan nancy", "anthony": "tony", "augusta": "gussie gus",
-    "benjamin": "ben benny benjy", "catherine": "kate kitty cathy katie kit cat", "charles": "charlie chas chuck", "christopher": "chris kit",
-    "daniel": "dan danny", "david": "dave davy", "dorothea": "dora dot dolly thea", "edward": "ted ned ed eddie teddy", "eleanor": "nell ellie nora nellie",
-    "elizabeth": "bess lizzie liz beth betty eliza lisa", "frances": "fanny fran", "francis": "frank", "frederick": "fred freddie freddy", "george": "georgie",
-    "henry": "harry hal hank", "james": "jim jimmy jamie", "john": "jack johnny", "joseph": "joe", "josephine": "jo josie", "katherine": "kate kitty",
-    "lawrence": "larry", "margaret": "peggy meg maggie madge greta", "martha": "patty", "mary": "molly polly", "matilda": "tilly mattie maud",
-    "matthew": "matt", "michael": "mike mick", "nathaniel": "nat nate", "nicholas": "nick", "patrick": "pat paddy", "philip": "phil pip", "rebecca": "becky",
-    "richard": "dick rick rich", "robert": "bob rob bobby robbie bert", "samuel": "sam sammy", "sarah": "sally", "susan": "sue", "theodore": "theo ted teddy",
-    "theresa": "tess", "thomas": "tom tommy", "timothy": "tim", "walter": "walt", "william": "bill will billy willie liam",
+    "alexander": ("alec", "alex", "sandy", "al", "xander"),
+    "andrew": ("andy", "drew"),
+    "anne": ("annie", "nan", "nancy"),
+    "anthony": ("tony",),
+    "augusta": ("gussie", "gus"),
+    "benjamin": ("ben", "benny", "benjy"),
+    "catherine": ("kate", "kitty", "cathy", "katie", "kit", "cat"),
+    "charles": ("charlie", "chas", "chuck"),
+    "christopher": ("chris", "kit"),
+    "daniel": ("dan", "danny"),
+    "david": ("dave", "davy"),
+    "dorothea": ("dora", "dot", "dolly", "thea"),
+    "edward": ("ted", "ned", "ed", "eddie", "teddy"),
+    "eleanor": ("nell", "ellie", "nora", "nellie"),
+    "elizabeth": ("bess", "lizzie", "liz", "beth", "betty", "eliza", "lisa"),
+    "frances": ("fanny", "fran"),
+    "francis": ("frank",),
+    "frederick": ("fred", "freddie", "freddy"),
+    "george": ("georgie",),
+    "henry": ("harry", "hal", "hank"),
+    "james": ("jim", "jimmy", "jamie"),
+    "john": ("jack", "johnny"),
+    "joseph": ("joe",),
+    "josephine": ("jo", "josie"),
+    "katherine": ("kate", "kitty"),
+    "lawrence": ("larry",),
+    "margaret": ("peggy", "meg", "maggie", "madge", "greta"),
+    "martha": ("patty",),
+    "mary": ("molly", "polly"),
+    "matilda": ("tilly", "mattie", "maud"),
+    "matthew": ("matt",),
+    "michael": ("mike", "mick"),
+    "nathaniel": ("nat", "nate"),
+    "nicholas": ("nick",),
+    "patrick": ("pat", "paddy"),
+    "philip": ("phil", "pip"),
+    "rebecca": ("becky",),
+    "richard": ("dick", "rick", "rich"),
+    "robert": ("bob", "rob", "bobby", "robbie", "bert"),
+    "samuel": ("sam", "sammy"),
+    "sarah": ("sally",),
+    "susan": ("sue",),
+    "theodore": ("theo", "ted", "teddy"),
+    "theresa": ("tess",),
+    "thomas": ("tom", "tommy"),
+    "timothy": ("tim",),
+    "walter": ("walt",),
+    "william": ("bill", "will", "billy", "willie", "liam"),
 }
-_NICK = {full: frozenset(short.split()) for full, short in NICKNAMES.items()}
+_NICK = {full: frozenset(short) for full, short in NICKNAMES.items()}
 
 _CJK = re.compile("[㐀-鿿]")
 _YEARS = re.compile(r"(?<!\d)(\d{3,4})\s*[-–—]\s*(\d{3,4})?(?!\d)")

@@ -15,13 +15,19 @@ from folioloom.functions.text import B0, B1, WS, shift_headings, wrap_section
 from folioloom.functions.typography import on_text_nodes
 
 # Titles before or after names, contexts of Roman numerals, and units of measure.
-TITLES = "Mr Mrs Ms Miss Dr Prof Rev St Jr Sr Capt Col Gen Sgt Cpl Lt Maj Adm Cmdr Supt Insp Gov Pres Sen Rep Esq Messrs Mme Mlle".split()
-CONTEXTS = "Chapter Act Scene Part Book Volume Vol Canto Section Article".split()
+TITLES = (
+    "Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Rev", "St", "Jr", "Sr", "Capt", "Col", "Gen", "Sgt", "Cpl", "Lt", "Maj", "Adm", "Cmdr", "Supt", "Insp",
+    "Gov", "Pres", "Sen", "Rep", "Esq", "Messrs", "Mme", "Mlle",
+)
+CONTEXTS = (
+    "Chapter", "Act", "Scene", "Part", "Book", "Volume", "Vol", "Canto", "Section", "Article",
+)
 UNITS = (
-    "miles? yards? feet foot inches? leagues? furlongs? fathoms? rods? chains? pounds? lbs?\\.? ounces? oz\\.? stones? tons? hundredweight "
-    "cwt\\.? grains? gallons? quarts? pints? bushels? barrels? hogsheads? firkins? gills? shillings? pence guineas? crowns? florins? "
-    "sovereigns? acres? knots? ft\\.? in\\.? yd\\.? mi\\.? mph"
-).split()
+    "miles?", "yards?", "feet", "foot", "inches?", "leagues?", "furlongs?", "fathoms?", "rods?", "chains?", "pounds?", "lbs?\\.?", "ounces?",
+    "oz\\.?", "stones?", "tons?", "hundredweight", "cwt\\.?", "grains?", "gallons?", "quarts?", "pints?", "bushels?", "barrels?", "hogsheads?",
+    "firkins?", "gills?", "shillings?", "pence", "guineas?", "crowns?", "florins?", "sovereigns?", "acres?", "knots?", "ft\\.?", "in\\.?", "yd\\.?",
+    "mi\\.?", "mph",
+)
 # Roman numerals as they are recognised.
 _ROMAN = r"X{0,3}(?:IX|IV|V?I{1,3})|X{1,3}|XL|L(?:X{0,3})|(?:XC|C)?[MDCLXVI]+"
 
@@ -65,14 +71,17 @@ def verse_blocks(html: str) -> str:
     return _QUOTE.sub(by_shape, _VERSE_CLASS.sub(by_class, html))
 
 
+_MAY_BE_VERSE = re.compile("<blockquote|verse|poem|stanza", re.I)
+
+
 def mark_verse(html: Column) -> Column:
-    """``verse_blocks`` as a Column function; only texts that can hold verse go to Python."""
+    """``verse_blocks`` as a Column function (Arrow batches); only texts that can hold verse are looked through. Null stays null."""
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        return texts.map(verse_blocks, na_action="ignore")
+        return texts.map(lambda t: verse_blocks(t) if _MAY_BE_VERSE.search(t) else t, na_action="ignore")
 
-    return F.when(html.rlike(r"(?i)<blockquote|(?:verse|poem|stanza)"), run(html)).otherwise(html)
+    return run(html)
 
 
 def semanticize(html: Column) -> Column:

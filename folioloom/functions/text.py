@@ -8,6 +8,7 @@ Null input gives null unless a docstring says otherwise.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -22,6 +23,11 @@ WS = r"\s\x0B\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3
 B0, B1 = r"(?<![A-Za-z0-9_])", r"(?![A-Za-z0-9_])"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is evaluated once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def trim_ws(text: Column) -> Column:
     """Trim of all white space."""
     return F.regexp_replace(text, rf"^[{WS}]+|[{WS}]+\z", "")
@@ -119,15 +125,16 @@ def section_breaks(html: Column) -> Column:
 
 def wrap_section(html: Column) -> Column:
     """HTML inside one chapter section unless it starts with one."""
-    return F.when(trim_ws(html).startswith("<section"), html).otherwise(F.concat(F.lit('<section data-epub-type="chapter">\n'), html, F.lit("\n</section>")))
+    return bound(html, lambda h: F.when(trim_ws(h).startswith("<section"), h).otherwise(F.concat(F.lit('<section data-epub-type="chapter">\n'), h, F.lit("\n</section>"))))
 
 
 def shift_headings(html: Column) -> Column:
     """All headings one level down, at most 6, if a level 1 occurs."""
-    shifted = html
-    for level in (5, 4, 3, 2, 1):
-        shifted = F.regexp_replace(shifted, rf"(?i)<(/?)h{level}(\b[^>]*>)", f"<$1h{level + 1}$2")
-    return F.when(html.rlike(r"(?i)<h1\b"), shifted).otherwise(html)
+
+    def shifted(h: Column) -> Column:
+        return reduce(lambda text, level: F.regexp_replace(text, rf"(?i)<(/?)h{level}(\b[^>]*>)", f"<$1h{level + 1}$2"), (5, 4, 3, 2, 1), h)
+
+    return bound(html, lambda h: F.when(h.rlike(r"(?i)<h1\b"), shifted(h)).otherwise(h))
 
 
 def captions(html: Column) -> Column:
@@ -217,8 +224,12 @@ def clean_notices(html: Column, publisher: Publisher) -> Column:
         rf"(?is)\*\*\*\s*END OF (?:THIS |THE )?{name}.*\z",
     ):
         text = F.regexp_replace(text, pattern, "")
-    chained = reduce(lambda t, p: F.regexp_replace(t, rf"(?is)<({_BLOCKS})\b[^>]*>.*?(?:{p}).*?</\1>", ""), phrases, text)
-    text = F.when(text.rlike("(?i)" + "|".join(phrases)), chained).otherwise(text)
+
+    def without_phrases(h: Column) -> Column:
+        chained = reduce(lambda t, p: F.regexp_replace(t, rf"(?is)<({_BLOCKS})\b[^>]*>.*?(?:{p}).*?</\1>", ""), phrases, h)
+        return F.when(h.rlike("(?i)" + "|".join(phrases)), chained).otherwise(h)
+
+    text = bound(text, without_phrases)
     text = F.regexp_replace(text, rf"""(?is)<a[^>]*href="[^"]*{re.escape(publisher.site)}[^"]*"[^>]*>.*?</a>""", "")
     return trim_ws(F.regexp_replace(text, r"\n\s*\n\s*\n", "\n\n"))
 

@@ -213,8 +213,8 @@ def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
     c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content"))
     english = vocabulary.english_words(c)
-    done = X.clean_chapter(F.col("html_content"), PUBLISHER)
+    done = c.select("id", "book_id", "order_num", X.captions(F.col("html_content")).alias("captions"), X.clean_chapter(F.col("html_content"), PUBLISHER).alias("html"))
+    # one column after the other, so that no step evaluates the ones before it again
     for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, lambda html: foreign.tag_foreign(html, english)):
-        done = step(done)
-    out = c.select("id", "book_id", "order_num", X.captions(F.col("html_content")).alias("captions"), done.alias("html"))
-    return out.withColumn("words", X.count_words(X.strip_html(F.col("html"))))
+        done = done.withColumn("html", step(F.col("html")))
+    return done.withColumn("words", X.count_words(X.strip_html(F.col("html"))))

@@ -190,32 +190,30 @@ def best_and_runner_up(scored: DataFrame, group: str, score: str, item: str) ->
     return top.groupBy(group).agg(at(1, item).alias("best"), at(1, score).alias("best_score"), at(2, item).alias("runner_up"), at(2, score).alias("runner_score"))
 
 
-def token_jaccard(left: DataFrame, left_key: str, right: DataFrame, right_key: str, tokens: str = "tokens") -> DataFrame:
-    """(left_key, right_key, score) of all pairs that share a token: an equi-join on tokens, no cross join."""
-    a = left.select(F.col(left_key).alias("l"), F.size(tokens).alias("ln"), F.explode(tokens).alias("token"))
-    b = right.select(F.col(right_key).alias("r"), F.size(tokens).alias("rn"), F.explode(tokens).alias("r_token"))
-    shared = a.join(b, F.col("token") == F.col("r_token")).groupBy("l", "r", "ln", "rn").agg(F.count("*").alias("both"))
-    return shared.select(F.col("l").alias(left_key), F.col("r").alias(right_key), (F.col("both") / (F.col("ln") + F.col("rn") - F.col("both"))).alias("score"))
-
-
-def top_two_matches(items: DataFrame, key: str, tokens: str, steps: tuple[float, ...] = (0.5, 0.0)) -> DataFrame:
+def top_two_matches(items: DataFrame, key: str, tokens: str, others: DataFrame | None = None, steps: tuple[float, ...] = (0.5, 0.0)) -> DataFrame:
     """(key, best, best_score, runner_up, runner_score): for each item the two others with the most similar token sets (Jaccard).
 
+    ``others`` has the same columns; by default the items are matched among themselves.
+
     Exact, by prefix filtering: sets as similar as a bound share one of their rarest
     ``n - bound * n + 1`` tokens, so only these meet in the equi-join. An item with two
     matches at the first bound is done; the others go on to the next, the last being any
     shared token. Common tokens thus bring pairs together only for items with nothing better.
     """
-    spread = materialise(items.select(F.col(key).alias("item"), F.explode(F.array_distinct(tokens)).alias("token")), "tokens")
+    among = others is None
+    both = items.select(F.lit(True).alias("mine"), F.col(key).alias("item"), tokens)
+    both = both if among else both.unionByName(others.select(F.lit(False).alias("mine"), F.col(key).alias("item"), tokens))
+    spread = materialise(both.select("mine", "item", F.explode(F.array_distinct(tokens)).alias("token")), "tokens")
     uses = spread.groupBy(F.col("token").alias("u_token")).agg(F.count("*").alias("uses"))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("uses", "token"))), lambda x: x["token"])
-    sets = materialise(spread.join(uses, F.col("token") == F.col("u_token")).groupBy("item").agg(ordered.alias("held")), "sets")
-    right = sets.select(F.col("item").alias("other"), F.col("held").alias("other_held"))
-    left, found = sets, None
+    sets = materialise(spread.join(uses, F.col("token") == F.col("u_token")).groupBy("mine", "item").agg(ordered.alias("held")), "sets")
+    right = sets.where(F.col("mine") == among).select(F.col("item").alias("other"), F.col("held").alias("other_held"))
+    left, found = sets.where("mine").drop("mine"), None
     for at, bound in enumerate(steps):
         prefix = lambda c, b=bound: F.explode(F.slice(c, 1, (F.size(c) - F.ceil(F.size(c) * F.lit(b)) + 1).cast("int")))
         a, b = left.select("item", "held", prefix("held").alias("token")), right.select("other", "other_held", prefix("other_held").alias("o_token"))
-        pairs = a.join(b, (F.col("token") == F.col("o_token")) & (F.col("item") != F.col("other"))).select("item", "held", "other", "other_held").dropDuplicates(["item", "other"])
+        apart = F.col("item") != F.col("other") if among else F.lit(True)
+        pairs = a.join(b, (F.col("token") == F.col("o_token")) & apart).select("item", "held", "other", "other_held").dropDuplicates(["item", "other"])
         shared = F.size(F.array_intersect("held", "other_held"))
         scored = pairs.select("item", "other", (shared / (F.size("held") + F.size("other_held") - shared)).alias("score"))
         met = materialise(scored.where((F.col("score") >= bound) & (F.col("score") > 0)), f"matches{at}")

@@ -52,12 +52,13 @@ def json_props(s, d):
 
 
 @query(
-    """SELECT name AS page, book_id, title, author FROM (SELECT name, CAST(id AS VARCHAR) AS book_id, trim(translate(title, '【】《》[]', '')) AS title, trim(name) AS author FROM (SELECT DISTINCT author AS name, id, title FROM zh_sources
-       WHERE length(trim(author)) BETWEEN 1 AND 19 AND title IS NOT NULL AND NOT regexp_matches(author || title, '[<>&"]'))) t WHERE title <> ''"""
+    """SELECT name AS page, book_id, title, CASE WHEN length(trim(name)) BETWEEN 1 AND 19 THEN trim(name) ELSE '未知' END AS author FROM (SELECT name, CAST(id AS VARCHAR) AS book_id, trim(translate(title, '【】《》[]', '')) AS title FROM
+       (SELECT DISTINCT regexp_replace(coalesce(author, ''), '[<>&"]', ' ', 'g') AS name, id, regexp_replace(title, '[<>&"]', ' ', 'g') AS title FROM zh_sources WHERE title IS NOT NULL)) t WHERE title <> ''"""
 )
 def src_author_listing(s, d):
-    z = T(s, d, "zh_sources").select(F.col("author").alias("name"), "id", "title").distinct()
-    z = z.where((F.length(F.trim("name")).between(1, 19)) & F.col("title").isNotNull() & ~F.concat("name", "title").rlike('[<>&"]'))
+    """Pages of every author; a page whose name is empty or too long for a name has an unknown one."""
+    plain = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), '[<>&"]', " ")
+    z = T(s, d, "zh_sources").where("title is not null").select(plain("author").alias("name"), "id", plain("title").alias("title")).distinct()
     link = F.concat(F.lit('<a href="?M=book&P='), F.col("id").cast("string"), F.lit('">'), F.col("title"), F.lit("</a><br>"))
     page = F.concat(F.lit('<font color="CC0000">'), "name", F.lit("</font>"), F.array_join(F.collect_list(link), "\n"))
     pages = z.groupBy("name").agg(page.alias("html")).select(F.col("name").alias("page"), "html")

@@ -73,11 +73,16 @@ def suffix_join(s, d):
     return c.join(tails, F.col("file") == F.col("tail")).groupBy("id").agg(F.min("book").alias("book"))
 
 
-@query("SELECT w, count(*) AS n, coalesce(max(d.level), -1) AS level FROM (SELECT unnest(string_split(lower(title), ' ')) AS w FROM books WHERE title IS NOT NULL) t LEFT JOIN (VALUES ('the', 1), ('and', 1), ('beyond', 3)) d(word, level) ON t.w = d.word GROUP BY w")
+@query(
+    """SELECT w, count(*) AS n, coalesce(max(d.level), -1) AS level FROM (SELECT unnest(string_split(lower(title), ' ')) AS w FROM books WHERE title IS NOT NULL) t
+       LEFT JOIN (SELECT word, min(level) AS level FROM (SELECT unnest(regexp_extract_all(lower(gloss), '[a-z]+')) AS word, length(area)::INTEGER AS level FROM subject_areas) g GROUP BY 1) d ON t.w = d.word GROUP BY w"""
+)
 def dict_join(s, d):
-    words = s.createDataFrame([("the", 1), ("and", 1), ("beyond", 3)], "word string, level int")
+    """Title words with the level of a word list; a word that is listed twice has its lowest level."""
+    listed = T(s, d, "subject_areas").select(F.explode(F.regexp_extract_all(F.lower("gloss"), F.lit("[a-z]+"), F.lit(0))).alias("word"), F.length("area").alias("level"))
+    words = listed.groupBy("word").agg(F.min("level").alias("level"))
     t = T(s, d, "books").where("title is not null").select(F.explode(F.split(F.lower("title"), " ")).alias("w"))
-    return t.join(F.broadcast(words), F.col("w") == F.col("word"), "left").groupBy("w").agg(F.count("*").alias("n"), F.coalesce(F.max("level"), F.lit(-1)).alias("level"))  # three listed words
+    return t.groupBy("w").agg(F.count("*").alias("n")).join(words, F.col("w") == F.col("word"), "left").select("w", "n", F.coalesce("level", F.lit(-1)).alias("level"))
 
 
 @query("SELECT language, count(DISTINCT author) AS authors, array_to_string(list_sort(list(DISTINCT source_type)), ',') AS sources FROM books WHERE language IS NOT NULL GROUP BY language")

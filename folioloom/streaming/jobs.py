@@ -80,3 +80,23 @@ def intake(events: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
         batch.orderBy(F.col("value").desc(), "event_id").write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def pull(events: DataFrame, folder: str, checkpoint: str, most: int) -> StreamingQuery:
+    """Takes the ``most`` jobs of highest value of each micro-batch and of what waits from before; the rest waits on.
+
+    What is taken stands in ``folder/taken/batch=<n>``, what waits in ``folder/waiting/batch=<n>``.
+    Both follow from the batch and the table before it, so a batch that repeats writes the same again.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = f"{folder}/waiting/batch={number - 1}"
+        waiting = spark.read.schema(batch.schema).parquet(before) if number else batch.limit(0)
+        ranked = batch.unionByName(waiting).orderBy(F.col("value").desc_nulls_last(), "event_id")
+        taken = ranked.limit(most)
+        taken.write.mode("overwrite").parquet(f"{folder}/taken/batch={number}")
+        ids = spark.read.parquet(f"{folder}/taken/batch={number}").select(F.col("event_id").alias("t_id"))
+        batch.unionByName(waiting).join(ids, F.col("event_id") == F.col("t_id"), "left_anti").write.mode("overwrite").parquet(f"{folder}/waiting/batch={number}")
+
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

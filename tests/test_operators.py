@@ -205,6 +205,19 @@ def test_stream_equals_batch(spark, small, tmp_path):
     q = jobs.intake(stream, str(tmp_path / "out"), str(tmp_path / "c2"))
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == batch.count()
+    source = tmp_path / "feed"
+    source.mkdir()
+    feed = spark.readStream.schema(batch.schema).parquet(str(source))
+    for n, part in enumerate((batch.where("event_id < 20"), batch.where("event_id between 20 and 29"))):
+        part.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / f"part{n}"))
+        next((tmp_path / f"part{n}").glob("*.parquet")).rename(source / f"{n}.parquet")
+        jobs.pull(feed, str(tmp_path / "jobs"), str(tmp_path / "c4"), 6).awaitTermination(120)
+    taken = spark.read.parquet(str(tmp_path / "jobs/taken"))
+    first = [r.event_id for r in taken.where("batch = 0").collect()]
+    order = lambda df: [r.event_id for r in df.orderBy(F.desc("value"), "event_id").collect()]
+    assert sorted(first) == sorted(order(batch.where("event_id < 20"))[:6])
+    rest = batch.where(F.col("event_id").between(0, 29) & ~F.col("event_id").isin(first))
+    assert sorted(r.event_id for r in taken.where("batch = 1").collect()) == sorted(order(rest)[:6])  # what was left waits with what is new
     counts = jobs.windowed_counts(stream).writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
     counts.awaitTermination(120)
     assert rows(spark.table("windows").select("start", "event_type", "n")) == rows(jobs.windowed_counts(batch).select("start", "event_type", "n"))
@@ -259,3 +272,10 @@ def test_top_two_matches_against_all_pairs(spark):
             continue
         wanted = (ranked[0][1], -ranked[0][0], *((ranked[1][1], -ranked[1][0]) if len(ranked) > 1 else (None, None)))
         assert got[key] == wanted
+
+
+def test_top_two_matches_of_another_table(spark):
+    covers = spark.createDataFrame([("c1", ["strange", "case", "jekyll"]), ("c2", ["strange", "house"]), ("c3", ["x"])], "id string, t array<string>")
+    books = spark.createDataFrame([("b1", ["strange", "case", "jekyll", "hyde"]), ("c2", ["y"])], "id string, t array<string>")
+    got = C.top_two_matches(books, "id", "t", covers).collect()
+    assert [(r.id, r.best, r.best_score, r.runner_up, r.runner_score) for r in got] == [("b1", "c1", 0.75, "c2", 0.2)]

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from folioloom.functions import foreign, semantics, spelling, typography
 from folioloom.functions import text as X
+from folioloom.operators import books as whole_books
 from folioloom.operators import catalog as C
 from folioloom.operators import quality, vocabulary
 from folioloom.operators.layout import spread
@@ -216,10 +216,13 @@ def calibrate(s, d):
 @query()
 def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
-    c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "html_content"))
-    english = vocabulary.english_words(c)
-    done = c.select("id", "book_id", "order_num", X.captions(F.col("html_content")).alias("captions"), X.clean_chapter(F.col("html_content"), PUBLISHER).alias("html"))
-    # one column after the other, so that no step evaluates the ones before it again
-    for step in (typography.typographize, spelling.modernize_spelling, semantics.semanticize, lambda html: foreign.tag_foreign(html, english)):
-        done = done.withColumn("html", step(F.col("html")))
-    return done.withColumn("words", X.count_words(X.strip_html(F.col("html"))))
+    c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "title", "html_content"))
+    return whole_books.cleaned_chapters(c, PUBLISHER, vocabulary.english_words(c)).drop("title")
+
+
+@query()
+def process_books(s, d):
+    """Whole English books from the chapters table; a book with a number in the source catalogue has its cover there."""
+    b = T(s, d, "books").where("zh_source_id is null").select(F.col("id").alias("book_id"), F.col("pg_id").isNotNull().alias("has_cover")).distinct()
+    c = T(s, d, "chapters").select("id", "book_id", "order_num", "title", "html_content").dropDuplicates(["id"])
+    return whole_books.english_books(b, c, PUBLISHER, vocabulary.english_words(c))

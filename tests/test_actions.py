@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioloom.functions import metrics as M
 from folioloom.functions import text as X
+from folioloom.operators import books as whole_books
 from folioloom.operators import catalog as C
 from folioloom.operators import quality
 from folioloom.operators.vocabulary import common_words
@@ -190,3 +191,23 @@ def test_chinese_books_as_a_whole(spark):
     assert got["a"].score == 85 and got["n"].chapter_count == 0 and "no_chapters" in got["n"].issues
     shares = quality.level_shares(quality.vocabulary_levels(spark.createDataFrame([("k", "书信灯火雨")], "key string, text string"), words)).first()
     assert shares.distribution == {"1": 1, "3": 1, "unknown": 1} and shares.level == 2.0
+
+
+@pytest.mark.parametrize("many, wanted", [(5, [0, 1, 2, 3, 4]), (12, [0, 2, 4, 6, 8]), (3, [0, 1, 2]), (9, [0, 1, 2, 3, 4])])
+def test_sampled_chapters(spark, many, wanted):
+    df = spark.createDataFrame([("b", f"c{i:02}", i) for i in range(many)], "book_id string, id string, order_num int")
+    assert sorted(r.order_num for r in whole_books.sampled(df).collect()) == wanted
+
+
+def test_english_books_as_a_whole(spark):
+    built = epub.build_archive([("title", "T")], [(f"{n}.xhtml", f"<h2>Chapter {n}</h2><p>{n} {PROSE} Tokio -- far.</p>") for n in (1, 2, 3)], [(f"Chapter {n}", f"{n}.xhtml") for n in (1, 2, 3)])
+    found = epub.chapters(spark.createDataFrame([("a", bytearray(built))], "path string, content binary"), PUBLISHER)
+    chapters = found.select(F.concat_ws("/", "archive", "order_num").alias("id"), F.col("archive").alias("book_id"), "order_num", "title", "html_content")
+    books = spark.createDataFrame([("a", True), ("none", False)], "book_id string, has_cover boolean")
+    got = {r.book_id: r for r in whole_books.english_books(books, chapters, PUBLISHER, frozenset({"the"})).collect()}
+    cleaned = {r.order_num: r.html for r in whole_books.cleaned_chapters(chapters, PUBLISHER, frozenset({"the"})).collect()}
+    assert "Tokyo⁠—far." in cleaned[1] and cleaned[1].startswith('<section data-epub-type="chapter">')
+    a = got["a"]
+    assert (a.chapter_count, a.issues, a.score, a.tier) == (3, ["few_words"], 90, "auto_approved") and a.words > 1000 and a.minutes == round(a.words / 250)
+    assert a.flesch > 80 and a.cefr in ("A1", "A2") and abs(a.difficulty - (100 - a.flesch)) < 0.06
+    assert (got["none"].chapter_count, got["none"].flesch) == (0, None) and "no_chapters" in got["none"].issues

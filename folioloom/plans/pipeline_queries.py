@@ -216,7 +216,7 @@ def calibrate(s, d):
 @query()
 def process_chapters(s, d):
     """Clean, typographic, modernised, semantically marked and language-tagged chapters with their captions and counts, in one narrow pass."""
-    c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", "title", "html_content"))
+    c = spread(T(s, d, "chapters").where("html_content is not null").select("id", "book_id", "order_num", F.lit(None).cast("string").alias("title"), "html_content"))
     return whole_books.cleaned_chapters(c, PUBLISHER, vocabulary.english_words(c)).drop("title")
 
 

@@ -203,7 +203,7 @@ def top_two_matches(items: DataFrame, key: str, tokens: str, others: DataFrame |
     among = others is None
     both = items.select(F.lit(True).alias("mine"), F.col(key).alias("item"), tokens)
     both = both if among else both.unionByName(others.select(F.lit(False).alias("mine"), F.col(key).alias("item"), tokens))
-    spread = materialise(both.select("mine", "item", F.explode(F.array_distinct(tokens)).alias("token")), "tokens")
+    spread = both.select("mine", "item", F.explode(F.array_distinct(tokens)).alias("token"))
     uses = spread.groupBy(F.col("token").alias("u_token")).agg(F.count("*").alias("uses"))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("uses", "token"))), lambda x: x["token"])
     sets = materialise(spread.join(uses, F.col("token") == F.col("u_token")).groupBy("mine", "item").agg(ordered.alias("held")), "sets")

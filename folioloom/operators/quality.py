@@ -7,9 +7,11 @@ repeated item follow, then one row-wise expression per score; no group is collec
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -197,22 +199,40 @@ def first_dominates(chapters: DataFrame) -> DataFrame:
     return g.where((F.col("n") >= 2) & (F.col("total") > 0) & (F.col("first") >= 0.3 * F.col("total")) & F.col("title").rlike(PREFACE)).select("book_id")
 
 
+_NO_WORD = re.compile(r"[^a-z0-9\s]+", re.ASCII)
+_BLANKS = re.compile(r"\s+", re.ASCII)
+_FIDELITY = "our_words int, their_words int, alignment string, miss_rate double"
+
+
+def compare_texts(ours: str, theirs: str, window: tuple[int, int] = (200, 400)) -> tuple[int, int, str, float]:
+    """(words of ours, of theirs, alignment, miss rate) of two texts: bags of words, and whether a window of ours stands in theirs."""
+    a, b = (_BLANKS.sub(" ", _NO_WORD.sub(" ", t.lower())).strip(" ") for t in (ours, theirs))
+    left, right = a.split(" ") if a else [], b.split(" ") if b else []
+    counts = Counter(left)
+    counts.subtract(right)
+    both = len(left) + len(right)
+    missed = sum(map(abs, counts.values())) / both if both else 1.0
+    low, high = window
+    aligned = "NA" if min(len(a), len(b)) <= high + low else "OK" if a[low:high] in b else "MISS"
+    return len(left), len(right), aligned, missed
+
+
 def fidelity(pairs: DataFrame) -> DataFrame:
     """Audit of texts (key, ours, theirs): word ratio, sizes, alignment, multiset miss rate and verdict.
 
-    Words are counted by (key, word) with +1 for ours and -1 for theirs in one aggregation,
-    so a long text is no single task and no join of the two sides is needed.
+    Spark has no function for multisets; both texts stand in one row, so they are compared
+    where they are (Arrow batches), without exploding or shuffling a word. Null texts are empty.
     """
-    ours, theirs = M.normalize_ascii(F.col("ours")), M.normalize_ascii(F.col("theirs"))
-    aligned = F.when((F.length("a") > 600) & (F.length("b") > 600), F.when(F.contains(F.col("b"), F.substring("a", 201, 200)), "OK").otherwise("MISS")).otherwise("NA")
-    words = lambda c, sign: F.transform(F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, " ")), lambda w: F.struct(w.alias("word"), F.lit(sign).alias("sign")))
-    base = pairs.select("key", ours.alias("a"), theirs.alias("b"))
-    signed = base.select("key", aligned.alias("alignment"), F.explode_outer(F.concat(words("a", 1), words("b", -1))).alias("x"))
-    per_word = signed.groupBy("key", "alignment", F.xxhash64("x.word").alias("word")).agg(F.sum("x.sign").alias("left_over"), F.count_if(F.col("x.sign") == 1).alias("n_a"), F.count_if(F.col("x.sign") == -1).alias("n_b"))
-    out = per_word.groupBy("key", "alignment").agg(
-        F.sum("n_a").cast("int").alias("our_words"), F.sum("n_b").cast("int").alias("their_words"), F.coalesce(F.try_divide(F.sum(F.abs("left_over")), F.sum(F.col("n_a") + F.col("n_b"))), F.lit(1.0)).alias("miss_rate")
-    )
-    out = out.select("key", "our_words", "their_words", "alignment", "miss_rate")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [compare_texts(a or "", b or "") for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            columns = list(zip(*found)) if found else [()] * 4
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds)]], ["key", "our_words", "their_words", "alignment", "miss_rate"])
+
+    kind = pairs.schema["key"].dataType.simpleString()
+    out = pairs.select("key", "ours", "theirs").mapInArrow(run, f"key {kind}, {_FIDELITY}")
     ratio = F.col("our_words") / F.greatest(F.col("their_words"), F.lit(1))
     ok = ratio.between(0.95, 1.05) & (F.col("alignment") != "MISS") & (F.col("miss_rate") < 0.05)
     warn = ratio.between(0.9, 1.1) & (F.col("miss_rate") < 0.1)

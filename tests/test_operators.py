@@ -95,6 +95,10 @@ def test_fidelity(spark):
     df = spark.createDataFrame([(1, "a a b c", "a b b d"), (2, "", "")], "key int, ours string, theirs string")
     got = {r.key: (r.miss_rate, r.verdict) for r in quality.fidelity(df).collect()}
     assert got[1] == (0.5, "SUSPECT") and got[2][0] == 1.0
+    words = " ".join(f"w{i}" for i in range(400))
+    assert quality.compare_texts("One, TWO\n two", "two one") == (3, 2, "NA", 0.2)
+    assert quality.compare_texts(words, words)[2:] == ("OK", 0.0) and quality.compare_texts(words, words[::-1])[2] == "MISS"
+    assert quality.fidelity(spark.createDataFrame([(1, None, "a")], "key long, ours string, theirs string")).first().verdict == "SUSPECT"
 
 
 def test_vocabulary_levels(spark):

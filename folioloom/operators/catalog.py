@@ -209,20 +209,23 @@ def top_two_matches(items: DataFrame, key: str, tokens: str, others: DataFrame |
     sets = materialise(spread.join(uses, F.col("token") == F.col("u_token")).groupBy("mine", "item").agg(ordered.alias("held")), "sets")
     right = sets.where(F.col("mine") == among).select(F.col("item").alias("other"), F.col("held").alias("other_held"))
     left, found = sets.where("mine").drop("mine"), None
+    apart = F.col("item") != F.col("other") if among else F.lit(True)
     for at, bound in enumerate(steps):
-        prefix = lambda c, b=bound: F.explode(F.slice(c, 1, (F.size(c) - F.ceil(F.size(c) * F.lit(b)) + 1).cast("int")))
-        a, b = left.select("item", "held", prefix("held").alias("token")), right.select("other", "other_held", prefix("other_held").alias("o_token"))
-        apart = F.col("item") != F.col("other") if among else F.lit(True)
-        pairs = a.join(b, (F.col("token") == F.col("o_token")) & apart).select("item", "held", "other", "other_held").dropDuplicates(["item", "other"])
-        shared = F.size(F.array_intersect("held", "other_held"))
-        scored = pairs.select("item", "other", (shared / (F.size("held") + F.size("other_held") - shared)).alias("score"))
-        met = materialise(scored.where((F.col("score") >= bound) & (F.col("score") > 0)), f"matches{at}")
-        last = at == len(steps) - 1
-        done = met.groupBy(F.col("item").alias("d_item")).agg(F.count("*").alias("n")).where("n >= 2").select("d_item")
-        kept = met if last else met.join(done, F.col("item") == F.col("d_item"), "left_semi")
-        found = kept if found is None else found.unionByName(kept)
-        if not last:
+        if bound:
+            prefix = lambda c, b=bound: F.explode(F.slice(c, 1, (F.size(c) - F.ceil(F.size(c) * F.lit(b)) + 1).cast("int")))
+            a, b = left.select("item", "held", prefix("held").alias("token")), right.select("other", "other_held", prefix("other_held").alias("o_token"))
+            pairs = a.join(b, (F.col("token") == F.col("o_token")) & apart).dropDuplicates(["item", "other"])
+            shared = F.size(F.array_intersect("held", "other_held"))
+            scored = pairs.select("item", "other", (shared / (F.size("held") + F.size("other_held") - shared)).alias("score")).where(F.col("score") >= bound)
+            met = materialise(scored, f"matches{at}")
+            done = met.groupBy(F.col("item").alias("d_item")).agg(F.count("*").alias("n")).where("n >= 2").select("d_item")
+            kept = met.join(done, F.col("item") == F.col("d_item"), "left_semi")
             left = left.join(done, F.col("item") == F.col("d_item"), "left_anti")
+        else:  # every shared token meets, so their number is that of the joined rows
+            a, b = left.select("item", F.size("held").alias("n"), F.explode("held").alias("token")), right.select("other", F.size("other_held").alias("o_n"), F.explode("other_held").alias("o_token"))
+            shared = a.join(b, (F.col("token") == F.col("o_token")) & apart).groupBy("item", "other", "n", "o_n").agg(F.count("*").alias("both"))
+            kept = shared.select("item", "other", (F.col("both") / (F.col("n") + F.col("o_n") - F.col("both"))).alias("score"))
+        found = kept if found is None else found.unionByName(kept)
     return best_and_runner_up(found, "item", "score", "other").withColumnRenamed("item", key)
 
 

@@ -11,6 +11,7 @@ import re
 from collections.abc import Callable
 from functools import reduce
 from html.parser import HTMLParser
+from operator import or_
 from typing import NamedTuple
 
 import pandas as pd
@@ -94,7 +95,7 @@ def strip_tags_decode(html: Column) -> Column:
 
 def count_words(text: Column) -> Column:
     """Runs of non-blank characters."""
-    return F.regexp_count(text, F.lit(rf"[^{WS}]+")).cast("long")
+    return bound(squeeze(text), lambda s: F.when(s == "", F.lit(0)).otherwise(F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit(""))) + 1).cast("long"))
 
 
 def count_cjk(text: Column) -> Column:
@@ -208,10 +209,16 @@ def notice_phrases(publisher: Publisher) -> list[str]:
     return named + [p.replace("PERSON", re.escape(who)) for who in publisher.persons for p in PERSON_PHRASES]
 
 
+def _fragments(phrases: list[str]) -> list[str]:
+    """For each pattern a literal part in lower case that every text it matches holds."""
+    split = re.compile(r"\\.|\[[^\]]*\]|\(\?:[^)]*\)|\{[^}]*\}|[.*+?()|^$]")
+    return [max(split.split(p.replace(r"\ ", " ")), key=len).lower() for p in phrases]
+
+
 def clean_notices(html: Column, publisher: Publisher) -> Column:
     """Without distribution notices: marked containers, START/END blocks, blocks with a notice phrase, links.
 
-    A guard over all phrases keeps the long chain away from texts that hold none.
+    Guards, first by literal parts of the phrases, keep the long chain away from texts that hold none.
     """
     text, name, phrases = html, re.escape(publisher.name), notice_phrases(publisher)
     # Containers and blocks that hold nothing but notices.
@@ -227,7 +234,8 @@ def clean_notices(html: Column, publisher: Publisher) -> Column:
 
     def without_phrases(h: Column) -> Column:
         chained = reduce(lambda t, p: F.regexp_replace(t, rf"(?is)<({_BLOCKS})\b[^>]*>.*?(?:{p}).*?</\1>", ""), phrases, h)
-        return F.when(h.rlike("(?i)" + "|".join(phrases)), chained).otherwise(h)
+        held = bound(F.lower(h), lambda low: reduce(or_, [F.contains(low, F.lit(f)) for f in _fragments(phrases)]))
+        return F.when(held & h.rlike("(?i)" + "|".join(phrases)), chained).otherwise(h)
 
     text = bound(text, without_phrases)
     text = F.regexp_replace(text, rf"""(?is)<a[^>]*href="[^"]*{re.escape(publisher.site)}[^"]*"[^>]*>.*?</a>""", "")

@@ -297,14 +297,18 @@ def lookalike_classes(keys: DataFrame) -> DataFrame:
 def lookalike_pairs(keys: DataFrame) -> DataFrame:
     """(id_a, id_b) of texts that look the same and are different strings, id_a < id_b.
 
-    The different strings of a class are paired first and their texts after, so copies of one
-    string never meet each other.
+    Only classes with two strings or more go on. Their different strings are paired first and
+    their texts after, so copies of one string never meet each other.
     """
-    strings = materialise(keys.select("part", "key", "variant").distinct(), "strings")
+    mixed = materialise(
+        keys.groupBy("part", "key").agg(F.min("variant").alias("low"), F.max("variant").alias("high")).where("low != high").select(F.col("part").alias("m_part"), F.col("key").alias("m_key")), "mixed"
+    )
+    rows = materialise(keys.join(mixed, (F.col("part") == F.col("m_part")) & (F.col("key") == F.col("m_key")), "left_semi"), "mixed_rows")
+    strings = rows.select("part", "key", "variant").distinct()
     a = strings.select("part", "key", F.col("variant").alias("va"))
     b = strings.select(F.col("part").alias("b_part"), F.col("key").alias("b_key"), F.col("variant").alias("vb"))
     unlike = a.join(b, (F.col("part") == F.col("b_part")) & (F.col("key") == F.col("b_key")) & (F.col("va") < F.col("vb"))).select("part", "key", "va", "vb")
-    rows = keys.select(F.col("part").alias("r_part"), F.col("key").alias("r_key"), "variant", "id")
-    first = unlike.join(rows, (F.col("part") == F.col("r_part")) & (F.col("key") == F.col("r_key")) & (F.col("va") == F.col("variant"))).select("part", "key", "vb", F.col("id").alias("x"))
-    both = first.join(rows, (F.col("part") == F.col("r_part")) & (F.col("key") == F.col("r_key")) & (F.col("vb") == F.col("variant"))).where("x != id")
+    named = rows.select(F.col("part").alias("r_part"), F.col("key").alias("r_key"), "variant", "id")
+    first = unlike.join(named, (F.col("part") == F.col("r_part")) & (F.col("key") == F.col("r_key")) & (F.col("va") == F.col("variant"))).select("part", "key", "vb", F.col("id").alias("x"))
+    both = first.join(named, (F.col("part") == F.col("r_part")) & (F.col("key") == F.col("r_key")) & (F.col("vb") == F.col("variant"))).where("x != id")
     return both.select(F.least("x", "id").alias("id_a"), F.greatest("x", "id").alias("id_b")).distinct()

@@ -32,9 +32,9 @@ PARAGRAPH_LOSS, PARAGRAPHS_ALLOWED, PARAGRAPHS_MOST = 3, 3, 15
 APPROVED, REVIEW = 80, 60
 
 
-def _content_key(html: Column) -> Column:
-    bare = F.regexp_replace(F.lower(X.strip_html(html)), rf"[{X.WS}]+", "")
-    return F.when(F.length(bare) >= 100, F.sha1(bare))
+def _content_key(text: Column) -> Column:
+    """Hash of a text (``strip_html``, so its blanks are single spaces) without blanks and case; null if it is short."""
+    return X.bound(F.replace(F.lower(text), F.lit(" "), F.lit("")), lambda bare: F.when(F.length(bare) >= 100, F.sha1(bare)))
 
 
 def chapter_measures(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
@@ -43,9 +43,10 @@ def chapter_measures(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
     One narrow pass over the texts, kept as a table: the checks read numbers and hashes only.
     """
     html, title = F.coalesce("html_content", F.lit("")), F.coalesce("title", F.lit(""))
-    long_words = X.long_words(X.strip_html(html))
     paragraphs = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<p[^>]*>.*?</p>"), F.lit(0)), lambda p: F.lower(X.trim_ws(F.regexp_replace(p, "<[^>]+>", ""))))
-    measured = chapters.select(
+    # text and words are columns of their own, so each is worked out once
+    stripped = chapters.withColumn("stripped", X.strip_html(html)).withColumn("long", X.long_words(F.col("stripped")))
+    measured = stripped.select(
         "id",
         "book_id",
         "order_num",
@@ -54,9 +55,9 @@ def chapter_measures(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
         M.chapter_number(title).alias("number"),
         X.has_mojibake(html).alias("broken"),
         X.has_residue(html, publisher).alias("residue"),
-        _content_key(html).alias("content_key"),
-        F.size(long_words).alias("long_words"),
-        F.size(X.foreign_words(long_words)).alias("foreign_words"),
+        _content_key(F.col("stripped")).alias("content_key"),
+        F.size("long").alias("long_words"),
+        F.size(X.foreign_words(F.col("long"))).alias("foreign_words"),
         F.transform(F.filter(paragraphs, lambda p: F.length(p) > 50), lambda p: F.xxhash64(p)).alias("paragraph_keys"),
     )
     return materialise(measured, "measures")
@@ -310,11 +311,10 @@ def chinese_quality(books: DataFrame, chapters: DataFrame, publisher: X.Publishe
 
 def chinese_checks(chapters: DataFrame, publisher: X.Publisher) -> DataFrame:
     """One row per Chinese book with the checks that ``chinese_score`` reads; ``n_words`` counts ideographs."""
-    html = F.coalesce("html_content", F.lit(""))
-    text = X.strip_html(html)
-    m = chapters.select(
+    html, text = F.coalesce("html_content", F.lit("")), F.col("stripped")
+    m = chapters.withColumn("stripped", X.strip_html(html)).select(
         "id", "book_id", "order_num", X.count_cjk(text).alias("size"), X.count_nonspace(text).alias("signs"), X.has_mojibake(html).alias("broken"),
-        X.has_residue(html, publisher).alias("residue"), _content_key(html).alias("content_key"),
+        X.has_residue(html, publisher).alias("residue"), _content_key(text).alias("content_key"),
     )
     m = materialise(m, "measures_zh")
     place = F.row_number().over(Window.partitionBy("book_id").orderBy("order_num", "id"))
